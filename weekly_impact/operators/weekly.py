@@ -4,17 +4,23 @@ The reference computes one CTE per event (distinct users, distinct orders,
 row counts, sums) and LEFT JOINs them onto an *anchor* CTE.  Here the same
 numbers come from two chained aggregates over one scan:
 
-1. ``groupBy(week, keys, event_name, dkey)`` where ``dkey`` is the column the
-   event's distinct metric counts (user or order id).  Partial aggregation
-   runs map-side; the shuffle hashes the distinct key too, so a hot
-   (week, category) is spread over many reducers.
-2. ``groupBy(week, keys)`` with conditional aggregates: a distinct count is a
-   ``count_if`` over the de-duplicated rows, row counts and sums add up.
+1. :func:`event_grain` - ``groupBy(week, keys, event_name, dkey)`` where
+   ``dkey`` is the column the event's distinct metric counts (user or order
+   id).  Partial aggregation runs map-side; the shuffle hashes the distinct
+   key too, so a hot (week, category) is spread over many reducers.
+2. :func:`rollup` - ``groupBy(week, keys)`` with conditional aggregates: a
+   distinct count is a ``count_if`` over the de-duplicated rows, row counts
+   and sums add up.  Rolling up to *fewer* keys first re-de-duplicates on
+   (week, keys, event, dkey), so a user seen under two categories counts once.
 
 No Expand (Spark's rewrite of several ``count(DISTINCT)`` multiplies rows by
-the number of distinct groups) and no self-joins.  Valid when the key columns
-are non-null (USING joins never match nulls, a group-by does group them): the
-callers guarantee it with their filters.
+the number of distinct groups) and no self-joins.  Several grains of one
+query (product rows and per-product steps) roll up from the *same* event
+grain, so the scan, join and first shuffle run once (exchange reuse).
+
+The one-pass form is valid when the key columns are non-null (USING joins
+never match nulls, a group-by groups them): callers guarantee it by their
+filters, or join grains explicitly where keys may be null.
 """
 
 from __future__ import annotations
@@ -52,41 +58,61 @@ def total(name: str, event: str, column: str) -> Metric:
     return Metric(name, SUM, event, column)
 
 
-def weekly_metrics(
+def _sum_col(m: Metric) -> str:
+    return f"_s__{m.event}__{m.column}"
+
+
+def event_grain(
     fact: DataFrame,
     keys: Sequence[str],
     metrics: Sequence[Metric],
     anchor: str | None = None,
     time_col: str = "week",
 ) -> DataFrame:
-    """Per (week, keys): the metrics, keeping only groups with an ``anchor`` row.
-
-    Distinct counts and row counts are 0 when the event is absent; sums are
-    null when no non-null value exists (SQL SUM).
-    """
-    group = [time_col, *keys]
+    """Phase 1: one row per (week, keys, event_name, _dkey) with ``_n`` and the sums."""
     events = {m.event for m in metrics} | ({anchor} if anchor else set())
     dcols: dict[str, str] = {}
     for m in metrics:
-        if m.kind == DISTINCT:
-            if dcols.setdefault(m.event, m.column) != m.column:
-                raise ValueError(f"one distinct column per event: {m.event}")
+        if m.kind == DISTINCT and dcols.setdefault(m.event, m.column) != m.column:
+            raise ValueError(f"one distinct column per event: {m.event}")
     ev = F.col("event_name")
     dkey = None
     for e, c in sorted(dcols.items()):
         cond, val = ev == F.lit(e), F.col(c).cast("string")
         dkey = F.when(cond, val) if dkey is None else dkey.when(cond, val)
     dkey = F.lit(None).cast("string") if dkey is None else dkey
-
-    sums = [m for m in metrics if m.kind == SUM]
-    stage1 = (
+    sums = {_sum_col(m): m for m in metrics if m.kind == SUM}
+    return (
         fact.where(ev.isin(sorted(events)))
-        .groupBy(*group, "event_name", dkey.alias("_dkey"))
+        .groupBy(time_col, *keys, "event_name", dkey.alias("_dkey"))
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            *[F.sum(F.when(ev == m.event, F.col(m.column))).alias(f"_s{i}") for i, m in enumerate(sums)],
+            *[F.sum(F.when(ev == m.event, F.col(m.column))).alias(c) for c, m in sums.items()],
         )
     )
+
+
+def rollup(
+    grain: DataFrame,
+    keys: Sequence[str],
+    metrics: Sequence[Metric],
+    anchor: str | None = None,
+    time_col: str = "week",
+    grain_keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """Phase 2: per (week, keys) the metrics; groups without an ``anchor`` row dropped.
+
+    ``grain_keys`` are the keys ``grain`` was built on; when ``keys`` drops
+    some of them, rows are first re-de-duplicated on (week, keys, event, dkey).
+    Distinct counts and row counts are 0 when the event is absent; sums are
+    null when no non-null value exists (SQL SUM).
+    """
+    sum_cols = sorted({_sum_col(m) for m in metrics if m.kind == SUM})
+    if grain_keys is not None and list(grain_keys) != list(keys):
+        grain = grain.groupBy(time_col, *keys, "event_name", "_dkey").agg(
+            F.sum("_n").alias("_n"), *[F.sum(c).alias(c) for c in sum_cols]
+        )
+    ev = F.col("event_name")
     aggs = []
     for m in metrics:
         on = ev == F.lit(m.event)
@@ -95,17 +121,28 @@ def weekly_metrics(
         elif m.kind == ROWS:
             aggs.append(F.coalesce(F.sum(F.when(on, F.col("_n"))), F.lit(0)).alias(m.name))
         elif m.kind == SUM:
-            aggs.append(F.sum(F.when(on, F.col(f"_s{sums.index(m)}"))).alias(m.name))
+            aggs.append(F.sum(F.when(on, F.col(_sum_col(m)))).alias(m.name))
         else:
             raise ValueError(m.kind)
     if anchor is not None:
         aggs.append(F.max(ev == F.lit(anchor)).alias("_anchor"))
-    out = stage1.groupBy(*group).agg(*aggs)
+    out = grain.groupBy(time_col, *keys).agg(*aggs)
     if anchor is not None:
         out = out.where(F.col("_anchor")).drop("_anchor")
     return out
 
 
+def weekly_metrics(
+    fact: DataFrame,
+    keys: Sequence[str],
+    metrics: Sequence[Metric],
+    anchor: str | None = None,
+    time_col: str = "week",
+) -> DataFrame:
+    """Per (week, keys): the metrics, keeping only groups with an ``anchor`` row."""
+    return rollup(event_grain(fact, keys, metrics, anchor, time_col), keys, metrics, anchor, time_col)
+
+
 def anchor_left_join(
     fact: DataFrame,
     keys: Sequence[str],
@@ -115,21 +152,20 @@ def anchor_left_join(
 ) -> DataFrame:
     """R-1 in the reference's shape: per-event aggregates LEFT JOINed onto the anchor.
 
-    ``others`` pairs each metric with its own join keys (a subset of ``keys``),
-    which is how the product queries mix two grains.  Kept for the places
-    where the one-pass form is not valid (nullable keys, two grains).
+    ``others`` pairs each metric with its own join keys (a subset of ``keys``).
+    Kept as the literal form of the reference's plan (and to test the one-pass
+    rewrite against); it scans the fact once per event.
     """
 
     def one(m: Metric, ks: Sequence[str]) -> DataFrame:
         sub = fact.where(F.col("event_name") == m.event)
-        g = [time_col, *ks]
         if m.kind == DISTINCT:
             agg = F.count_distinct(F.col(m.column))
         elif m.kind == ROWS:
             agg = F.count(F.lit(1))
         else:
             agg = F.sum(F.col(m.column))
-        return sub.groupBy(*g).agg(agg.alias(m.name))
+        return sub.groupBy(time_col, *ks).agg(agg.alias(m.name))
 
     out = one(anchor, keys)
     for m, ks in others:

@@ -22,9 +22,10 @@ from ..operators.impact import before_after, period_averages
 from ..operators.items import item_fact
 from ..operators.orders import order_dedup
 from ..operators.topk import top_k, topk_semi_join
-from ..operators.weekly import distinct, rows, total, weekly_metrics
+from ..operators.weekly import distinct, event_grain, rollup, rows, total, weekly_metrics
 from ..sources.dimensions import changes_df
 from ..sources.events import shard_filter
+from ..session import materialize
 from .params import Params
 
 SALES_EVENTS = ["purchase", "add_to_cart", "view_item", "begin_checkout"]
@@ -96,17 +97,13 @@ def subcategory_weekly(events: DataFrame, p: Params) -> DataFrame:
 # --- Q3: product weekly ------------------------------------------------------
 
 
-def product_purchases(fact: DataFrame) -> DataFrame:
-    """Purchases per (week, product, category, subcategory) with rounded revenue."""
-    return (
-        fact.where(F.col("event_name") == "purchase")
-        .groupBy("week", "product_name", "category", "subcategory")
-        .agg(
-            F.count_distinct("transaction_id").alias("transactions"),
-            money2(F.sum("item_rev_u")).alias("revenue"),
-            F.sum("quantity").alias("units_sold"),
-        )
-    )
+PRODUCT_KEYS = ["product_name", "category", "subcategory"]
+PRODUCT_PURCHASE_METRICS = [
+    distinct("transactions", "purchase", "transaction_id"),
+    total("_rev_u", "purchase", "item_rev_u"),
+    total("units_sold", "purchase", "quantity"),
+]
+PRODUCT_CART_METRICS = [rows("add_to_cart", "add_to_cart"), rows("product_views", "view_item")]
 
 
 def top_products_by_revenue(purchases: DataFrame, k: int) -> DataFrame:
@@ -115,16 +112,22 @@ def top_products_by_revenue(purchases: DataFrame, k: int) -> DataFrame:
 
 
 def product_weekly(events: DataFrame, p: Params) -> DataFrame:
-    """Q3: top products' weekly purchases, with per-product cart and view row counts."""
+    """Q3: top products' weekly purchases, with per-product cart and view row counts.
+
+    Purchases (4 keys), cart/view rows (2 keys) and the top-K list all roll up
+    from one event grain, so the unnest and its shuffle run once.  Category
+    and subcategory may be null here, so the two grains are joined (on the
+    non-null week and product), as in the reference.
+    """
     fact = item_fact(_scan(events, p.start, p), PRODUCT_EVENTS).where(F.col("product_name").isNotNull())
-    purchases = product_purchases(fact)
-    top = top_products_by_revenue(purchases, p.top_products)
-    # Cart and view rows per (week, product): a second grain, joined back.
-    ctr = weekly_metrics(
-        fact, ["product_name"], [rows("add_to_cart", "add_to_cart"), rows("product_views", "view_item")]
+    grain = materialize(event_grain(fact, PRODUCT_KEYS, PRODUCT_PURCHASE_METRICS + PRODUCT_CART_METRICS))
+    purchases = rollup(grain, PRODUCT_KEYS, PRODUCT_PURCHASE_METRICS, anchor="purchase").select(
+        "week", *PRODUCT_KEYS, "transactions", money2(F.col("_rev_u")).alias("revenue"), "units_sold"
     )
+    top = top_products_by_revenue(purchases, p.top_products)
+    carts = rollup(grain, ["product_name"], PRODUCT_CART_METRICS, grain_keys=PRODUCT_KEYS)
     out = topk_semi_join(purchases, top, "product_name", p.top_products).join(
-        ctr, ["week", "product_name"], "left"
+        carts, ["week", "product_name"], "left"
     )
     views = F.col("product_views")
     return out.select(
@@ -170,8 +173,10 @@ def aov_weekly(events: DataFrame, p: Params) -> DataFrame:
 def units_per_tx(events: DataFrame, p: Params) -> DataFrame:
     """Q6: units per order of the top products (by distinct orders)."""
     fact = item_fact(_scan(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
-    per_tx = fact.groupBy("week", "product_name", "category", "subcategory", "transaction_id").agg(
-        F.sum("quantity").alias("qty_in_tx")
+    per_tx = materialize(
+        fact.groupBy("week", "product_name", "category", "subcategory", "transaction_id").agg(
+            F.sum("quantity").alias("qty_in_tx")
+        )
     )
     top = top_k(per_tx, "product_name", F.count_distinct("transaction_id"), p.top_units, "orders")
     kept = topk_semi_join(per_tx, top, "product_name", p.top_units)
@@ -250,10 +255,12 @@ def change_impact_subcategory(spark: SparkSession, events: DataFrame, p: Params)
 def change_impact_product(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q9: Q7 per top product (by whole-range revenue), with mean units per item row."""
     fact = item_fact(_scan(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
-    weekly = fact.groupBy("week", "product_name", "category", "subcategory").agg(
-        F.count_distinct("transaction_id").alias("transactions"),
-        money2(F.sum("item_rev_u")).alias("revenue"),
-        round_half_up(mean(F.col("quantity")), 2).alias("avg_units"),
+    weekly = materialize(
+        fact.groupBy("week", "product_name", "category", "subcategory").agg(
+            F.count_distinct("transaction_id").alias("transactions"),
+            money2(F.sum("item_rev_u")).alias("revenue"),
+            round_half_up(mean(F.col("quantity")), 2).alias("avg_units"),
+        )
     )
     top = top_products_by_revenue(weekly, p.top_impact_products)
     weekly = topk_semi_join(weekly, top, "product_name", p.top_impact_products).select(
@@ -318,18 +325,20 @@ def subcategory_funnel(events: DataFrame, p: Params) -> DataFrame:
 
 
 def product_funnel(events: DataFrame, p: Params) -> DataFrame:
-    """Q12: Q10 for the top products by orders; views at 4 keys, the other steps per product."""
+    """Q12: Q10 for the top products by orders; views at 4 keys, the other steps per product.
+
+    Views, steps and the top-K list roll up from one event grain (one unnest
+    and shuffle).  Views keep category/subcategory, which may be null here,
+    so the per-product steps are joined back on (week, product).
+    """
     fact = item_fact(_scan(events, p.start_recent, p), FUNNEL_EVENTS).where(F.col("product_name").isNotNull())
-    purchases = fact.where(F.col("event_name") == "purchase")
-    top = top_k(purchases, "product_name", F.count_distinct("transaction_id"), p.top_funnel_products, "orders")
-    # Views keep category/subcategory, which may be null here: a real GROUP BY,
-    # not the one-pass rewrite (that needs non-null join keys).
-    views = (
-        fact.where(F.col("event_name") == "view_item")
-        .groupBy("week", "product_name", "category", "subcategory")
-        .agg(F.count_distinct("user_pseudo_id").alias("views"))
-    )
-    steps = weekly_metrics(fact, ["product_name"], _funnel_metrics(with_views=False))
+    ms = _funnel_metrics()
+    grain = materialize(event_grain(fact, PRODUCT_KEYS, ms))
+    is_order = (F.col("event_name") == "purchase") & F.col("_dkey").isNotNull()
+    top = top_k(grain, "product_name", F.count_distinct(F.when(is_order, F.col("_dkey"))),
+                p.top_funnel_products, "orders")
+    views = rollup(grain, PRODUCT_KEYS, ms[:1], anchor="view_item")
+    steps = rollup(grain, ["product_name"], ms[1:], grain_keys=PRODUCT_KEYS)
     out = topk_semi_join(views, top, "product_name", p.top_funnel_products).join(
         steps, ["week", "product_name"], "left"
     )

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC dates, ANSI, AQE (runtime coalescing,
 # skew-join splitting and size-checked broadcast conversion).
@@ -28,6 +28,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # Local cores only: let AQE coalesce small shuffles, but not below
+        # 64 KB, so CPU-heavy aggregates keep one task per core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for k, v in JOB_CONF.items():
         b = b.config(k, v)
@@ -55,3 +59,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Compute ``df`` once, write it as a Parquet table in the shared folder, read it back.
+
+    For a plan that feeds several branches (a top-K list and the rows it
+    filters, two grains of one query): the optimizer rewrites each branch
+    differently, so their shuffles are not reused and the scan, join and
+    unnest would run once per branch.  The table lands under the session's
+    ``spark.checkpoint.dir`` (shared storage on a cluster), so the lineage is
+    cut and a lost executor does not force recomputation from the scan; it
+    is columnar, so each branch reads only the columns it needs (never
+    ``localCheckpoint``, which lives on executors).
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -58,14 +58,15 @@ def today_yyyymmdd() -> Column:
     return F.date_format(F.current_date(), "yyyyMMdd")
 
 
-def shard_filter(start: str, end: str | None = None, col: str = "event_date") -> Column:
+def shard_filter(start: str, end: str | None = None, col: Column | str = "event_date") -> Column:
     """S-2: shard suffix between ``start`` and ``end`` as a *string* compare.
 
     Letters sort above digits, so non-date shards such as ``intraday_...``
     fall outside the bounds, as they do for a wildcard-table suffix filter.
     """
     upper = F.lit(end) if end is not None else today_yyyymmdd()
-    return F.col(col).between(F.lit(start), upper)
+    c = F.col(col) if isinstance(col, str) else col
+    return c.between(F.lit(start), upper)
 
 
 def read_events(

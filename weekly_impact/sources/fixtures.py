@@ -3,18 +3,19 @@
 The driver's tables hold no nested analytics events, so two fixed mappings
 (FIXTURES.md sections 2 and 3) turn them into the event schema of
 :mod:`weekly_impact.sources.events`.  Every rule below is a built-in column
-expression; the only shuffles are the basket aggregate and the order join.
+expression; the only shuffle is the join on the order key.
 
 Item events (orders x lineitem x part):
 
 * one event per order and funnel stage (view_item, add_to_cart,
   begin_checkout, purchase) up to a depth set by the order status;
-* ``items`` is an array of the order's lines.  Arrays are built per *basket*:
-  at most ``ITEMS_PER_EVENT`` lines of one order taken from one input split.
-  A huge order therefore becomes several events with the same event fields,
-  which no query can tell apart (every item query works on item rows), and no
-  array or task ever holds an unbounded group.  Orders without lines would
-  carry ``items = null`` and vanish at the unnest; they are not generated.
+* the stage event of an order is emitted once per order line, each with a
+  one-element ``items`` array.  Events of one order and stage share every
+  event field, and every item query works on unnested item rows, so no query
+  can tell this from one event holding all lines; building the array needs no
+  aggregate, so no shuffle and no group of unbounded size.  Orders without
+  lines would carry ``items = null`` and vanish at the unnest; they are not
+  generated.
 
 Site events (the ``events`` table): one event per row, event name from
 ``event_type`` and ``props.k``.
@@ -31,11 +32,21 @@ from .events import EVENT_COLUMNS, EVENT_PARAMS, ITEM, shard_filter
 
 # Fixed values of the item-event mapping (FIXTURES.md section 2).
 STAGE_NAMES = ["view_item", "add_to_cart", "begin_checkout", "purchase"]
-ITEMS_PER_EVENT = 256
+
+
+# Declared schemas of the test tables (only the columns the mapping reads):
+# no schema-discovery job per read, and the scan reads just these columns.
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_retailprice DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _part_item(part: DataFrame) -> DataFrame:
@@ -57,79 +68,84 @@ def _part_item(part: DataFrame) -> DataFrame:
     )
 
 
-def _stage_filter(orderkey: Column, status: Column) -> Column:
-    """ARRAY of the stage numbers an order emits (view_item left out when key % 11 = 0)."""
+def _stage_kept(orderkey: Column, status: Column, stage: Column) -> Column:
+    """Stage <= the order's depth; view_item (stage 0) left out when key % 11 = 0."""
     depth = (
         F.when(status == "F", 3)
         .when(status == "P", 2)
         .when(orderkey % 2 == 0, 1)
         .otherwise(0)
     )
-    return F.filter(F.sequence(F.lit(0), depth), lambda s: ~((s == 0) & (orderkey % 11 == 0)))
+    return (stage <= depth) & ~((stage == 0) & (orderkey % 11 == 0))
+
 
+def _stage_name(stage: Column) -> Column:
+    expr = None
+    for i, n in enumerate(STAGE_NAMES):
+        expr = F.when(stage == i, F.lit(n)) if expr is None else expr.when(stage == i, F.lit(n))
+    return expr
 
-def order_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end: str | None = None) -> DataFrame:
-    """Event-level rows of the item mapping, without items, keyed by ``o_orderkey``."""
+
+def _orders(spark: SparkSession, sf_dir: str, start: str, end: str | None) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
     # Parquet-pushable floor on the raw column, then the exact string bound.
     floor = F.to_timestamp(F.lit(start), "yyyyMMdd").cast("timestamp_ntz")
-    orders = orders.where(F.col("o_orderdate") >= floor)
+    return orders.where((F.col("o_orderdate") >= floor) & shard_filter(start, end, yyyymmdd("o_orderdate")))
+
+
+def stage_events(orders: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Orders (``o_*`` columns) -> one event row per emitted funnel stage.
+
+    Stages come from exploding a constant four-element array and a plain
+    filter (both codegen'd; a lambda ``filter`` would run interpreted).
+    """
     key = F.col("o_orderkey")
     staged = orders.select(
-        "*", F.explode(_stage_filter(key, F.col("o_orderstatus"))).alias("stage")
-    )
+        "*", F.explode(F.array(*[F.lit(i) for i in range(len(STAGE_NAMES))])).alias("stage")
+    ).where(_stage_kept(key, F.col("o_orderstatus"), F.col("stage")))
     is_purchase = F.col("stage") == 3
-    names = F.array(*[F.lit(n) for n in STAGE_NAMES])
     return staged.select(
-        key.alias("o_orderkey"),
-        F.get(names, F.col("stage")).alias("event_name"),
+        _stage_name(F.col("stage")).alias("event_name"),
         F.col("o_custkey").cast("string").alias("user_pseudo_id"),
         F.array().cast(EVENT_PARAMS).alias("event_params"),
-        F.when(
-            is_purchase,
-            F.struct(
-                F.when(key % 97 == 0, F.lit(None).cast("string")).otherwise(key.cast("string")).alias("transaction_id"),
-                F.col("o_totalprice").alias("purchase_revenue"),
-            ),
-        ).otherwise(
-            F.struct(
-                F.lit(None).cast("string").alias("transaction_id"),
-                F.lit(None).cast("double").alias("purchase_revenue"),
-            )
+        F.struct(
+            F.when(is_purchase & (key % 97 != 0), key.cast("string")).alias("transaction_id"),
+            F.when(is_purchase, F.col("o_totalprice")).alias("purchase_revenue"),
         ).alias("ecommerce"),
         yyyymmdd("o_orderdate").alias("event_date"),
-    ).where(shard_filter(start, end))
+        *(extra or []),
+    )
+
 
+ITEM_FIELDS = ["item_name", "item_category", "item_category2", "price", "quantity"]
 
-def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_orderkey, items ARRAY<item>) with at most ITEMS_PER_EVENT items per row.
 
-    The basket id comes from the scan position (unique per input split and
-    stable on re-read), so each group is complete inside one map task: the
-    partial aggregate finishes it before the shuffle, and the shuffle key
-    includes the basket, so a hot order is spread over many reducers.
+def item_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end: str | None = None) -> DataFrame:
+    """Nested GA4-shaped events (``EVENT_COLUMNS``) from orders x lineitem x part.
+
+    Only raw, narrow columns cross the one shuffle: orders (one row per
+    order, not per stage) and lines (keys and quantity, no item strings) are
+    joined on the order key, then stages are exploded and the part dimension
+    attached after it.  The order side grows with the data, so it is never
+    broadcast: a shuffled hash join builds on it (one row per order key, no
+    build-side skew) and AQE splits a hot order's partition on the line side
+    (inner join).  ``part`` is joined by the planner's size check (broadcast
+    while small, sort-merge otherwise).  Each line becomes a one-element
+    ``items`` array: a projection, not an aggregate, so no group is ever
+    collected however many lines an order has.
     """
+    orders = _orders(spark, sf_dir, start, end).hint("shuffle_hash")
     lines = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.floor(F.monotonically_increasing_id() / ITEMS_PER_EVENT).alias("basket"),
+        "l_orderkey", "l_partkey", F.col("l_quantity").cast("bigint").alias("quantity")
     )
+    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "inner")
+    events = stage_events(joined, ["l_partkey", "quantity"])
     parts = _part_item(_table(spark, sf_dir, "part"))
-    # part is a dimension: Spark broadcasts it when its size estimate is under
-    # autoBroadcastJoinThreshold, and sort-merge joins it otherwise.
-    joined = lines.join(parts, lines.l_partkey == parts.p_partkey, "inner")
-    item = F.struct("item_name", "item_category", "item_category2", "price", "quantity")
-    return joined.groupBy("l_orderkey", "basket").agg(F.collect_list(item).alias("items"))
-
-
-def item_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end: str | None = None) -> DataFrame:
-    """Nested GA4-shaped events (``EVENT_COLUMNS``) from orders x lineitem x part."""
-    ev = order_events(spark, sf_dir, start, end)
-    baskets = order_baskets(spark, sf_dir)
-    return ev.join(baskets, ev.o_orderkey == baskets.l_orderkey, "inner").select(*EVENT_COLUMNS)
+    with_items = events.join(parts, events.l_partkey == parts.p_partkey, "inner")
+    items = F.array(F.struct(*ITEM_FIELDS)).alias("items")
+    return with_items.select(*[c for c in EVENT_COLUMNS if c != "items"], items).select(*EVENT_COLUMNS)
 
 
 def _site_event_name(event_type: Column, k: Column) -> Column:
