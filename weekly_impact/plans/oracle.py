@@ -11,7 +11,7 @@ rewrites (one-pass aggregates, Monday equi-joins), not just re-runs them.
 from __future__ import annotations
 
 from ..sources.dimensions import Change
-from .params import FIXTURE_PARAMS, Params
+from .params import FIXTURE_PARAMS, FIXTURE_SCAN_WINDOW, Params
 
 P = FIXTURE_PARAMS
 
@@ -550,6 +550,205 @@ ORDER BY p.week, p.delivery_tier
 """)
 
 
+# --- dashboard operators (D-1 .. D-5) ---------------------------------------------
+
+
+def site_overview_cte() -> str:
+    return f"""ev AS (
+  SELECT week, event_name, transaction_id, order_rev_u AS rev_u FROM item_events
+  WHERE {scan(P.start)} AND event_name IN ('session_start', 'purchase')
+  UNION ALL
+  SELECT week, event_name, NULL AS transaction_id, NULL AS rev_u FROM site_events
+  WHERE {scan(P.start)} AND event_name IN ('session_start', 'purchase')
+),
+per_order AS (
+  SELECT week, event_name, transaction_id, COUNT(*) AS n, MAX(rev_u) AS rev_u FROM ev GROUP BY ALL
+),
+so AS (
+  SELECT week,
+    CAST(COALESCE(SUM(CASE WHEN event_name <> 'purchase' THEN n END), 0) AS BIGINT) AS sessions,
+    CAST(count_if(event_name = 'purchase' AND transaction_id IS NOT NULL) AS BIGINT) AS transactions,
+    {money2("SUM(CASE WHEN event_name = 'purchase' THEN rev_u END)")} AS revenue
+  FROM per_order GROUP BY week
+),
+so2 AS (SELECT *, {rate('transactions', 'sessions', 3)} AS cvr FROM so)"""
+
+
+def site_overview_sql() -> str:
+    return with_both(f"{site_overview_cte()}\nSELECT * FROM so2 ORDER BY week")
+
+
+def annotate_changes_sql() -> str:
+    monday = "CAST(date_trunc('week', change_date) AS DATE)"
+    return with_both(f"""{site_overview_cte()},
+ch AS ({change_values(P.changes)}),
+ann AS (
+  SELECT change_date, change_label,
+    CASE WHEN date_diff('day', {monday}, change_date) <= 3 THEN {monday} ELSE {monday} + 7 END AS week
+  FROM ch
+)
+SELECT a.week, a.change_date, a.change_label, s.sessions, s.transactions, s.revenue, s.cvr,
+  s.week IS NOT NULL AS week_in_data
+FROM ann a LEFT JOIN so2 s ON s.week = a.week
+ORDER BY a.change_date
+""")
+
+
+def sale_overlay_sql() -> str:
+    rows = ", ".join(f"(DATE '{x.start}', DATE '{x.end}', '{x.label}')" for x in P.sale_periods)
+    return with_both(f"""{site_overview_cte()},
+periods AS (SELECT * FROM (VALUES {rows}) AS t(sale_start, sale_end, sale_label)),
+per_week AS (
+  SELECT s.week, string_agg(DISTINCT p.sale_label, '; ' ORDER BY p.sale_label) AS sale_labels
+  FROM so2 s JOIN periods p ON s.week >= p.sale_start AND s.week < p.sale_end
+  GROUP BY s.week
+)
+SELECT s.week, s.sessions, s.transactions, s.revenue, s.cvr, w.sale_labels, w.sale_labels IS NOT NULL AS in_sale
+FROM so2 s LEFT JOIN per_week w ON w.week = s.week
+ORDER BY s.week
+""")
+
+
+def step_dropoff_sql() -> str:
+    rates = SITE_RATES + [("shipping_to_purchase_rate", "purchase", "add_shipping_info")]
+    rate_cols = ",\n  ".join(f"{rate(n, d, 2)} AS {name}" for name, n, d in rates)
+    drop_cols = ",\n  ".join(f"{rhu('100.0 - ' + name, 2)} AS {name.replace('_rate', '_dropoff')}"
+                              for name, _, _ in rates)
+    return with_site(f"""{weekly_funnel_cte(P.start)},
+r AS (SELECT *, {rate_cols} FROM weekly_funnel)
+SELECT *, {drop_cols} FROM r ORDER BY week
+""")
+
+
+def category_summary_sql() -> str:
+    q1 = sales_weekly_sql(["category"], "category")
+    return f"""SELECT category, COUNT(*) AS weeks,
+  CAST(SUM(sessions) AS BIGINT) AS sessions,
+  CAST(SUM(transactions) AS BIGINT) AS transactions,
+  {money2('SUM(CAST(round(revenue * 10000.0) AS BIGINT))')} AS revenue,
+  CAST(SUM(add_to_cart) AS BIGINT) AS add_to_cart,
+  CAST(SUM(began_checkout) AS BIGINT) AS began_checkout,
+  {rate('SUM(transactions)', 'SUM(sessions)', 3)} AS cvr
+FROM ({q1}) q1
+GROUP BY category ORDER BY category"""
+
+
+# --- primitive operators -----------------------------------------------------------
+
+
+def week_bucket_sql() -> str:
+    return with_items(f"""
+d AS (SELECT event_date, COUNT(*) AS events FROM item_events WHERE {scan(P.start)} GROUP BY event_date)
+SELECT event_date, CAST(date_trunc('week', strptime(event_date, '%Y%m%d')) AS DATE) AS week, events
+FROM d ORDER BY event_date
+""")
+
+
+def explode_items_sql() -> str:
+    return with_items(f"""
+x AS (SELECT * FROM item_events WHERE {scan(P.start)})
+SELECT event_name, COUNT(*) AS item_rows, CAST(SUM(quantity) AS BIGINT) AS units,
+  {money2('SUM(item_rev_u)')} AS revenue
+FROM x GROUP BY event_name ORDER BY event_name
+""")
+
+
+def event_param_sql() -> str:
+    return with_site(f"""
+x AS (SELECT * FROM site_events WHERE {scan(P.start)})
+SELECT week, COUNT(*) AS events, COUNT(session_id) AS with_session, COUNT(DISTINCT session_id) AS sessions
+FROM x GROUP BY week ORDER BY week
+""")
+
+
+def clean_categories_sql() -> str:
+    block = f"AND category NOT IN ({sql_list(P.blocklist)}) " if P.blocklist else ""
+    c = f"length(category) > 2 AND regexp_matches(category, '^[A-Z]') {block}"
+    return with_items(f"""
+x AS (SELECT * FROM item_events WHERE {scan(P.start)})
+SELECT category, COUNT(*) AS item_rows,
+  CAST(count_if(category IS NOT NULL AND category <> '' AND {c}) AS BIGINT) AS kept_by_category,
+  CAST(count_if(subcategory IS NOT NULL AND subcategory <> '' AND {c}) AS BIGINT) AS kept_by_subcategory
+FROM x GROUP BY category ORDER BY category
+""")
+
+
+def top_products_sql() -> str:
+    return with_items(f"""
+purchases AS (
+  SELECT week, product_name, category, subcategory, {money2('SUM(item_rev_u)')} AS revenue
+  FROM item_events
+  WHERE {scan(P.start)} AND event_name = 'purchase' AND product_name IS NOT NULL
+  GROUP BY ALL
+)
+SELECT product_name, CAST(SUM({hundredths('revenue')}) AS BIGINT) AS revenue_cents
+FROM purchases GROUP BY product_name
+ORDER BY revenue_cents DESC NULLS LAST, product_name LIMIT {P.top_products}
+""")
+
+
+def topk_semi_join_sql() -> str:
+    return with_items(f"""
+x AS (SELECT * FROM item_events WHERE {scan(P.start_recent)} AND event_name = 'purchase' AND product_name IS NOT NULL),
+top_products AS (
+  SELECT product_name FROM x GROUP BY product_name
+  ORDER BY COUNT(DISTINCT transaction_id) DESC, product_name LIMIT {P.top_units}
+)
+SELECT product_name, COUNT(*) AS item_rows, CAST(SUM(quantity) AS BIGINT) AS units
+FROM x JOIN top_products USING (product_name)
+GROUP BY product_name ORDER BY product_name
+""")
+
+
+def range_join_changes_sql() -> str:
+    cols = ", ".join(f"wf.{m}" for m in MEASURES)
+    return with_site(f"""{weekly_funnel_cte(P.start_recent)},
+change_dates AS ({change_values(P.funnel_changes, with_categories=False)})
+SELECT cd.change_label, CASE WHEN wf.week < cd.change_date THEN 'before' ELSE 'after' END AS period,
+  wf.week, {cols}
+FROM weekly_funnel wf
+JOIN change_dates cd
+  ON wf.week >= cd.change_date - INTERVAL 28 DAY AND wf.week < cd.change_date + INTERVAL 28 DAY
+ORDER BY cd.change_label, wf.week
+""")
+
+
+def order_dedup_sql() -> str:
+    return with_items(f"""
+purchases AS (
+  SELECT week, category, transaction_id, order_rev_u FROM item_events
+  WHERE {scan(P.start_recent)} AND event_name = 'purchase' AND {clean('category')}
+)
+SELECT week, category, transaction_id, {money('MAX(order_rev_u)')} AS order_revenue
+FROM purchases GROUP BY 1, 2, 3 ORDER BY 1, 2, 3
+""")
+
+
+def assign_tier_sql() -> str:
+    return with_items(f"""
+ie AS (
+  SELECT * FROM item_events
+  WHERE {scan(P.start_recent)} AND event_name IN ('purchase','add_to_cart','view_item','begin_checkout')
+    AND {clean('category')}
+)
+SELECT {tier_case()} AS delivery_tier, subcategory, category, COUNT(*) AS item_rows
+FROM ie GROUP BY ALL ORDER BY 1, 2, 3
+""")
+
+
+def iso_funnel_sql() -> str:
+    cols = ", ".join(MEASURES)
+    return with_site(f"""{weekly_funnel_cte(P.start)}
+SELECT strftime(week, '%Y-%m-%d') AS week, {cols} FROM weekly_funnel ORDER BY week""")
+
+
+def scan_events_sql(start: str, end: str) -> str:
+    return with_site(f"""
+x AS (SELECT * FROM site_events WHERE event_date BETWEEN '{start}' AND '{end}')
+SELECT event_date, event_name, COUNT(*) AS events FROM x GROUP BY ALL ORDER BY 1, 2
+""")
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "category_weekly": sales_weekly_sql(["category"], "category"),
@@ -566,4 +765,23 @@ def oracle_queries() -> dict[str, str]:
         "product_funnel": product_funnel_sql(),
         "delivery_tier_weekly": delivery_tier_weekly_sql(),
         "funnel_change_impact": funnel_change_impact_sql(),
+        "annotate_changes": annotate_changes_sql(),
+        "sale_overlay": sale_overlay_sql(),
+        "site_overview": site_overview_sql(),
+        "step_dropoff": step_dropoff_sql(),
+        "category_summary": category_summary_sql(),
+        "week_bucket": week_bucket_sql(),
+        "explode_items": explode_items_sql(),
+        "event_param": event_param_sql(),
+        "clean_categories": clean_categories_sql(),
+        "top_products": top_products_sql(),
+        "topk_semi_join": topk_semi_join_sql(),
+        "range_join_changes": range_join_changes_sql(),
+        "anchor_left_join": sales_weekly_sql(["category"], "category"),
+        "order_dedup": order_dedup_sql(),
+        "before_after_union": funnel_change_impact_sql(),
+        "assign_tier": assign_tier_sql(),
+        "iso_dates": iso_funnel_sql(),
+        "json_sink": iso_funnel_sql(),
+        "scan_events": scan_events_sql(*FIXTURE_SCAN_WINDOW),
     }

@@ -89,3 +89,6 @@ FIXTURE_PARAMS = Params(
     tiers=FIXTURE_TIERS,
     sale_periods=FIXTURE_SALE_PERIODS,
 )
+
+# Shard bounds of the scan test (YYYYMMDD): two middle weeks of the site events.
+FIXTURE_SCAN_WINDOW = ("20240108", "20240121")
