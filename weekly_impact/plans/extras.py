@@ -210,7 +210,19 @@ def scan_events_q(spark: SparkSession, events: DataFrame, p: Params, start: str,
     )
 
 
+def funnel_weekly_stream_q(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
+    """Q4 by incremental refresh: shards written, streamed once (available-now), result read back."""
+    from ..streaming.funnel_stream import read_weekly_funnel, refresh_weekly_funnel
+
+    shards = scratch_path(spark, "stream-shards")
+    write_events(events, shards)
+    table = scratch_path(spark, "stream-funnel")
+    refresh_weekly_funnel(spark, shards, table, scratch_path(spark, "stream-ckpt"), start=p.start)
+    return read_weekly_funnel(spark, table).orderBy("week")
+
+
 __all__ = [
+    "funnel_weekly_stream_q",
     "anchor_left_join_q",
     "annotate_changes_q",
     "assign_tier_q",

@@ -784,4 +784,5 @@ def oracle_queries() -> dict[str, str]:
         "iso_dates": iso_funnel_sql(),
         "json_sink": iso_funnel_sql(),
         "scan_events": scan_events_sql(*FIXTURE_SCAN_WINDOW),
+        "funnel_weekly_stream": funnel_weekly_sql(),
     }

@@ -90,6 +90,7 @@ PRIMITIVE_QUERIES: dict[str, QueryFn] = {
     "assign_tier": _items(X.assign_tier_q),
     "iso_dates": _site(X.iso_dates_q),
     "json_sink": _site_s(X.json_sink_q),
+    "funnel_weekly_stream": _site_s(X.funnel_weekly_stream_q),
     "scan_events": lambda spark, d: X.scan_events_q(
         spark, site_events(spark, d), FIXTURE_PARAMS, *FIXTURE_SCAN_WINDOW
     ),
