@@ -46,14 +46,23 @@ def item_fact(events: DataFrame, event_names: Sequence[str] | None = None) -> Da
     ev = events.select("event_date", "event_name", "user_pseudo_id", "ecommerce", "items")
     if event_names is not None:
         ev = ev.where(F.col("event_name").isin(list(event_names)))
-    x = explode_items(ev)
-    item = F.col("item")
-    return x.select(
+    # Event-level fields once per event, before the unnest multiplies rows.
+    ev = ev.select(
         event_week("event_date").alias("week"),
         "event_name",
         "user_pseudo_id",
         F.col("ecommerce.transaction_id").alias("transaction_id"),
         money_units(F.col("ecommerce.purchase_revenue")).alias("order_rev_u"),
+        "items",
+    )
+    x = explode_items(ev)
+    item = F.col("item")
+    return x.select(
+        "week",
+        "event_name",
+        "user_pseudo_id",
+        "transaction_id",
+        "order_rev_u",
         item["item_name"].alias("product_name"),
         item["item_category"].alias("category"),
         item["item_category2"].alias("subcategory"),

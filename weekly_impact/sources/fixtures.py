@@ -86,36 +86,39 @@ def _stage_name(stage: Column) -> Column:
     return expr
 
 
-def _orders(spark: SparkSession, sf_dir: str, start: str, end: str | None) -> DataFrame:
+def order_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end: str | None = None) -> DataFrame:
+    """Event-level rows of the item mapping (no items yet), keyed by ``o_orderkey``.
+
+    Event fields are computed once per order and stage, before any join, and
+    a query's ``event_name`` filter lands right after the stage explode, so
+    a purchase-only query shuffles and joins purchase events only.  Stages
+    come from exploding a constant array and a plain filter (both codegen'd;
+    a lambda ``filter`` would run interpreted).
+    """
     orders = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
+        "o_orderkey", "o_orderstatus", "o_totalprice",
+        F.col("o_custkey").cast("string").alias("user_pseudo_id"),
+        yyyymmdd("o_orderdate").alias("event_date"),
+        "o_orderdate",
     )
     # Parquet-pushable floor on the raw column, then the exact string bound.
     floor = F.to_timestamp(F.lit(start), "yyyyMMdd").cast("timestamp_ntz")
-    return orders.where((F.col("o_orderdate") >= floor) & shard_filter(start, end, yyyymmdd("o_orderdate")))
-
-
-def stage_events(orders: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Orders (``o_*`` columns) -> one event row per emitted funnel stage.
-
-    Stages come from exploding a constant four-element array and a plain
-    filter (both codegen'd; a lambda ``filter`` would run interpreted).
-    """
+    orders = orders.where((F.col("o_orderdate") >= floor) & shard_filter(start, end))
     key = F.col("o_orderkey")
     staged = orders.select(
         "*", F.explode(F.array(*[F.lit(i) for i in range(len(STAGE_NAMES))])).alias("stage")
     ).where(_stage_kept(key, F.col("o_orderstatus"), F.col("stage")))
     is_purchase = F.col("stage") == 3
     return staged.select(
+        "o_orderkey",
         _stage_name(F.col("stage")).alias("event_name"),
-        F.col("o_custkey").cast("string").alias("user_pseudo_id"),
+        "user_pseudo_id",
         F.array().cast(EVENT_PARAMS).alias("event_params"),
         F.struct(
             F.when(is_purchase & (key % 97 != 0), key.cast("string")).alias("transaction_id"),
             F.when(is_purchase, F.col("o_totalprice")).alias("purchase_revenue"),
         ).alias("ecommerce"),
-        yyyymmdd("o_orderdate").alias("event_date"),
-        *(extra or []),
+        "event_date",
     )
 
 
@@ -125,25 +128,23 @@ ITEM_FIELDS = ["item_name", "item_category", "item_category2", "price", "quantit
 def item_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end: str | None = None) -> DataFrame:
     """Nested GA4-shaped events (``EVENT_COLUMNS``) from orders x lineitem x part.
 
-    Only raw, narrow columns cross the one shuffle: orders (one row per
-    order, not per stage) and lines (keys and quantity, no item strings) are
-    joined on the order key, then stages are exploded and the part dimension
-    attached after it.  The order side grows with the data, so it is never
-    broadcast: a shuffled hash join builds on it (one row per order key, no
-    build-side skew) and AQE splits a hot order's partition on the line side
-    (inner join).  ``part`` is joined by the planner's size check (broadcast
-    while small, sort-merge otherwise).  Each line becomes a one-element
-    ``items`` array: a projection, not an aggregate, so no group is ever
-    collected however many lines an order has.
+    One shuffle: order events (after the query's event filter) and narrow
+    lines (keys and quantity, no item strings) meet on the order key.  The
+    order side grows with the data, so it is never broadcast: a shuffled hash
+    join builds on it (at most four events per order key, no build-side skew)
+    and AQE splits a hot order's partition on the line side (inner join).
+    ``part`` is joined after it by the planner's size check (broadcast while
+    small, sort-merge otherwise).  Each line becomes a one-element ``items``
+    array: a projection, not an aggregate, so no group is ever collected
+    however many lines an order has.
     """
-    orders = _orders(spark, sf_dir, start, end).hint("shuffle_hash")
+    events = order_events(spark, sf_dir, start, end).hint("shuffle_hash")
     lines = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", F.col("l_quantity").cast("bigint").alias("quantity")
     )
-    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "inner")
-    events = stage_events(joined, ["l_partkey", "quantity"])
+    joined = events.join(lines, events.o_orderkey == lines.l_orderkey, "inner")
     parts = _part_item(_table(spark, sf_dir, "part"))
-    with_items = events.join(parts, events.l_partkey == parts.p_partkey, "inner")
+    with_items = joined.join(parts, joined.l_partkey == parts.p_partkey, "inner")
     items = F.array(F.struct(*ITEM_FIELDS)).alias("items")
     return with_items.select(*[c for c in EVENT_COLUMNS if c != "items"], items).select(*EVENT_COLUMNS)
 
