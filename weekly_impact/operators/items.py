@@ -12,6 +12,7 @@ from ..functions.numeric import money_units
 
 # Columns of the item fact produced by :func:`item_fact`.
 ITEM_FACT_COLUMNS = [
+    "event_date",
     "week",
     "event_name",
     "user_pseudo_id",
@@ -42,12 +43,21 @@ def item_fact(events: DataFrame, event_names: Sequence[str] | None = None) -> Da
     rows (and reaches the scan when ``event_name`` is a stored column).  Money
     is carried as BIGINT units (see :mod:`weekly_impact.functions.numeric`):
     ``item_rev_u`` is ``price * quantity``, ``order_rev_u`` the order revenue.
+
+    ``events`` may also be an item fact already (e.g. one materialized for a
+    whole refresh run): it is then only filtered, not unnested again.
     """
+    if set(ITEM_FACT_COLUMNS) <= set(events.columns):
+        fact = events.select(*ITEM_FACT_COLUMNS)
+        if event_names is not None:
+            fact = fact.where(F.col("event_name").isin(list(event_names)))
+        return fact
     ev = events.select("event_date", "event_name", "user_pseudo_id", "ecommerce", "items")
     if event_names is not None:
         ev = ev.where(F.col("event_name").isin(list(event_names)))
     # Event-level fields once per event, before the unnest multiplies rows.
     ev = ev.select(
+        "event_date",
         event_week("event_date").alias("week"),
         "event_name",
         "user_pseudo_id",
@@ -58,6 +68,7 @@ def item_fact(events: DataFrame, event_names: Sequence[str] | None = None) -> Da
     x = explode_items(ev)
     item = F.col("item")
     return x.select(
+        "event_date",
         "week",
         "event_name",
         "user_pseudo_id",
