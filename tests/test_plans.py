@@ -38,3 +38,20 @@ def test_change_windows_are_broadcast_hash_joins(spark):
 def test_scan_prunes_columns(spark):
     p = plan(Q.funnel_weekly(site_events(spark, SF), FIXTURE_PARAMS))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,props:string>" in p
+
+
+@pytest.mark.parametrize("key", ["category_weekly", "subcategory_weekly", "category_funnel", "delivery_tier_weekly"])
+def test_one_pass_queries_scan_each_table_once(spark, key):
+    p = plan(E.queries()[key](spark, SF))
+    for t in ("orders.parquet", "lineitem.parquet", "part.parquet"):
+        assert p.count(t) == 1, (key, t)
+
+
+def test_event_scan_uses_partition_filter(spark, tmp_path):
+    from weekly_impact.plans.registry import site_events as se
+    from weekly_impact.sources.events import read_events, write_events
+
+    path = str(tmp_path / "shards")
+    write_events(se(spark, SF), path)
+    p = plan(read_events(spark, path, "20240108", "20240121").groupBy("event_name").count())
+    assert "PartitionFilters: [isnotnull(event_date" in p and "20240108" in p
