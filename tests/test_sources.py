@@ -38,3 +38,25 @@ def test_run_metadata_one_row(spark):
     r = rows[0]
     assert r.project_id == "proj" and len(r.delivery_changes) == 3 and len(r.sale_periods) == 7
     assert r.last_updated.endswith("Z") or "+" in r.last_updated
+
+
+def test_stream_refresh_is_zone_independent(spark, tmp_path):
+    from weekly_impact.plans.params import FIXTURE_PARAMS
+    from weekly_impact.plans.queries import funnel_weekly
+    from weekly_impact.plans.registry import site_events
+    from weekly_impact.sources.events import write_events
+    from weekly_impact.streaming import read_weekly_funnel, refresh_weekly_funnel
+
+    sf = "/root/testdata/sf0.001"
+    shards = str(tmp_path / "shards")
+    write_events(site_events(spark, sf), shards)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        table = str(tmp_path / "table")
+        refresh_weekly_funnel(spark, shards, table, str(tmp_path / "ckpt"), start="19950101")
+        got = read_weekly_funnel(spark, table)
+        want = funnel_weekly(site_events(spark, sf), FIXTURE_PARAMS)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

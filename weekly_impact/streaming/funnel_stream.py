@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.dates import parse_event_date
 from ..operators.funnel import FUNNEL_STEPS
 from ..sources.events import EVENT_SCHEMA, shard_filter
 
@@ -41,13 +42,16 @@ def weekly_funnel_stream(
     ev = (
         reader.parquet(source_path)
         .where(shard_filter(start) & F.col("event_name").isin(names))
-        .select("event_name", F.to_timestamp("event_date", "yyyyMMdd").alias("event_ts"))
+        # Event time as the UTC midnight of the event date, from its day number:
+        # windows align to UTC, so week labels do not depend on the session zone.
+        .select("event_name", F.timestamp_seconds(F.unix_date(parse_event_date("event_date")) * 86400).alias("event_ts"))
         .withWatermark("event_ts", watermark)
     )
     agg = ev.groupBy(F.window("event_ts", "7 days", "7 days", MONDAY_OFFSET).alias("w")).agg(
         *[F.count_if(F.col("event_name") == e).alias(c) for e, c in FUNNEL_STEPS]
     )
-    return agg.select(F.col("w.start").cast("date").alias("week"), *[c for _, c in FUNNEL_STEPS])
+    week = F.date_from_unix_date((F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
+    return agg.select(week.alias("week"), *[c for _, c in FUNNEL_STEPS])
 
 
 def _upsert_weeks(table_path: str):
