@@ -52,7 +52,7 @@ def sale_overlay_q(spark: SparkSession, events: DataFrame, p: Params) -> DataFra
 
 def step_dropoff_q(events: DataFrame, p: Params) -> DataFrame:
     """D-4: per-week step rates and drop-offs of the site funnel."""
-    return step_dropoff(funnel_counts(Q._scan(events, p.start, p))).orderBy("week")
+    return step_dropoff(funnel_counts(Q.scoped(events, p.start, p))).orderBy("week")
 
 
 def category_summary_q(events: DataFrame, p: Params) -> DataFrame:
@@ -65,7 +65,7 @@ def category_summary_q(events: DataFrame, p: Params) -> DataFrame:
 
 def week_bucket_q(events: DataFrame, p: Params) -> DataFrame:
     """P-1: every event date with its Monday week and event count."""
-    ev = Q._scan(events, p.start, p)
+    ev = Q.scoped(events, p.start, p)
     return ev.groupBy("event_date").agg(F.count(F.lit(1)).alias("events")).select(
         "event_date", event_week("event_date").alias("week"), "events"
     ).orderBy("event_date")
@@ -73,7 +73,7 @@ def week_bucket_q(events: DataFrame, p: Params) -> DataFrame:
 
 def explode_items_q(events: DataFrame, p: Params) -> DataFrame:
     """R-2: item rows, units and revenue per event name after the inner unnest."""
-    x = explode_items(Q._scan(events, p.start, p).select("event_name", "items"))
+    x = explode_items(Q.scoped(events, p.start, p).select("event_name", "items"))
     return x.groupBy("event_name").agg(
         F.count(F.lit(1)).alias("item_rows"),
         F.sum(F.col("item.quantity")).alias("units"),
@@ -83,7 +83,7 @@ def explode_items_q(events: DataFrame, p: Params) -> DataFrame:
 
 def event_param_q(events: DataFrame, p: Params) -> DataFrame:
     """P-5: per week, events, events carrying ``ga_session_id`` and distinct sessions."""
-    ev = Q._scan(events, p.start, p).select(
+    ev = Q.scoped(events, p.start, p).select(
         event_week("event_date").alias("week"), event_param("ga_session_id").alias("session_id")
     )
     return ev.groupBy("week").agg(
@@ -95,7 +95,7 @@ def event_param_q(events: DataFrame, p: Params) -> DataFrame:
 
 def clean_categories_q(events: DataFrame, p: Params) -> DataFrame:
     """F-3: per raw category value, item rows kept by each filter variant."""
-    fact = item_fact(Q._scan(events, p.start, p))
+    fact = item_fact(Q.scoped(events, p.start, p))
     clean = category_is_clean(F.col("category"), p.blocklist)
     return fact.groupBy("category").agg(
         F.count(F.lit(1)).alias("item_rows"),
@@ -106,7 +106,7 @@ def clean_categories_q(events: DataFrame, p: Params) -> DataFrame:
 
 def top_products_q(events: DataFrame, p: Params) -> DataFrame:
     """C-3 / O-2: the product-weekly top-K list with its ranking metric."""
-    fact = item_fact(Q._scan(events, p.start, p), ["purchase"]).where(F.col("product_name").isNotNull())
+    fact = item_fact(Q.scoped(events, p.start, p), ["purchase"]).where(F.col("product_name").isNotNull())
     purchases = fact.groupBy("week", *Q.PRODUCT_KEYS).agg(Q.money2(F.sum("item_rev_u")).alias("revenue"))
     return Q.top_products_by_revenue(purchases, p.top_products).orderBy(
         F.col("revenue_cents").desc_nulls_last(), "product_name"
@@ -115,7 +115,7 @@ def top_products_q(events: DataFrame, p: Params) -> DataFrame:
 
 def topk_semi_join_q(events: DataFrame, p: Params) -> DataFrame:
     """R-3: purchase item rows of the top products by orders, per product."""
-    fact = item_fact(Q._scan(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
+    fact = item_fact(Q.scoped(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
     top = top_k(fact, "product_name", F.count_distinct("transaction_id"), p.top_units, "orders")
     kept = topk_semi_join(fact, top, "product_name", p.top_units)
     return kept.groupBy("product_name").agg(
@@ -125,7 +125,7 @@ def topk_semi_join_q(events: DataFrame, p: Params) -> DataFrame:
 
 def range_join_changes_q(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """R-5: weekly site funnel rows paired with every change window holding them."""
-    weekly = funnel_counts(Q._scan(events, p.start_recent, p))
+    weekly = funnel_counts(Q.scoped(events, p.start_recent, p))
     j = range_join_changes(weekly, changes_df(spark, p.funnel_changes), p.window_days)
     return j.select("change_label", "period", "week", *[c for _, c in FUNNEL_STEPS]).orderBy(
         "change_label", "week"
@@ -134,7 +134,7 @@ def range_join_changes_q(spark: SparkSession, events: DataFrame, p: Params) -> D
 
 def anchor_left_join_q(events: DataFrame, p: Params) -> DataFrame:
     """R-1: Q1 in the reference's literal shape (anchor CTE + LEFT JOIN chain)."""
-    fact = Q._sales_fact(events, p, p.start, Q.SALES_EVENTS, "category")
+    fact = Q.sales_fact(events, p, p.start, Q.SALES_EVENTS, "category")
     j = anchor_left_join(
         fact,
         ["category"],
@@ -161,7 +161,7 @@ def anchor_left_join_q(events: DataFrame, p: Params) -> DataFrame:
 
 def order_dedup_q(events: DataFrame, p: Params) -> DataFrame:
     """A-7: one row per (week, category, order) with the order's MAX revenue."""
-    fact = Q._sales_fact(events, p, p.start_recent, ["purchase"], "category")
+    fact = Q.sales_fact(events, p, p.start_recent, ["purchase"], "category")
     return order_dedup(fact, ["category"]).select(
         "week", "category", "transaction_id", units_to_money(F.col("order_rev_u")).alias("order_revenue")
     ).orderBy("week", "category", "transaction_id")
@@ -169,14 +169,14 @@ def order_dedup_q(events: DataFrame, p: Params) -> DataFrame:
 
 def before_after_union_q(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """U-1: Q14 through two joins and UNION ALL (the reference's shape)."""
-    weekly = funnel_counts(Q._scan(events, p.start_recent, p))
+    weekly = funnel_counts(Q.scoped(events, p.start_recent, p))
     avgs = before_after_union(weekly, changes_df(spark, p.funnel_changes), Q.FUNNEL_MEASURES, p.window_days)
     return Q.funnel_impact_output(avgs)
 
 
 def assign_tier_q(events: DataFrame, p: Params) -> DataFrame:
     """E-5: item rows per (tier, subcategory, category) under the ordered rules."""
-    fact = Q._sales_fact(events, p, p.start_recent, Q.SALES_EVENTS, "category")
+    fact = Q.sales_fact(events, p, p.start_recent, Q.SALES_EVENTS, "category")
     tiered = fact.withColumn("delivery_tier", assign_tier(p.tiers, p.default_tier))
     return tiered.groupBy("delivery_tier", "subcategory", "category").agg(
         F.count(F.lit(1)).alias("item_rows")

@@ -46,12 +46,12 @@ def to_hundredths(x: Column) -> Column:
     return F.round(x * F.lit(100.0)).cast("bigint")
 
 
-def _scan(events: DataFrame, start: str, p: Params) -> DataFrame:
+def scoped(events: DataFrame, start: str, p: Params) -> DataFrame:
     return events.where(shard_filter(start, p.end))
 
 
-def _sales_fact(events: DataFrame, p: Params, start: str, names, required: str) -> DataFrame:
-    fact = item_fact(_scan(events, start, p), names)
+def sales_fact(events: DataFrame, p: Params, start: str, names, required: str) -> DataFrame:
+    fact = item_fact(scoped(events, start, p), names)
     return clean_categories(fact, p.blocklist, required_col=required)
 
 
@@ -59,7 +59,7 @@ def _sales_fact(events: DataFrame, p: Params, start: str, names, required: str)
 
 
 def sales_weekly(events: DataFrame, p: Params, keys: list[str], required: str) -> DataFrame:
-    fact = _sales_fact(events, p, p.start, SALES_EVENTS, required)
+    fact = sales_fact(events, p, p.start, SALES_EVENTS, required)
     w = weekly_metrics(
         fact,
         keys,
@@ -119,7 +119,7 @@ def product_weekly(events: DataFrame, p: Params) -> DataFrame:
     and subcategory may be null here, so the two grains are joined (on the
     non-null week and product), as in the reference.
     """
-    fact = item_fact(_scan(events, p.start, p), PRODUCT_EVENTS).where(F.col("product_name").isNotNull())
+    fact = item_fact(scoped(events, p.start, p), PRODUCT_EVENTS).where(F.col("product_name").isNotNull())
     grain = materialize(event_grain(fact, PRODUCT_KEYS, PRODUCT_PURCHASE_METRICS + PRODUCT_CART_METRICS))
     purchases = rollup(grain, PRODUCT_KEYS, PRODUCT_PURCHASE_METRICS, anchor="purchase").select(
         "week", *PRODUCT_KEYS, "transactions", money2(F.col("_rev_u")).alias("revenue"), "units_sold"
@@ -149,7 +149,7 @@ def product_weekly(events: DataFrame, p: Params) -> DataFrame:
 
 def funnel_weekly(events: DataFrame, p: Params) -> DataFrame:
     """Q4: per week, event counts of the seven funnel steps."""
-    return funnel_counts(_scan(events, p.start, p)).orderBy("week")
+    return funnel_counts(scoped(events, p.start, p)).orderBy("week")
 
 
 # --- Q5 / Q6: order value and units per order --------------------------------
@@ -157,7 +157,7 @@ def funnel_weekly(events: DataFrame, p: Params) -> DataFrame:
 
 def aov_weekly(events: DataFrame, p: Params) -> DataFrame:
     """Q5: orders, revenue and mean order value per (week, category), one row per order first."""
-    fact = _sales_fact(events, p, p.start_recent, ["purchase"], "category")
+    fact = sales_fact(events, p, p.start_recent, ["purchase"], "category")
     per_order = order_dedup(fact, ["category"])
     return (
         per_order.groupBy("week", "category")
@@ -172,7 +172,7 @@ def aov_weekly(events: DataFrame, p: Params) -> DataFrame:
 
 def units_per_tx(events: DataFrame, p: Params) -> DataFrame:
     """Q6: units per order of the top products (by distinct orders)."""
-    fact = item_fact(_scan(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
+    fact = item_fact(scoped(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
     per_tx = materialize(
         fact.groupBy("week", "product_name", "category", "subcategory", "transaction_id").agg(
             F.sum("quantity").alias("qty_in_tx")
@@ -210,7 +210,7 @@ def _impact_columns(measures: list[tuple[str, int, bool]]) -> list[Column]:
 
 def change_impact(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q7: 4-week averages of weekly category revenue, orders and line-weighted AOV."""
-    fact = _sales_fact(events, p, p.start_recent, ["purchase"], "category")
+    fact = sales_fact(events, p, p.start_recent, ["purchase"], "category")
     weekly = fact.groupBy("week", "category").agg(
         F.count_distinct("transaction_id").alias("transactions"),
         to_hundredths(money2(F.sum("item_rev_u"))).alias("rev_c"),
@@ -235,7 +235,7 @@ def change_impact(spark: SparkSession, events: DataFrame, p: Params) -> DataFram
 
 def change_impact_subcategory(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q8: Q7 per (category, subcategory), revenue and orders."""
-    fact = _sales_fact(events, p, p.start_recent, ["purchase"], "subcategory")
+    fact = sales_fact(events, p, p.start_recent, ["purchase"], "subcategory")
     weekly = fact.groupBy("week", "category", "subcategory").agg(
         F.count_distinct("transaction_id").alias("transactions"),
         to_hundredths(money2(F.sum("item_rev_u"))).alias("rev_c"),
@@ -254,7 +254,7 @@ def change_impact_subcategory(spark: SparkSession, events: DataFrame, p: Params)
 
 def change_impact_product(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q9: Q7 per top product (by whole-range revenue), with mean units per item row."""
-    fact = item_fact(_scan(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
+    fact = item_fact(scoped(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
     weekly = materialize(
         fact.groupBy("week", "product_name", "category", "subcategory").agg(
             F.count_distinct("transaction_id").alias("transactions"),
@@ -307,7 +307,7 @@ def _funnel_metrics(with_views: bool = True):
 
 
 def segment_funnel(events: DataFrame, p: Params, keys: list[str], required: str) -> DataFrame:
-    fact = _sales_fact(events, p, p.start_recent, FUNNEL_EVENTS, required)
+    fact = sales_fact(events, p, p.start_recent, FUNNEL_EVENTS, required)
     w = weekly_metrics(fact, keys, _funnel_metrics(), anchor="view_item")
     return w.select(
         "week", *keys, "views", "add_to_cart", "begin_checkout", "purchases", *_funnel_rate_cols()
@@ -331,7 +331,7 @@ def product_funnel(events: DataFrame, p: Params) -> DataFrame:
     and shuffle).  Views keep category/subcategory, which may be null here,
     so the per-product steps are joined back on (week, product).
     """
-    fact = item_fact(_scan(events, p.start_recent, p), FUNNEL_EVENTS).where(F.col("product_name").isNotNull())
+    fact = item_fact(scoped(events, p.start_recent, p), FUNNEL_EVENTS).where(F.col("product_name").isNotNull())
     ms = _funnel_metrics()
     grain = materialize(event_grain(fact, PRODUCT_KEYS, ms))
     is_order = (F.col("event_name") == "purchase") & F.col("_dkey").isNotNull()
@@ -355,7 +355,7 @@ def product_funnel(events: DataFrame, p: Params) -> DataFrame:
 
 def delivery_tier_weekly(events: DataFrame, p: Params) -> DataFrame:
     """Q13: weekly sales and distinct-user funnel per delivery tier (ordered rules)."""
-    fact = _sales_fact(events, p, p.start_recent, SALES_EVENTS, "category")
+    fact = sales_fact(events, p, p.start_recent, SALES_EVENTS, "category")
     tiered = fact.withColumn("delivery_tier", assign_tier(p.tiers, p.default_tier))
     w = weekly_metrics(
         tiered,
@@ -394,7 +394,7 @@ FUNNEL_MEASURES = [c for _, c in FUNNEL_STEPS]
 
 def funnel_change_impact(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q14: 4-week mean of each site funnel step before and after each change, with step rates."""
-    weekly = funnel_counts(_scan(events, p.start_recent, p))
+    weekly = funnel_counts(scoped(events, p.start_recent, p))
     avgs = period_averages(weekly, changes_df(spark, p.funnel_changes), FUNNEL_MEASURES, p.window_days)
     return funnel_impact_output(avgs)
 
