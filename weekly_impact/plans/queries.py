@@ -11,7 +11,7 @@ weeks present, and rounding happens twice in the impact queries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.categories import clean_categories
@@ -98,12 +98,6 @@ def subcategory_weekly(events: DataFrame, p: Params) -> DataFrame:
 
 
 PRODUCT_KEYS = ["product_name", "category", "subcategory"]
-PRODUCT_PURCHASE_METRICS = [
-    distinct("transactions", "purchase", "transaction_id"),
-    total("_rev_u", "purchase", "item_rev_u"),
-    total("units_sold", "purchase", "quantity"),
-]
-PRODUCT_CART_METRICS = [rows("add_to_cart", "add_to_cart"), rows("product_views", "view_item")]
 
 
 def top_products_by_revenue(purchases: DataFrame, k: int) -> DataFrame:
@@ -114,20 +108,39 @@ def top_products_by_revenue(purchases: DataFrame, k: int) -> DataFrame:
 def product_weekly(events: DataFrame, p: Params) -> DataFrame:
     """Q3: top products' weekly purchases, with per-product cart and view row counts.
 
-    Purchases (4 keys), cart/view rows (2 keys) and the top-K list all roll up
-    from one event grain, so the unnest and its shuffle run once.  Category
-    and subcategory may be null here, so the two grains are joined (on the
-    non-null week and product), as in the reference.
+    One aggregate per (week, product, category, subcategory) carries the
+    purchase metrics and the cart/view *row* counts; it is written once and
+    feeds both the top-K list and the result.  The per-(week, product) cart
+    and view counts - the reference joins them from a second grain, so they
+    repeat on each category row - are a window sum over that product-week's
+    category rows (a handful per product-week, whatever the data size).
+    Category and subcategory may be null and are grouped as SQL does.
     """
     fact = item_fact(scoped(events, p.start, p), PRODUCT_EVENTS).where(F.col("product_name").isNotNull())
-    grain = materialize(event_grain(fact, PRODUCT_KEYS, PRODUCT_PURCHASE_METRICS + PRODUCT_CART_METRICS))
-    purchases = rollup(grain, PRODUCT_KEYS, PRODUCT_PURCHASE_METRICS, anchor="purchase").select(
-        "week", *PRODUCT_KEYS, "transactions", money2(F.col("_rev_u")).alias("revenue"), "units_sold"
+    ev = F.col("event_name")
+    is_p = ev == "purchase"
+    agg4 = materialize(
+        fact.groupBy("week", *PRODUCT_KEYS).agg(
+            F.count_distinct(F.when(is_p, F.col("transaction_id"))).alias("transactions"),
+            money2(F.sum(F.when(is_p, F.col("item_rev_u")))).alias("revenue"),
+            F.sum(F.when(is_p, F.col("quantity"))).alias("units_sold"),
+            F.count_if(is_p).alias("_purchase_rows"),
+            F.count_if(ev == "add_to_cart").alias("_cart_rows"),
+            F.count_if(ev == "view_item").alias("_view_rows"),
+        ),
+        "product-week",
     )
+    purchases = agg4.where(F.col("_purchase_rows") > 0)
     top = top_products_by_revenue(purchases, p.top_products)
-    carts = rollup(grain, ["product_name"], PRODUCT_CART_METRICS, grain_keys=PRODUCT_KEYS)
-    out = topk_semi_join(purchases, top, "product_name", p.top_products).join(
-        carts, ["week", "product_name"], "left"
+    pw = Window.partitionBy("week", "product_name")
+    out = topk_semi_join(
+        agg4.withColumns({
+            "add_to_cart": F.sum("_cart_rows").over(pw),
+            "product_views": F.sum("_view_rows").over(pw),
+        }).where(F.col("_purchase_rows") > 0),
+        top,
+        "product_name",
+        p.top_products,
     )
     views = F.col("product_views")
     return out.select(
@@ -138,8 +151,8 @@ def product_weekly(events: DataFrame, p: Params) -> DataFrame:
         "transactions",
         "revenue",
         "units_sold",
-        F.coalesce(F.col("add_to_cart"), F.lit(0)).alias("add_to_cart"),
-        F.coalesce(views, F.lit(0)).alias("product_views"),
+        "add_to_cart",
+        "product_views",
         rate(F.col("transactions"), F.nullif(views, F.lit(0)), 3).alias("pdp_cvr"),
     ).orderBy(F.col("week"), F.col("revenue").desc_nulls_last(), "product_name", "category", "subcategory")
 

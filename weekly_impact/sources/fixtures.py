@@ -130,15 +130,16 @@ def item_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end:
 
     One shuffle: order events (after the query's event filter) and narrow
     lines (keys and quantity, no item strings) meet on the order key.  The
-    order side grows with the data, so it is never broadcast: a shuffled hash
-    join builds on it (at most four events per order key, no build-side skew)
-    and AQE splits a hot order's partition on the line side (inner join).
+    order side grows with the data, so it is never broadcast: a sort-merge
+    join (both sides spill; no per-partition hash table that must fit in
+    memory) and AQE splits a hot order's partition on the line side (inner
+    join).
     ``part`` is joined after it by the planner's size check (broadcast while
     small, sort-merge otherwise).  Each line becomes a one-element ``items``
     array: a projection, not an aggregate, so no group is ever collected
     however many lines an order has.
     """
-    events = order_events(spark, sf_dir, start, end).hint("shuffle_hash")
+    events = order_events(spark, sf_dir, start, end).hint("merge")
     lines = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", F.col("l_quantity").cast("bigint").alias("quantity")
     )
