@@ -340,18 +340,24 @@ def subcategory_funnel(events: DataFrame, p: Params) -> DataFrame:
 def product_funnel(events: DataFrame, p: Params) -> DataFrame:
     """Q12: Q10 for the top products by orders; views at 4 keys, the other steps per product.
 
-    Views, steps and the top-K list roll up from one event grain (one unnest
-    and shuffle).  Views keep category/subcategory, which may be null here,
-    so the per-product steps are joined back on (week, product).
+    The views (distinct viewers per product, category, subcategory and week)
+    come straight from the view events.  Cart, checkout and purchase events
+    form one (week, product, event, distinct-key) grain, written once, from
+    which the per-product steps and the top-K list are both rolled up.  The
+    two branches read disjoint events (the event filter reaches the scan
+    side), so no row is unnested twice.  Views keep category/subcategory,
+    which may be null here, so the steps are joined back on (week, product).
     """
-    fact = item_fact(scoped(events, p.start_recent, p), FUNNEL_EVENTS).where(F.col("product_name").isNotNull())
-    ms = _funnel_metrics()
-    grain = materialize(event_grain(fact, PRODUCT_KEYS, ms))
+    nonnull = F.col("product_name").isNotNull()
+    viewed = item_fact(scoped(events, p.start_recent, p), ["view_item"]).where(nonnull)
+    views = viewed.groupBy("week", *PRODUCT_KEYS).agg(F.count_distinct("user_pseudo_id").alias("views"))
+    later = item_fact(scoped(events, p.start_recent, p), FUNNEL_EVENTS[1:]).where(nonnull)
+    ms = _funnel_metrics(with_views=False)
+    grain = materialize(event_grain(later, ["product_name"], ms), "product-steps")
     is_order = (F.col("event_name") == "purchase") & F.col("_dkey").isNotNull()
     top = top_k(grain, "product_name", F.count_distinct(F.when(is_order, F.col("_dkey"))),
                 p.top_funnel_products, "orders")
-    views = rollup(grain, PRODUCT_KEYS, ms[:1], anchor="view_item")
-    steps = rollup(grain, ["product_name"], ms[1:], grain_keys=PRODUCT_KEYS)
+    steps = rollup(grain, ["product_name"], ms)
     out = topk_semi_join(views, top, "product_name", p.top_funnel_products).join(
         steps, ["week", "product_name"], "left"
     )
