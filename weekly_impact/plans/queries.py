@@ -11,7 +11,7 @@ weeks present, and rounding happens twice in the impact queries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.categories import clean_categories
@@ -108,39 +108,32 @@ def top_products_by_revenue(purchases: DataFrame, k: int) -> DataFrame:
 def product_weekly(events: DataFrame, p: Params) -> DataFrame:
     """Q3: top products' weekly purchases, with per-product cart and view row counts.
 
-    One aggregate per (week, product, category, subcategory) carries the
-    purchase metrics and the cart/view *row* counts; it is written once and
-    feeds both the top-K list and the result.  The per-(week, product) cart
-    and view counts - the reference joins them from a second grain, so they
-    repeat on each category row - are a window sum over that product-week's
-    category rows (a handful per product-week, whatever the data size).
-    Category and subcategory may be null and are grouped as SQL does.
+    Purchases per (week, product, category, subcategory) are aggregated from
+    purchase events and written once: they feed both the top-K list and the
+    result.  Cart and view *row* counts per (week, product) come from their
+    own events in one pass (map-side partial counts) and are joined back, so
+    the same count repeats on each category row, as in the reference.  The
+    two branches read disjoint events (the event filter reaches the scan
+    side).  Category and subcategory may be null and are grouped as SQL does.
     """
-    fact = item_fact(scoped(events, p.start, p), PRODUCT_EVENTS).where(F.col("product_name").isNotNull())
-    ev = F.col("event_name")
-    is_p = ev == "purchase"
-    agg4 = materialize(
-        fact.groupBy("week", *PRODUCT_KEYS).agg(
-            F.count_distinct(F.when(is_p, F.col("transaction_id"))).alias("transactions"),
-            money2(F.sum(F.when(is_p, F.col("item_rev_u")))).alias("revenue"),
-            F.sum(F.when(is_p, F.col("quantity"))).alias("units_sold"),
-            F.count_if(is_p).alias("_purchase_rows"),
-            F.count_if(ev == "add_to_cart").alias("_cart_rows"),
-            F.count_if(ev == "view_item").alias("_view_rows"),
+    nonnull = F.col("product_name").isNotNull()
+    bought = item_fact(scoped(events, p.start, p), ["purchase"]).where(nonnull)
+    purchases = materialize(
+        bought.groupBy("week", *PRODUCT_KEYS).agg(
+            F.count_distinct("transaction_id").alias("transactions"),
+            money2(F.sum("item_rev_u")).alias("revenue"),
+            F.sum("quantity").alias("units_sold"),
         ),
-        "product-week",
+        "product-purchases",
     )
-    purchases = agg4.where(F.col("_purchase_rows") > 0)
     top = top_products_by_revenue(purchases, p.top_products)
-    pw = Window.partitionBy("week", "product_name")
-    out = topk_semi_join(
-        agg4.withColumns({
-            "add_to_cart": F.sum("_cart_rows").over(pw),
-            "product_views": F.sum("_view_rows").over(pw),
-        }).where(F.col("_purchase_rows") > 0),
-        top,
-        "product_name",
-        p.top_products,
+    carts = weekly_metrics(
+        item_fact(scoped(events, p.start, p), ["add_to_cart", "view_item"]).where(nonnull),
+        ["product_name"],
+        [rows("add_to_cart", "add_to_cart"), rows("product_views", "view_item")],
+    )
+    out = topk_semi_join(purchases, top, "product_name", p.top_products).join(
+        carts, ["week", "product_name"], "left"
     )
     views = F.col("product_views")
     return out.select(
@@ -151,8 +144,8 @@ def product_weekly(events: DataFrame, p: Params) -> DataFrame:
         "transactions",
         "revenue",
         "units_sold",
-        "add_to_cart",
-        "product_views",
+        F.coalesce(F.col("add_to_cart"), F.lit(0)).alias("add_to_cart"),
+        F.coalesce(views, F.lit(0)).alias("product_views"),
         rate(F.col("transactions"), F.nullif(views, F.lit(0)), 3).alias("pdp_cvr"),
     ).orderBy(F.col("week"), F.col("revenue").desc_nulls_last(), "product_name", "category", "subcategory")
 
