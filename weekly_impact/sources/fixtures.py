@@ -23,16 +23,56 @@ Site events (the ``events`` table): one event per row, event name from
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import yyyymmdd
 from .events import EVENT_COLUMNS, EVENT_PARAMS, ITEM, shard_filter
 
+# Rules are SQL expression strings: one plan call each, where the Column API
+# would make one call per literal, operator and branch.
+
 # Fixed values of the item-event mapping (FIXTURES.md section 2).
 STAGE_NAMES = ["view_item", "add_to_cart", "begin_checkout", "purchase"]
+PART_ITEM = [
+    "p_partkey",
+    "p_name AS item_name",
+    "CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 19 = 0 THEN '' "
+    "WHEN p_partkey % 23 = 0 THEN lower(p_type) WHEN p_partkey % 29 = 0 THEN 'XY' "
+    "ELSE p_type END AS item_category",
+    "CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_brand END AS item_category2",
+    "CASE WHEN p_partkey % 41 = 0 THEN NULL ELSE p_retailprice END AS price",
+]
+STAGE_KEPT = (
+    "stage <= CASE WHEN o_orderstatus = 'F' THEN 3 WHEN o_orderstatus = 'P' THEN 2 "
+    "WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END "
+    "AND NOT (stage = 0 AND o_orderkey % 11 = 0)"
+)
+STAGE_NAME = "CASE stage " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(STAGE_NAMES)) + " END"
+ORDER_ECOMMERCE = (
+    "named_struct('transaction_id', CASE WHEN stage = 3 AND o_orderkey % 97 <> 0 "
+    "THEN CAST(o_orderkey AS STRING) END, "
+    "'purchase_revenue', CASE WHEN stage = 3 THEN o_totalprice END)"
+)
+ITEM_FIELDS = ["item_name", "item_category", "item_category2", "price", "quantity"]
 
+# Fixed values of the site-event mapping (FIXTURES.md section 3).
+SITE_EVENT_NAME = (
+    "CASE WHEN event_type = 'view' THEN 'view_item' "
+    "WHEN event_type = 'click' THEN 'add_to_cart' "
+    "WHEN event_type = 'purchase' THEN 'purchase' "
+    "WHEN event_type = 'signup' AND k % 3 = 0 THEN 'begin_checkout' "
+    "WHEN event_type = 'signup' AND k % 3 = 1 THEN 'add_shipping_info' "
+    "WHEN event_type = 'signup' AND k % 3 = 2 THEN 'add_payment_info' "
+    "WHEN event_type = 'error' AND k % 3 = 0 THEN 'session_start' "
+    "ELSE 'page_view' END"
+)
+SESSION_PARAM = (
+    "CASE WHEN event_id % 10 = 0 THEN CAST(array() AS {t}) ELSE array(named_struct('key', 'ga_session_id', "
+    "'value', named_struct('string_value', CAST(NULL AS STRING), 'int_value', event_id, "
+    "'float_value', CAST(NULL AS DOUBLE), 'double_value', CAST(NULL AS DOUBLE)))) END"
+).format(t=EVENT_PARAMS.simpleString())
+NO_ECOMMERCE = "named_struct('transaction_id', CAST(NULL AS STRING), 'purchase_revenue', CAST(NULL AS DOUBLE))"
 
 # Declared schemas of the test tables (only the columns the mapping reads):
 # no schema-discovery job per read, and the scan reads just these columns.
@@ -49,41 +89,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _part_item(part: DataFrame) -> DataFrame:
-    """Per part: the item fields of the mapping (null/blank/lower/short noise)."""
-    k = F.col("p_partkey")
-    category = (
-        F.when(k % 17 == 0, F.lit(None).cast("string"))
-        .when(k % 19 == 0, F.lit(""))
-        .when(k % 23 == 0, F.lower("p_type"))
-        .when(k % 29 == 0, F.lit("XY"))
-        .otherwise(F.col("p_type"))
-    )
-    return part.select(
-        "p_partkey",
-        F.col("p_name").alias("item_name"),
-        category.alias("item_category"),
-        F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("item_category2"),
-        F.when(k % 41 == 0, F.lit(None).cast("double")).otherwise(F.col("p_retailprice")).alias("price"),
-    )
-
-
-def _stage_kept(orderkey: Column, status: Column, stage: Column) -> Column:
-    """Stage <= the order's depth; view_item (stage 0) left out when key % 11 = 0."""
-    depth = (
-        F.when(status == "F", 3)
-        .when(status == "P", 2)
-        .when(orderkey % 2 == 0, 1)
-        .otherwise(0)
-    )
-    return (stage <= depth) & ~((stage == 0) & (orderkey % 11 == 0))
-
-
-def _stage_name(stage: Column) -> Column:
-    expr = None
-    for i, n in enumerate(STAGE_NAMES):
-        expr = F.when(stage == i, F.lit(n)) if expr is None else expr.when(stage == i, F.lit(n))
-    return expr
+def _floor(start: str) -> str:
+    return f"o_orderdate >= TIMESTAMP_NTZ '{start[:4]}-{start[4:6]}-{start[6:8]} 00:00:00'"
 
 
 def order_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end: str | None = None) -> DataFrame:
@@ -93,38 +100,25 @@ def order_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end:
     a query's ``event_name`` filter lands right after the stage explode, so
     a purchase-only query shuffles and joins purchase events only.  Stages
     come from exploding a constant array and a plain filter (both codegen'd;
-    a lambda ``filter`` would run interpreted).
+    a lambda ``filter`` would run interpreted).  The floor on the raw date
+    column is pushed to the Parquet reader; the exact string bound follows.
     """
-    orders = _table(spark, sf_dir, "orders").select(
+    orders = _table(spark, sf_dir, "orders").where(_floor(start)).selectExpr(
         "o_orderkey", "o_orderstatus", "o_totalprice",
-        F.col("o_custkey").cast("string").alias("user_pseudo_id"),
-        yyyymmdd("o_orderdate").alias("event_date"),
-        "o_orderdate",
-    )
-    # Parquet-pushable floor on the raw column, then the exact string bound.
-    floor = F.to_timestamp(F.lit(start), "yyyyMMdd").cast("timestamp_ntz")
-    orders = orders.where((F.col("o_orderdate") >= floor) & shard_filter(start, end))
-    key = F.col("o_orderkey")
-    staged = orders.select(
-        "*", F.explode(F.array(*[F.lit(i) for i in range(len(STAGE_NAMES))])).alias("stage")
-    ).where(_stage_kept(key, F.col("o_orderstatus"), F.col("stage")))
-    is_purchase = F.col("stage") == 3
-    return staged.select(
+        "CAST(o_custkey AS STRING) AS user_pseudo_id",
+        "date_format(o_orderdate, 'yyyyMMdd') AS event_date",
+    ).where(shard_filter(start, end))
+    staged = orders.selectExpr("*", f"explode(array({', '.join(map(str, range(len(STAGE_NAMES))))})) AS stage")
+    return staged.where(STAGE_KEPT).selectExpr(
         "o_orderkey",
-        _stage_name(F.col("stage")).alias("event_name"),
+        f"{STAGE_NAME} AS event_name",
         "user_pseudo_id",
-        F.array().cast(EVENT_PARAMS).alias("event_params"),
-        F.struct(
-            F.when(is_purchase & (key % 97 != 0), key.cast("string")).alias("transaction_id"),
-            F.when(is_purchase, F.col("o_totalprice")).alias("purchase_revenue"),
-        ).alias("ecommerce"),
+        f"CAST(array() AS {EVENT_PARAMS.simpleString()}) AS event_params",
+        f"{ORDER_ECOMMERCE} AS ecommerce",
         "event_date",
     )
 
 
-ITEM_FIELDS = ["item_name", "item_category", "item_category2", "price", "quantity"]
-
-
 def item_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end: str | None = None) -> DataFrame:
     """Nested GA4-shaped events (``EVENT_COLUMNS``) from orders x lineitem x part.
 
@@ -133,59 +127,34 @@ def item_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end:
     order side grows with the data, so it is never broadcast: a sort-merge
     join (both sides spill; no per-partition hash table that must fit in
     memory) and AQE splits a hot order's partition on the line side (inner
-    join).
-    ``part`` is joined after it by the planner's size check (broadcast while
-    small, sort-merge otherwise).  Each line becomes a one-element ``items``
-    array: a projection, not an aggregate, so no group is ever collected
-    however many lines an order has.
+    join).  ``part`` is joined after it by the planner's size check
+    (broadcast while small, sort-merge otherwise).  Each line becomes a
+    one-element ``items`` array: a projection, not an aggregate, so no group
+    is ever collected however many lines an order has.
     """
     events = order_events(spark, sf_dir, start, end).hint("merge")
-    lines = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", F.col("l_quantity").cast("bigint").alias("quantity")
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_partkey", "CAST(l_quantity AS BIGINT) AS quantity"
     )
     joined = events.join(lines, events.o_orderkey == lines.l_orderkey, "inner")
-    parts = _part_item(_table(spark, sf_dir, "part"))
+    parts = _table(spark, sf_dir, "part").selectExpr(*PART_ITEM)
     with_items = joined.join(parts, joined.l_partkey == parts.p_partkey, "inner")
-    items = F.array(F.struct(*ITEM_FIELDS)).alias("items")
-    return with_items.select(*[c for c in EVENT_COLUMNS if c != "items"], items).select(*EVENT_COLUMNS)
-
-
-def _site_event_name(event_type: Column, k: Column) -> Column:
-    m = k % 3
-    return (
-        F.when(event_type == "view", "view_item")
-        .when(event_type == "click", "add_to_cart")
-        .when(event_type == "purchase", "purchase")
-        .when((event_type == "signup") & (m == 0), "begin_checkout")
-        .when((event_type == "signup") & (m == 1), "add_shipping_info")
-        .when((event_type == "signup") & (m == 2), "add_payment_info")
-        .when((event_type == "error") & (m == 0), "session_start")
-        .otherwise("page_view")
+    item = "named_struct(" + ", ".join(f"'{f}', {f}" for f in ITEM_FIELDS) + ")"
+    return with_items.selectExpr(*[c for c in EVENT_COLUMNS if c != "items"], f"array({item}) AS items").select(
+        *EVENT_COLUMNS
     )
 
 
 def site_events(spark: SparkSession, sf_dir: str, start: str = "19950101", end: str | None = None) -> DataFrame:
     """GA4-shaped events (no items) from the ``events`` table (FIXTURES.md section 3)."""
-    ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    param = F.struct(
-        F.lit("ga_session_id").alias("key"),
-        F.struct(
-            F.lit(None).cast("string").alias("string_value"),
-            F.col("event_id").alias("int_value"),
-            F.lit(None).cast("double").alias("float_value"),
-            F.lit(None).cast("double").alias("double_value"),
-        ).alias("value"),
+    ev = _table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "user_id", "event_type", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k"
     )
-    return ev.select(
-        _site_event_name(F.col("event_type"), k).alias("event_name"),
-        F.col("user_id").cast("string").alias("user_pseudo_id"),
-        F.when(F.col("event_id") % 10 == 0, F.array().cast(EVENT_PARAMS))
-        .otherwise(F.array(param)).alias("event_params"),
-        F.struct(
-            F.lit(None).cast("string").alias("transaction_id"),
-            F.lit(None).cast("double").alias("purchase_revenue"),
-        ).alias("ecommerce"),
-        F.lit(None).cast(T.ArrayType(ITEM)).alias("items"),
-        yyyymmdd("ts").alias("event_date"),
+    return ev.selectExpr(
+        f"{SITE_EVENT_NAME} AS event_name",
+        "CAST(user_id AS STRING) AS user_pseudo_id",
+        f"{SESSION_PARAM} AS event_params",
+        f"{NO_ECOMMERCE} AS ecommerce",
+        f"CAST(NULL AS {T.ArrayType(ITEM).simpleString()}) AS items",
+        "date_format(ts, 'yyyyMMdd') AS event_date",
     ).where(shard_filter(start, end))
