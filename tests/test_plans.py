@@ -55,3 +55,12 @@ def test_event_scan_uses_partition_filter(spark, tmp_path):
     write_events(se(spark, SF), path)
     p = plan(read_events(spark, path, "20240108", "20240121").groupBy("event_name").count())
     assert "PartitionFilters: [isnotnull(event_date" in p and "20240108" in p
+
+
+def test_distinct_counts_shuffle_on_the_distinct_key_too(spark):
+    # A hot (week, category) is spread: the first shuffle of the one-pass
+    # aggregate hashes the user / order key as well as the group keys.
+    p = plan(Q.category_weekly(item_events(spark, SF), FIXTURE_PARAMS))
+    parts = [seg for seg in p.split("hashpartitioning(")[1:]]
+    first = [seg.split(")")[0] for seg in parts if "event_name" in seg.split(")")[0]]
+    assert first and any("_dkey" in s or "_groupingexpression" in s for s in first)

@@ -60,15 +60,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names shared storage and is only read here; a
     local folder is set only when the session has none (tests, local bench).
     """
-    sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    global _LOCAL_DIR
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local context (Spark Connect)
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="wi-ckpt-", dir="/tmp")
-    if not sc.getCheckpointDir():
+        if _LOCAL_DIR is None:
+            _LOCAL_DIR = tempfile.mkdtemp(prefix="wi-ckpt-", dir="/tmp")
+        d = _LOCAL_DIR
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
+_LOCAL_DIR: str | None = None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
