@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.categories import category_is_clean, clean_categories, not_blank
+from ..functions.categories import category_is_clean, not_blank
 from ..functions.dates import event_week
 from ..functions.numeric import money_units, units_to_money
 from ..functions.params import event_param
@@ -228,7 +228,6 @@ __all__ = [
     "assign_tier_q",
     "before_after_union_q",
     "category_summary_q",
-    "clean_categories",
     "clean_categories_q",
     "event_param_q",
     "explode_items_q",

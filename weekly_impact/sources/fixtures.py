@@ -24,7 +24,6 @@ Site events (the ``events`` table): one event per row, event name from
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .events import EVENT_COLUMNS, EVENT_PARAMS, ITEM, shard_filter
