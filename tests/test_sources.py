@@ -60,3 +60,28 @@ def test_stream_refresh_is_zone_independent(spark, tmp_path):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_stream_refresh_is_incremental(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from weekly_impact.plans.params import FIXTURE_PARAMS
+    from weekly_impact.plans.queries import funnel_weekly
+    from weekly_impact.plans.registry import site_events
+    from weekly_impact.sources.events import write_events
+    from weekly_impact.streaming import read_weekly_funnel, refresh_weekly_funnel
+
+    sf = "/root/testdata/sf0.001"
+    ev = site_events(spark, sf)
+    shards, table, ckpt = (str(tmp_path / n) for n in ("shards", "table", "ckpt"))
+    # First run sees the shards up to Wednesday 2024-01-17, the second the rest:
+    # the week of 2024-01-15 is split across the two runs.
+    write_events(ev.where(F.col("event_date") <= "20240117"), shards, mode="append")
+    refresh_weekly_funnel(spark, shards, table, ckpt, start="19950101")
+    first = {r.week.isoformat() for r in read_weekly_funnel(spark, table).collect()}
+    assert "2024-01-22" not in first and "2024-01-15" in first
+    write_events(ev.where(F.col("event_date") > "20240117"), shards, mode="append")
+    refresh_weekly_funnel(spark, shards, table, ckpt, start="19950101")
+    got = read_weekly_funnel(spark, table)
+    want = funnel_weekly(ev, FIXTURE_PARAMS)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
