@@ -47,10 +47,12 @@ def to_hundredths(x: Column) -> Column:
 
 
 def scoped(events: DataFrame, start: str, p: Params) -> DataFrame:
+    """Events whose shard lies between the query's floor ``start`` and ``p.end``."""
     return events.where(shard_filter(start, p.end))
 
 
 def sales_fact(events: DataFrame, p: Params, start: str, names, required: str) -> DataFrame:
+    """Item fact of the given events, noise-filtered (category or subcategory variant)."""
     fact = item_fact(scoped(events, start, p), names)
     return clean_categories(fact, p.blocklist, required_col=required)
 
@@ -179,6 +181,7 @@ def aov_weekly(events: DataFrame, p: Params) -> DataFrame:
 def units_per_tx(events: DataFrame, p: Params) -> DataFrame:
     """Q6: units per order of the top products (by distinct orders)."""
     fact = item_fact(scoped(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
+    # Feeds the top-K list and the result: written once (see README, shared intermediates).
     per_tx = materialize(
         fact.groupBy("week", "product_name", "category", "subcategory", "transaction_id").agg(
             F.sum("quantity").alias("qty_in_tx")
@@ -261,6 +264,7 @@ def change_impact_subcategory(spark: SparkSession, events: DataFrame, p: Params)
 def change_impact_product(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q9: Q7 per top product (by whole-range revenue), with mean units per item row."""
     fact = item_fact(scoped(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
+    # Feeds the top-K list and the impact averages: written once.
     weekly = materialize(
         fact.groupBy("week", "product_name", "category", "subcategory").agg(
             F.count_distinct("transaction_id").alias("transactions"),
