@@ -92,3 +92,14 @@ def test_tier_rules_first_match_wins(spark):
 def test_week_start_helper_on_dates(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2023, 12, 31),)], "d date")
     assert [r[0] for r in df.select(week_start("d")).collect()] == [dt.date(2024, 1, 1), dt.date(2023, 12, 25)]
+
+
+def test_event_param_duplicate_key_fails_like_a_scalar_subquery(spark):
+    import pytest
+    from pyspark.sql import types as T
+
+    rows = [([("ga_session_id", (None, 1, None, None)), ("ga_session_id", (None, 2, None, None))],)]
+    df = spark.createDataFrame(rows, T.StructType([T.StructField("event_params", EVENT_PARAMS)]))
+    with pytest.raises(Exception, match="more than once"):
+        df.select(event_param("ga_session_id")).collect()
+    assert df.select(event_param("ga_session_id", on_duplicate="first")).collect()[0][0] == 1

@@ -13,12 +13,23 @@ _VALUE_FIELDS = {
 }
 
 
-def event_param(key: str, value_type: str = "int", params: Column | str = "event_params") -> Column:
-    """Value of the first entry with ``key`` (null when absent or the array is null).
+def event_param(
+    key: str,
+    value_type: str = "int",
+    params: Column | str = "event_params",
+    on_duplicate: str = "error",
+) -> Column:
+    """Value of the entry with ``key`` (null when absent or the array is null).
 
     Uses the higher-order ``filter`` (no correlated subquery) and ``get`` (null
-    out of range, where ``[0]`` would raise under ANSI).
+    out of range, where ``[0]`` would raise under ANSI).  A key present twice
+    fails the query, as a scalar subquery returning two rows does
+    (``on_duplicate="first"`` takes the first instead).
     """
     params = F.col(params) if isinstance(params, str) else params
-    hit = F.get(F.filter(params, lambda p: p["key"] == F.lit(key)), 0)
-    return hit["value"][_VALUE_FIELDS[value_type]]
+    hits = F.filter(params, lambda p: p["key"] == F.lit(key))
+    value = F.get(hits, 0)["value"][_VALUE_FIELDS[value_type]]
+    if on_duplicate == "first":
+        return value
+    msg = F.lit(f"event_params holds key '{key}' more than once")
+    return F.when(F.size(hits) > 1, F.raise_error(msg)).otherwise(value)
