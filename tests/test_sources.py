@@ -85,3 +85,10 @@ def test_stream_refresh_is_incremental(spark, tmp_path):
     got = read_weekly_funnel(spark, table)
     want = funnel_weekly(ev, FIXTURE_PARAMS)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_dimension_df_from_records(spark):
+    from weekly_impact.sources.dimensions import dimension_df
+
+    df = dimension_df(spark, [{"tier": "Large", "price": 99}, {"price": 15, "tier": "Small"}], "tier STRING, price INT")
+    assert [tuple(r) for r in df.collect()] == [("Large", 99), ("Small", 15)]

@@ -28,10 +28,6 @@ from . import queries as Q
 from .params import Params
 
 
-def _money2(units):
-    return Q.money2(units)
-
-
 # --- D-1 .. D-5 ------------------------------------------------------------------
 
 
@@ -77,7 +73,7 @@ def explode_items_q(events: DataFrame, p: Params) -> DataFrame:
     return x.groupBy("event_name").agg(
         F.count(F.lit(1)).alias("item_rows"),
         F.sum(F.col("item.quantity")).alias("units"),
-        _money2(F.sum(money_units(F.col("item.price") * F.col("item.quantity")))).alias("revenue"),
+        Q.money2(F.sum(money_units(F.col("item.price") * F.col("item.quantity")))).alias("revenue"),
     ).orderBy("event_name")
 
 

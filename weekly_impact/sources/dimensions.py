@@ -70,14 +70,13 @@ def sale_periods_df(spark: SparkSession, periods: Sequence[SalePeriod]) -> DataF
 def dimension_df(spark: SparkSession, rows: Sequence[dict], schema: T.StructType | str) -> DataFrame:
     """S-5: any small literal list of records with an explicit schema."""
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = spark.createDataFrame([], schema).schema
     names = [f.name for f in schema.fields]
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
 
 
-# The published annotation lists (dates, labels and sale periods
-# exactly as configured; long free-text details are left to the caller).
-DELIVERY_CHANGE_DATES = ["2023-08-01", "2024-12-01", "2025-04-01", "2025-08-01", "2026-03-27"]
+# The published sale periods (start, end, label exactly as
+# configured; the free-text details are left to the caller).
 SALE_PERIODS = [
     SalePeriod("2025-02-01", "2025-03-01", "Winter Sale ends"),
     SalePeriod("2025-03-29", "2025-06-02", "Spring Promotion"),
