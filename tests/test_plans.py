@@ -64,3 +64,10 @@ def test_distinct_counts_shuffle_on_the_distinct_key_too(spark):
     parts = [seg for seg in p.split("hashpartitioning(")[1:]]
     first = [seg.split(")")[0] for seg in parts if "event_name" in seg.split(")")[0]]
     assert first and any("_dkey" in s or "_groupingexpression" in s for s in first)
+
+
+@pytest.mark.parametrize("key", ["product_weekly", "units_per_tx", "product_funnel", "change_impact_product"])
+def test_top_k_is_take_ordered_not_a_global_sort(spark, key):
+    # Each partition keeps its own top K; one task merges K rows per partition.
+    p = plan(E.queries()[key](spark, SF))
+    assert "TakeOrderedAndProject" in p and "SinglePartition" not in p
