@@ -71,3 +71,25 @@ def test_top_k_is_take_ordered_not_a_global_sort(spark, key):
     # Each partition keeps its own top K; one task merges K rows per partition.
     p = plan(E.queries()[key](spark, SF))
     assert "TakeOrderedAndProject" in p and "SinglePartition" not in p
+
+
+def _broadcast_subtrees(p):
+    lines = p.splitlines()
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            sub = []
+            for nxt in lines[i + 1:]:
+                if len(nxt) - len(nxt.lstrip(" :+-")) <= depth:
+                    break
+                sub.append(nxt)
+            yield "\n".join(sub)
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_broadcasts_are_bounded(spark, key):
+    for sub in _broadcast_subtrees(plan(E.queries()[key](spark, SF))):
+        bounded = "TakeOrderedAndProject" in sub or not any(
+            t in sub for t in ("orders.parquet", "lineitem.parquet", "events.parquet", "Relation[")
+        )
+        assert bounded, sub[:500]
