@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, sharding
+from . import bpe, decontamination, licenses, line_dedup, sharding, simhash, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -32,10 +33,33 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[c for c in licenses.ADDED if c != "detections"])
 
 
+def op4_mph_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=10).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op6_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8, width=5)
+
+
+def op7_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2).select("doc_id", "fingerprint", "component_id")
+
+
+def op9_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", "evidence")
+
+
 QUERIES = {
     "op2_feistel_shards": op2_feistel_shards,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_mph_line_dedup": op4_mph_line_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_minhash_containment": op6_minhash_containment,
+    "op7_simhash_bk_trees": op7_simhash_bk_trees,
+    "op9_toxic_neighbours": op9_toxic_neighbours,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {}
