@@ -7,12 +7,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, licenses, line_dedup, sharding, simhash, toxicity
+from . import bpe, decontamination, licenses, line_dedup, pii, sharding, simhash, suffix_dedup, toxicity, vector_graph
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def op1_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.link_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=16)
 
@@ -46,19 +50,41 @@ def op7_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitise_documents(table(spark, sf_dir, "documents"))
+    joined = {
+        name: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+        for name, spans in (("base", F.filter("spans", lambda s: s["kind"] != "term")), ("all", F.col("spans")))
+    }
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2(joined["base"].cast("binary"), 256).alias("base_sha256"), joined["all"].alias("spans"))
+
+
 def op9_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")).select(
         "doc_id", "held_out", "score", "predicted", "evidence")
 
 
+def op10_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op1_pruned_graph": op1_pruned_graph,
     "op2_feistel_shards": op2_feistel_shards,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mph_line_dedup": op4_mph_line_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_minhash_containment": op6_minhash_containment,
     "op7_simhash_bk_trees": op7_simhash_bk_trees,
+    "op8_pii_disclosure": op8_pii_disclosure,
     "op9_toxic_neighbours": op9_toxic_neighbours,
+    "op10_deep_shallow": op10_deep_shallow,
     "pipeline": corpus_pipeline.run,
 }
 
