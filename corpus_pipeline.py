@@ -46,8 +46,7 @@ def leaks_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the token ids of the whole text, and whether decoding them gives the text back."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), path, pattern)
-    back = bpe.decode_documents(ids, path, pattern)
+    back = bpe.code_documents(docs.select("doc_id", "lang", "source", "text"), path, pattern)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from .common import slices, without
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 CACHED_CHARS = 64
 
 
@@ -133,6 +133,26 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, text_col: s
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
+def code_documents(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """``ids`` and ``decoded`` as ``encode_documents`` and ``decode_documents`` give them, in one pass.
+
+    One Python worker a core instead of two, and the ids cross to it once.
+    """
+    docs = without(docs, "ids", "decoded")
+    model = docs.sparkSession.sparkContext.broadcast(model_bytes(read_ranks(vocab_path)))
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        bpe = ByteBPE(model.value, pattern)
+        for b in slices(batches):
+            ids = bpe.encode_batch([t or "" for t in b.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([bpe.decode(x) for x in ids], pa.binary())], [*b.schema.names, "ids", "decoded"])
+
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+
+
 def decode_documents(docs: DataFrame, vocab_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """The input's columns and ``decoded``, the bytes that the ids stand for (null ids: none)."""
     docs = without(docs, "decoded")

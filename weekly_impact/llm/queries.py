@@ -23,8 +23,7 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    ids = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern).drop("text")
-    return bpe.decode_documents(ids, path, pattern).select(
+    return bpe.code_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),

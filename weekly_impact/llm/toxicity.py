@@ -203,6 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.float64()), b.column("toxic")], ["vote", "toxic"])
 
     votes = examples.mapInArrow(left_out, "vote double, toxic int").collect()  # at most max_examples pairs
+    shared.destroy()
     known = [(r["vote"], r["toxic"]) for r in votes if r["vote"] is not None]
     silent = [r["toxic"] for r in votes if r["vote"] is None]
     model.knots = isotonic([v for v, _ in known], [y for _, y in known])
