@@ -35,7 +35,7 @@ def test_params_round_trip(tmp_path):
 
 def test_refresh_command(spark, tmp_path):
     shards = str(tmp_path / "events")
-    write_events(all_events(spark, SF), shards, files_per_day=1)
+    write_events(all_events(spark, SF), shards)
     pf = tmp_path / "p.json"
     pf.write_text(json.dumps(_params_json(FIXTURE_PARAMS)))
     out = str(tmp_path / "out")

@@ -26,7 +26,7 @@ from pyspark.sql import SparkSession
 from .functions.tiers import TierRule
 from .plans.params import REFERENCE_PARAMS, Params
 from .plans.refresh import refresh
-from .session import ensure_checkpoint_dir
+from .session import JOB_CONF, ensure_checkpoint_dir
 from .sources.dimensions import Change, SalePeriod
 from .sources.events import read_events
 
@@ -62,6 +62,8 @@ def main(argv: list[str] | None = None) -> int:
 
     p = load_params(args.params)
     spark = SparkSession.builder.appName("weekly_impact refresh").getOrCreate()
+    for key, value in JOB_CONF.items():  # UTC dates and ANSI arithmetic, whatever the submit defaults are
+        spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     events = read_events(spark, args.events, start=min(p.start, p.start_recent), end=p.end)
     names = refresh(spark, events, args.out, p, fmt=args.format)

@@ -3,7 +3,7 @@
 from .categories import category_is_clean, clean_categories, not_blank
 from .dates import closest_monday, event_week, mondays_in, parse_event_date, week_start, yyyymmdd
 from .numeric import (
-    MONEY_SCALE,
+    MONEY_TYPE,
     mean,
     money_units,
     pct_change,
@@ -16,7 +16,7 @@ from .params import event_param
 from .tiers import TierRule, assign_tier, tier_rules
 
 __all__ = [
-    "MONEY_SCALE",
+    "MONEY_TYPE",
     "TierRule",
     "assign_tier",
     "category_is_clean",

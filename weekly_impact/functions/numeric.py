@@ -1,8 +1,8 @@
 """Numeric helpers shared by every query.
 
-Money is aggregated as fixed-point BIGINT (``MONEY_SCALE`` units per currency
-unit): long sums are exact, independent of partitioning and summation order,
-and stay on Spark's fast codegen path (no BigDecimal buffers).  Rounding goes
+Money is summed as ``decimal(38,18)``: the last digit lies below a double's
+own precision for any amount over 0.001, so no digit of a price is lost, and
+decimal sums are exact whatever the partitioning and order.  Rounding goes
 through one helper so that Spark and the DuckDB oracle round identically.
 """
 
@@ -11,18 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: money is carried in 1/10,000 of a currency unit.
-MONEY_SCALE = 10_000
+MONEY_TYPE = "decimal(38,18)"
 
 
 def money_units(c: Column) -> Column:
-    """Double amount -> BIGINT of 1/MONEY_SCALE units (null stays null)."""
-    return F.round(c * F.lit(MONEY_SCALE)).cast("bigint")
+    """Double amount -> wide decimal (null stays null)."""
+    return c.cast(MONEY_TYPE)
 
 
 def units_to_money(c: Column) -> Column:
-    """BIGINT units -> double currency amount."""
-    return c.cast("double") / F.lit(float(MONEY_SCALE))
+    """Wide decimal -> the nearest double."""
+    return c.cast("double")
 
 
 def round_half_up(c: Column, digits: int) -> Column:

@@ -41,7 +41,7 @@ def item_fact(events: DataFrame, event_names: Sequence[str] | None = None) -> Da
 
     The event-name filter is applied *before* the unnest so it runs on event
     rows (and reaches the scan when ``event_name`` is a stored column).  Money
-    is carried as BIGINT units (see :mod:`weekly_impact.functions.numeric`):
+    is carried as a wide decimal (see :mod:`weekly_impact.functions.numeric`):
     ``item_rev_u`` is ``price * quantity``, ``order_rev_u`` the order revenue.
 
     ``events`` may also be an item fact already (e.g. one materialized for a

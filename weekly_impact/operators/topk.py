@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Above this K the key list is no longer broadcast by hint; Spark decides by size.
-MAX_BROADCAST_K = 1_000_000
-
 
 def top_k(df: DataFrame, key: str, metric: Column, k: int, metric_name: str = "rank_metric") -> DataFrame:
     """The ``k`` keys with the largest ``metric`` (an aggregate expression).
@@ -21,13 +18,10 @@ def top_k(df: DataFrame, key: str, metric: Column, k: int, metric_name: str = "r
     return agg.orderBy(F.col(metric_name).desc_nulls_last(), F.col(key).asc_nulls_last()).limit(k)
 
 
-def topk_semi_join(df: DataFrame, top: DataFrame, key: str, k: int) -> DataFrame:
+def topk_semi_join(df: DataFrame, top: DataFrame, key: str) -> DataFrame:
     """Keep rows of ``df`` whose ``key`` is in ``top`` (an inner join on a unique key).
 
-    ``top`` holds at most ``k`` rows, a bound known at plan time, so it is
-    broadcast by hint up to ``MAX_BROADCAST_K``; no shuffle of ``df``.
+    ``top`` comes from a ``limit``, which gives the planner a row bound: it
+    broadcasts the keys while they are small and shuffles both sides beyond.
     """
-    keys = top.select(key)
-    if k <= MAX_BROADCAST_K:
-        keys = F.broadcast(keys)
-    return df.join(keys, key, "left_semi")
+    return df.join(top.select(key), key, "left_semi")

@@ -113,7 +113,7 @@ def topk_semi_join_q(events: DataFrame, p: Params) -> DataFrame:
     """R-3: purchase item rows of the top products by orders, per product."""
     fact = item_fact(Q.scoped(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
     top = top_k(fact, "product_name", F.count_distinct("transaction_id"), p.top_units, "orders")
-    kept = topk_semi_join(fact, top, "product_name", p.top_units)
+    kept = topk_semi_join(fact, top, "product_name")
     return kept.groupBy("product_name").agg(
         F.count(F.lit(1)).alias("item_rows"), F.sum("quantity").alias("units")
     ).orderBy("product_name")
@@ -160,7 +160,7 @@ def order_dedup_q(events: DataFrame, p: Params) -> DataFrame:
     fact = Q.sales_fact(events, p, p.start_recent, ["purchase"], "category")
     return order_dedup(fact, ["category"]).select(
         "week", "category", "transaction_id", units_to_money(F.col("order_rev_u")).alias("order_revenue")
-    ).orderBy("week", "category", "transaction_id")
+    )
 
 
 def before_after_union_q(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:

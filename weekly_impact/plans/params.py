@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from ..functions.tiers import TierRule
-from ..sources.dimensions import Change, SalePeriod
+from ..sources.dimensions import SALE_PERIODS, Change, SalePeriod
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,25 @@ REFERENCE_CHANGES = (
     Change("2026-03-27", "Mar 2026: Medium & Large increase", _ML),
 )
 
+# The published tier rules, tried in this order ('Benches' belongs to the earlier one).
+REFERENCE_TIERS = (
+    TierRule("Large £99 (B&S)", ("Sofas", "Sofa Beds", "Wardrobes", "Large Sofas", "Corner Sofas", "Sofa Beds")),
+    TierRule("Medium £69 (B&S)", ("Dining Tables", "Dining Sets", "Beds", "Sideboards", "Recliner Chairs", "Bookcases", "Cabinets",
+                                  "Benches", "Display Cabinets", "Dressers")),
+    TierRule("Medium £49 (DX 2-crew)", ("Armchairs", "TV Units", "Coffee Tables", "Chest of Drawers", "Console Tables", "Lamp Tables",
+                                        "Desks", "Dressing Tables")),
+    TierRule("Mattress £29 (B&S)", ("Mattresses",)),
+    TierRule("Small £15 (DPD)", ("Dining Chairs", "Bar Stools", "Bedside Tables", "Footstools", "Small Tables", "Benches")),
+    TierRule("Small accessories £6 (DPD)", ("Cushions", "Vases", "Candles", "Plants", "Clocks", "Throws", "Ornaments", "Trays", "Baskets",
+                                            "Diffusers")),
+    TierRule("Large accessories £29 (DPD)", ("Rugs", "Mirrors", "Floor Lamps", "Ceiling Lamps", "Wall Art", "Pictures and Wall Art",
+                                             "Table Lamps")),
+    TierRule("Garden (Free/£29)", ("GARDEN",), "category"),
+)
+
 REFERENCE_PARAMS = Params(
+    tiers=REFERENCE_TIERS,
+    sale_periods=tuple(SALE_PERIODS),
     blocklist=REFERENCE_BLOCKLIST,
     changes=REFERENCE_CHANGES,
     funnel_changes=tuple(Change(c.date, c.label) for c in REFERENCE_CHANGES),

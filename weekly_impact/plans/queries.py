@@ -37,7 +37,7 @@ FUNNEL_EVENTS = ["view_item", "add_to_cart", "begin_checkout", "purchase"]
 
 
 def money2(units: Column) -> Column:
-    """ROUND(SUM(amount), 2) from a BIGINT unit sum."""
+    """ROUND(SUM(amount), 2) from an exact decimal sum."""
     return round_half_up(units_to_money(units), 2)
 
 
@@ -134,7 +134,7 @@ def product_weekly(events: DataFrame, p: Params) -> DataFrame:
         ["product_name"],
         [rows("add_to_cart", "add_to_cart"), rows("product_views", "view_item")],
     )
-    out = topk_semi_join(purchases, top, "product_name", p.top_products).join(
+    out = topk_semi_join(purchases, top, "product_name").join(
         carts, ["week", "product_name"], "left"
     )
     views = F.col("product_views")
@@ -172,7 +172,7 @@ def aov_weekly(events: DataFrame, p: Params) -> DataFrame:
         .agg(
             F.count("transaction_id").alias("transactions"),
             money2(F.sum("order_rev_u")).alias("revenue"),
-            round_half_up(mean(F.col("order_rev_u")) / F.lit(1e4), 2).alias("aov"),
+            round_half_up(mean(F.col("order_rev_u")), 2).alias("aov"),
         )
         .orderBy("week", "category")
     )
@@ -188,7 +188,7 @@ def units_per_tx(events: DataFrame, p: Params) -> DataFrame:
         )
     )
     top = top_k(per_tx, "product_name", F.count_distinct("transaction_id"), p.top_units, "orders")
-    kept = topk_semi_join(per_tx, top, "product_name", p.top_units)
+    kept = topk_semi_join(per_tx, top, "product_name")
     # Within a (week, product, category, subcategory) group each order id is one
     # row already, so COUNT(order) is the distinct count.
     n_tx = F.count("transaction_id")
@@ -223,7 +223,7 @@ def change_impact(spark: SparkSession, events: DataFrame, p: Params) -> DataFram
     weekly = fact.groupBy("week", "category").agg(
         F.count_distinct("transaction_id").alias("transactions"),
         to_hundredths(money2(F.sum("item_rev_u"))).alias("rev_c"),
-        to_hundredths(round_half_up(mean(F.col("order_rev_u")) / F.lit(1e4), 2)).alias("aov_c"),
+        to_hundredths(round_half_up(mean(F.col("order_rev_u")), 2)).alias("aov_c"),
     )
     ba = before_after(
         weekly,
@@ -273,7 +273,7 @@ def change_impact_product(spark: SparkSession, events: DataFrame, p: Params) ->
         )
     )
     top = top_products_by_revenue(weekly, p.top_impact_products)
-    weekly = topk_semi_join(weekly, top, "product_name", p.top_impact_products).select(
+    weekly = topk_semi_join(weekly, top, "product_name").select(
         "week", "product_name", "category", "subcategory", "transactions",
         to_hundredths(F.col("revenue")).alias("rev_c"), to_hundredths(F.col("avg_units")).alias("units_h"),
     )
@@ -351,11 +351,11 @@ def product_funnel(events: DataFrame, p: Params) -> DataFrame:
     later = item_fact(scoped(events, p.start_recent, p), FUNNEL_EVENTS[1:]).where(nonnull)
     ms = _funnel_metrics(with_views=False)
     grain = materialize(event_grain(later, ["product_name"], ms), "product-steps")
-    is_order = (F.col("event_name") == "purchase") & F.col("_dkey").isNotNull()
-    top = top_k(grain, "product_name", F.count_distinct(F.when(is_order, F.col("_dkey"))),
+    # Only products that were bought are ranked; orders without an id keep their product in the list.
+    top = top_k(grain.where(F.col("event_name") == "purchase"), "product_name", F.count_distinct("_dkey"),
                 p.top_funnel_products, "orders")
     steps = rollup(grain, ["product_name"], ms)
-    out = topk_semi_join(views, top, "product_name", p.top_funnel_products).join(
+    out = topk_semi_join(views, top, "product_name").join(
         steps, ["week", "product_name"], "left"
     )
     filled = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("add_to_cart", "begin_checkout", "purchases")]

@@ -57,8 +57,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is only read here; a
-    local folder is set only when the session has none (tests, local bench).
+    On a cluster the setting names shared storage and is only read here; its
+    absence is an error there.  A local folder is set only under a local
+    master that has none (tests, local bench).
     """
     global _LOCAL_DIR
     try:
@@ -69,6 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        master = sc.master if sc is not None else "remote"
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         if _LOCAL_DIR is None:
             _LOCAL_DIR = tempfile.mkdtemp(prefix="wi-ckpt-", dir="/tmp")
         d = _LOCAL_DIR
@@ -82,7 +86,26 @@ _LOCAL_DIR: str | None = None
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
-    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables made after the first ``since``; their DataFrames can't be read any more."""
+    jvm = spark.sparkContext._jvm
+    for path in _SCRATCH[since:]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    del _SCRATCH[since:]
+
+
+def scratch_count() -> int:
+    """How many scratch tables there are (the ``since`` of a later ``drop_scratch``)."""
+    return len(_SCRATCH)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -75,14 +75,31 @@ def dimension_df(spark: SparkSession, rows: Sequence[dict], schema: T.StructType
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
 
 
-# The published sale periods (start, end, label exactly as
-# configured; the free-text details are left to the caller).
+# The published dimension lists, in their order.
+DELIVERY_CHANGES = [
+    Change("2023-08-01", "New delivery structure", detail="Small courier £29 / Medium B&S £49 / Large B&S £79 / Dining ≤3 £9 / Dining ≥4 £19"),
+    Change("2024-12-01", "Dining chairs increase", detail="Dining ≥4 chairs £19→£29. DPD Freight items (oversized/heavy) also defaulted to £29 for ≤3 chairs."),
+    Change("2025-04-01", "Medium & Large increase", detail="Medium B&S £49→£59 / Large B&S £79→£89. DX 2-crew medium remains £49."),
+    Change("2025-08-01", "Small furniture increase", detail="Small furniture (incl. dining ≤3 chairs) £9→£15 via DPD"),
+    Change("2026-03-27", "Medium & Large increase", detail="Medium B&S £59→£69 / Large B&S £89→£99. Current structure: Large £99 / Medium B&S £69 / Medium DX £49 / Mattresses £29 / Small £15 / Accessories £6 / Large accessories £29"),
+]
 SALE_PERIODS = [
-    SalePeriod("2025-02-01", "2025-03-01", "Winter Sale ends"),
-    SalePeriod("2025-03-29", "2025-06-02", "Spring Promotion"),
-    SalePeriod("2025-06-21", "2025-09-01", "Summer Sale"),
-    SalePeriod("2025-09-27", "2025-11-23", "Autumn Promotion"),
-    SalePeriod("2025-12-26", "2026-03-01", "Winter Sale"),
-    SalePeriod("2026-03-28", "2026-05-25", "Spring Promotion"),
-    SalePeriod("2026-06-20", "2026-08-31", "Summer Sale"),
+    SalePeriod("2025-02-01", "2025-03-01", "Winter Sale ends", "Winter Sale 2024/25 — ends 1st March 2025"),
+    SalePeriod("2025-03-29", "2025-06-02", "Spring Promotion", "Spring Preview & Sale 2025 — ends early June 2025"),
+    SalePeriod("2025-06-21", "2025-09-01", "Summer Sale", "Summer Sale 2025 — ends 31st August 2025"),
+    SalePeriod("2025-09-27", "2025-11-23", "Autumn Promotion", "Autumn Promotion 2025 — ends 22nd November 2025"),
+    SalePeriod("2025-12-26", "2026-03-01", "Winter Sale", "Winter Sale 2025/26 — Boxing Day start, ends 1st March 2026"),
+    SalePeriod("2026-03-28", "2026-05-25", "Spring Promotion", "Spring Preview & Sale 2026 — starts 28th March, ends 25th May 2026"),
+    SalePeriod("2026-06-20", "2026-08-31", "Summer Sale", "Summer Sale 2026 — starts 20th June, ends 31st August 2026"),
+]
+CURRENT_TIERS = [  # tier, price, carrier, examples
+    ("Large furniture", 99, "B&S", "Sofas, sofa beds, wardrobes"),
+    ("Medium furniture", 69, "B&S", "Beds, dining tables, dining sets, sideboards, recliner chairs"),
+    ("Medium furniture", 49, "DX 2-crew", "Armchairs, TV units, coffee tables, chest of drawers"),
+    ("Mattresses", 29, "B&S", "All mattresses"),
+    ("Small furniture", 15, "DPD", "Dining chairs (≤3), bar stools, small tables. 4+ dining chairs or heavy items: £29"),
+    ("Small accessories", 6, "DPD", "Table lamps, soft furnishings, clocks, home decor, plants"),
+    ("Large accessories & rugs", 29, "DPD", "Rugs, ceiling/floor lamps, mirrors, wall art over 1m/30kg"),
+    ("Assisted delivery", 149, "B&S", "Items requiring 2+ person delivery due to size/weight"),
+    ("Click & Collect", 0, "N/A", "All furniture and accessories from 4 warehouses or 11 stores"),
 ]

@@ -8,8 +8,6 @@ pass runs and ``event_date`` stays a string (inference would make it int).
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,30 +86,19 @@ def write_events(
     df: DataFrame,
     path: str,
     mode: str = "overwrite",
-    files_per_day: int = 8,
     max_records_per_file: int = 2_000_000,
 ) -> None:
     """Write an event DataFrame in the scan's layout (one directory per day).
 
-    Rows are hash-partitioned on (event_date, salt) with ``files_per_day``
-    salt values taken from the row's user and event name: about that many
-    files per day instead of one per task and day, and a hot day (a third of
-    all rows) is still spread over ``files_per_day`` tasks.
+    Rows are rebalanced by day: the runtime splits big days and joins small
+    ones by bytes, so a hot day is spread over as many tasks as it needs.
     ``maxRecordsPerFile`` bounds each file.
     """
-    salt = F.pmod(F.xxhash64("user_pseudo_id", "event_name"), F.lit(files_per_day))
     (
         df.select(*EVENT_COLUMNS)
-        .repartition("event_date", salt)
+        .hint("rebalance", F.col("event_date"))
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("event_date")
         .parquet(path)
     )
-
-
-def yyyymmdd_of(d: _dt.date | str) -> str:
-    """``date`` or ISO text -> ``YYYYMMDD`` (plan-time helper for bounds)."""
-    if isinstance(d, str):
-        return d.replace("-", "")
-    return d.strftime("%Y%m%d")

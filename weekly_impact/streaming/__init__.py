@@ -1,5 +1,5 @@
 """Structured Streaming: incremental refresh of weekly results as shards land."""
 
-from .funnel_stream import read_weekly_funnel, refresh_weekly_funnel, weekly_funnel_stream
+from .funnel_stream import read_weekly_funnel, refresh_weekly_funnel, touched_weeks
 
-__all__ = ["read_weekly_funnel", "refresh_weekly_funnel", "weekly_funnel_stream"]
+__all__ = ["read_weekly_funnel", "refresh_weekly_funnel", "touched_weeks"]

@@ -1,63 +1,45 @@
-"""Incremental refresh of the weekly site funnel (Q4) with Structured Streaming.
+"""Incremental refresh of the weekly site funnel (Q4): touched weeks are recomputed.
 
-The reference refreshes its results by re-running every query over all
-daily shards.  Here new shards are picked up as they land: a file stream
-over the shard directory, Monday-aligned 7-day event-time windows, and a
-watermark after which a week's state is dropped (shards of the export may
-still change for a few days, hence the default).  Update mode emits the
-weeks a micro-batch touched; ``foreachBatch`` overwrites exactly those week
-partitions of the result table (dynamic partition overwrite), so a replayed
-batch writes the same files again: idempotent, and the checkpoint location
-makes the query restartable after a driver or executor loss.
-
-State: one row per open week - bounded by the watermark, not by the data.
+A file stream over the shard directory only detects which shards arrived or
+were delivered again.  Each micro-batch names the weeks of its rows;
+``foreachBatch`` recomputes exactly those weeks from the event table (a scan
+with a partition filter) and overwrites those week partitions of the result.
+There is no additive state and no watermark, so late, backfilled and rewritten
+shards give the same rows as the batch query, a replayed batch writes the same
+files again, and the checkpoint makes the query restartable.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.dates import parse_event_date
-from ..operators.funnel import FUNNEL_STEPS
-from ..sources.events import EVENT_SCHEMA, shard_filter
+from ..functions.dates import event_week
+from ..operators.funnel import FUNNEL_STEPS, funnel_counts
+from ..sources.events import EVENT_SCHEMA, read_events, shard_filter
 
-# Spark aligns windows to the epoch (a Thursday); 4 days later is a Monday.
-MONDAY_OFFSET = "4 days"
 
-
-def weekly_funnel_stream(
-    spark: SparkSession,
-    source_path: str,
-    start: str = "20230101",
-    watermark: str = "3 days",
-    max_files_per_trigger: int | None = None,
-) -> DataFrame:
-    """Streaming DataFrame: (week, seven step counts) per Monday week."""
+def touched_weeks(spark: SparkSession, source_path: str, start: str = "20230101", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of the Monday weeks of newly found shard rows."""
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    names = [e for e, _ in FUNNEL_STEPS]
-    ev = (
-        reader.parquet(source_path)
-        .where(shard_filter(start) & F.col("event_name").isin(names))
-        # Event time as the UTC midnight of the event date, from its day number:
-        # windows align to UTC, so week labels do not depend on the session zone.
-        .select("event_name", F.timestamp_seconds(F.unix_date(parse_event_date("event_date")) * 86400).alias("event_ts"))
-        .withWatermark("event_ts", watermark)
-    )
-    agg = ev.groupBy(F.window("event_ts", "7 days", "7 days", MONDAY_OFFSET).alias("w")).agg(
-        *[F.count_if(F.col("event_name") == e).alias(c) for e, c in FUNNEL_STEPS]
-    )
-    week = F.date_from_unix_date((F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
-    return agg.select(week.alias("week"), *[c for _, c in FUNNEL_STEPS])
+    return reader.parquet(source_path).where(shard_filter(start)).select(event_week("event_date").alias("week"))
 
 
-def _upsert_weeks(table_path: str):
-    def write(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001 - replay-safe by design
+def _recompute_weeks(source_path: str, table_path: str, start: str):
+    def write(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001 - the same weeks give the same rows
+        spark = batch.sparkSession
+        weeks = [r["week"] for r in batch.distinct().collect()]  # calendar weeks, a few per batch
+        if not weeks:
+            return
+        days = [(w + _dt.timedelta(days=i)).strftime("%Y%m%d") for w in weeks for i in range(7)]
+        events = read_events(spark, source_path, start).where(F.col("event_date").isin(days))
         (
-            batch.write.mode("overwrite")
+            funnel_counts(events).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("week")
             .parquet(table_path)
@@ -72,15 +54,13 @@ def refresh_weekly_funnel(
     table_path: str,
     checkpoint_path: str,
     start: str = "20230101",
-    watermark: str = "3 days",
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start (and, with ``available_now``, finish) one incremental refresh run."""
-    stream = weekly_funnel_stream(spark, source_path, start, watermark)
     w = (
-        stream.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint_path)
-        .foreachBatch(_upsert_weeks(table_path))
+        touched_weeks(spark, source_path, start)
+        .writeStream.option("checkpointLocation", checkpoint_path)
+        .foreachBatch(_recompute_weeks(source_path, table_path, start))
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     q = w.start()
