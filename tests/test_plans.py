@@ -1,5 +1,7 @@
 """Plan checks: no cross joins or nested loops, pushdown, no Expand in the one-pass rewrite."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -93,3 +95,38 @@ def test_broadcasts_are_bounded(spark, key):
             t in sub for t in ("orders.parquet", "lineitem.parquet", "events.parquet", "Relation[")
         )
         assert bounded, sub[:500]
+
+
+ITEM_READS = {
+    "aov_weekly": {"item_category"},
+    "category_funnel": {"item_category"},
+    "subcategory_funnel": {"item_category", "item_category2"},
+    "category_weekly": {"item_category", "price", "quantity"},
+}
+
+
+def test_item_scan_reads_only_the_used_item_fields(spark, tmp_path):
+    from weekly_impact.plans.registry import all_events
+    from weekly_impact.sources.events import ITEM, read_events, write_events
+
+    path = str(tmp_path / "shards")
+    write_events(all_events(spark, SF), path)
+    for name, used in ITEM_READS.items():
+        spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+        try:
+            text = plan(getattr(Q, name)(read_events(spark, path), FIXTURE_PARAMS))
+        finally:
+            spark.conf.unset("spark.sql.maxMetadataStringLength")
+        schema = re.search(r"ReadSchema: (.*)", text).group(1)
+        read = re.search(r"items:array<struct<(.*?)>>", schema).group(1)
+        assert {f.split(":")[0] for f in read.split(",")} == used, (name, schema)
+        assert used < set(ITEM.names)
+
+
+def test_refresh_fact_is_filtered_by_folder(spark):
+    from weekly_impact.plans.refresh import refresh_results
+    from weekly_impact.plans.registry import all_events
+
+    results = refresh_results(spark, all_events(spark, SF), FIXTURE_PARAMS)
+    for name in ("aov_weekly", "change_impact", "change_impact_subcategory"):
+        assert re.search(r"PartitionFilters: \[[^]]*event_name", plan(results[name])), name

@@ -25,6 +25,15 @@ ITEM_FACT_COLUMNS = [
     "item_rev_u",
 ]
 
+# The item fields that each item column of the fact is made from.
+ITEM_FIELDS = {
+    "product_name": ["item_name"],
+    "category": ["item_category"],
+    "subcategory": ["item_category2"],
+    "quantity": ["quantity"],
+    "item_rev_u": ["price", "quantity"],
+}
+
 
 def explode_items(events: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
     """One row per (event, item) with the item struct as column ``item``.
@@ -36,7 +45,11 @@ def explode_items(events: DataFrame, keep: Sequence[str] | None = None) -> DataF
     return events.select(*keep, F.explode("items").alias("item"))
 
 
-def item_fact(events: DataFrame, event_names: Sequence[str] | None = None) -> DataFrame:
+def item_fact(
+    events: DataFrame,
+    event_names: Sequence[str] | None = None,
+    item_columns: Sequence[str] | None = None,
+) -> DataFrame:
     """C-1: the item-event fact all item queries start from.
 
     The event-name filter is applied *before* the unnest so it runs on event
@@ -44,6 +57,11 @@ def item_fact(events: DataFrame, event_names: Sequence[str] | None = None) -> Da
     is carried as a wide decimal (see :mod:`weekly_impact.functions.numeric`):
     ``item_rev_u`` is ``price * quantity``, ``order_rev_u`` the order revenue.
 
+    ``item_columns`` names the item columns to make (default: all).  With
+    fewer, only the arrays of their fields are zipped and unnested: the
+    optimizer does not prune an unnested struct with several used fields, so
+    the scan would otherwise read every item field of every row.
+
     ``events`` may also be an item fact already (e.g. one materialized for a
     whole refresh run): it is then only filtered, not unnested again.
     """
@@ -65,18 +83,18 @@ def item_fact(events: DataFrame, event_names: Sequence[str] | None = None) -> Da
         money_units(F.col("ecommerce.purchase_revenue")).alias("order_rev_u"),
         "items",
     )
+    wanted = [c for c in ITEM_FIELDS if item_columns is None or c in item_columns]
+    if item_columns is not None:
+        fields = list(dict.fromkeys(f for c in wanted for f in ITEM_FIELDS[c]))
+        kept = [c for c in ev.columns if c != "items"]
+        ev = ev.select(*kept, *[F.col(f"items.{f}").alias(f) for f in fields]).select(*kept, F.arrays_zip(*fields).alias("items"))
     x = explode_items(ev)
     item = F.col("item")
-    return x.select(
-        "event_date",
-        "week",
-        "event_name",
-        "user_pseudo_id",
-        "transaction_id",
-        "order_rev_u",
-        item["item_name"].alias("product_name"),
-        item["item_category"].alias("category"),
-        item["item_category2"].alias("subcategory"),
-        item["quantity"].alias("quantity"),
-        money_units(item["price"] * item["quantity"]).alias("item_rev_u"),
-    )
+    made = {
+        "product_name": lambda: item["item_name"],
+        "category": lambda: item["item_category"],
+        "subcategory": lambda: item["item_category2"],
+        "quantity": lambda: item["quantity"],
+        "item_rev_u": lambda: money_units(item["price"] * item["quantity"]),
+    }
+    return x.select(*[c for c in x.columns if c != "item"], *[made[c]().alias(c) for c in wanted])

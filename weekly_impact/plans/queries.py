@@ -51,9 +51,9 @@ def scoped(events: DataFrame, start: str, p: Params) -> DataFrame:
     return events.where(shard_filter(start, p.end))
 
 
-def sales_fact(events: DataFrame, p: Params, start: str, names, required: str) -> DataFrame:
-    """Item fact of the given events, noise-filtered (category or subcategory variant)."""
-    fact = item_fact(scoped(events, start, p), names)
+def sales_fact(events: DataFrame, p: Params, start: str, names, required: str, columns=None) -> DataFrame:
+    """Item fact of the given events, noise-filtered (category or subcategory variant), with these item columns (default: all)."""
+    fact = item_fact(scoped(events, start, p), names, None if columns is None else {"category", required, *columns})
     return clean_categories(fact, p.blocklist, required_col=required)
 
 
@@ -61,7 +61,7 @@ def sales_fact(events: DataFrame, p: Params, start: str, names, required: str) -
 
 
 def sales_weekly(events: DataFrame, p: Params, keys: list[str], required: str) -> DataFrame:
-    fact = sales_fact(events, p, p.start, SALES_EVENTS, required)
+    fact = sales_fact(events, p, p.start, SALES_EVENTS, required, [*keys, "item_rev_u"])
     w = weekly_metrics(
         fact,
         keys,
@@ -119,7 +119,7 @@ def product_weekly(events: DataFrame, p: Params) -> DataFrame:
     side).  Category and subcategory may be null and are grouped as SQL does.
     """
     nonnull = F.col("product_name").isNotNull()
-    bought = item_fact(scoped(events, p.start, p), ["purchase"]).where(nonnull)
+    bought = item_fact(scoped(events, p.start, p), ["purchase"], [*PRODUCT_KEYS, "quantity", "item_rev_u"]).where(nonnull)
     purchases = materialize(
         bought.groupBy("week", *PRODUCT_KEYS).agg(
             F.count_distinct("transaction_id").alias("transactions"),
@@ -130,7 +130,7 @@ def product_weekly(events: DataFrame, p: Params) -> DataFrame:
     )
     top = top_products_by_revenue(purchases, p.top_products)
     carts = weekly_metrics(
-        item_fact(scoped(events, p.start, p), ["add_to_cart", "view_item"]).where(nonnull),
+        item_fact(scoped(events, p.start, p), ["add_to_cart", "view_item"], ["product_name"]).where(nonnull),
         ["product_name"],
         [rows("add_to_cart", "add_to_cart"), rows("product_views", "view_item")],
     )
@@ -165,7 +165,7 @@ def funnel_weekly(events: DataFrame, p: Params) -> DataFrame:
 
 def aov_weekly(events: DataFrame, p: Params) -> DataFrame:
     """Q5: orders, revenue and mean order value per (week, category), one row per order first."""
-    fact = sales_fact(events, p, p.start_recent, ["purchase"], "category")
+    fact = sales_fact(events, p, p.start_recent, ["purchase"], "category", [])
     per_order = order_dedup(fact, ["category"])
     return (
         per_order.groupBy("week", "category")
@@ -180,7 +180,8 @@ def aov_weekly(events: DataFrame, p: Params) -> DataFrame:
 
 def units_per_tx(events: DataFrame, p: Params) -> DataFrame:
     """Q6: units per order of the top products (by distinct orders)."""
-    fact = item_fact(scoped(events, p.start_recent, p), ["purchase"]).where(F.col("product_name").isNotNull())
+    fact = item_fact(scoped(events, p.start_recent, p), ["purchase"], [*PRODUCT_KEYS, "quantity"])
+    fact = fact.where(F.col("product_name").isNotNull())
     # Feeds the top-K list and the result: written once (see README, shared intermediates).
     per_tx = materialize(
         fact.groupBy("week", "product_name", "category", "subcategory", "transaction_id").agg(
@@ -219,7 +220,7 @@ def _impact_columns(measures: list[tuple[str, int, bool]]) -> list[Column]:
 
 def change_impact(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q7: 4-week averages of weekly category revenue, orders and line-weighted AOV."""
-    fact = sales_fact(events, p, p.start_recent, ["purchase"], "category")
+    fact = sales_fact(events, p, p.start_recent, ["purchase"], "category", ["item_rev_u"])
     weekly = fact.groupBy("week", "category").agg(
         F.count_distinct("transaction_id").alias("transactions"),
         to_hundredths(money2(F.sum("item_rev_u"))).alias("rev_c"),
@@ -244,7 +245,7 @@ def change_impact(spark: SparkSession, events: DataFrame, p: Params) -> DataFram
 
 def change_impact_subcategory(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q8: Q7 per (category, subcategory), revenue and orders."""
-    fact = sales_fact(events, p, p.start_recent, ["purchase"], "subcategory")
+    fact = sales_fact(events, p, p.start_recent, ["purchase"], "subcategory", ["item_rev_u"])
     weekly = fact.groupBy("week", "category", "subcategory").agg(
         F.count_distinct("transaction_id").alias("transactions"),
         to_hundredths(money2(F.sum("item_rev_u"))).alias("rev_c"),
@@ -317,7 +318,7 @@ def _funnel_metrics(with_views: bool = True):
 
 
 def segment_funnel(events: DataFrame, p: Params, keys: list[str], required: str) -> DataFrame:
-    fact = sales_fact(events, p, p.start_recent, FUNNEL_EVENTS, required)
+    fact = sales_fact(events, p, p.start_recent, FUNNEL_EVENTS, required, keys)
     w = weekly_metrics(fact, keys, _funnel_metrics(), anchor="view_item")
     return w.select(
         "week", *keys, "views", "add_to_cart", "begin_checkout", "purchases", *_funnel_rate_cols()
@@ -346,9 +347,9 @@ def product_funnel(events: DataFrame, p: Params) -> DataFrame:
     which may be null here, so the steps are joined back on (week, product).
     """
     nonnull = F.col("product_name").isNotNull()
-    viewed = item_fact(scoped(events, p.start_recent, p), ["view_item"]).where(nonnull)
+    viewed = item_fact(scoped(events, p.start_recent, p), ["view_item"], PRODUCT_KEYS).where(nonnull)
     views = viewed.groupBy("week", *PRODUCT_KEYS).agg(F.count_distinct("user_pseudo_id").alias("views"))
-    later = item_fact(scoped(events, p.start_recent, p), FUNNEL_EVENTS[1:]).where(nonnull)
+    later = item_fact(scoped(events, p.start_recent, p), FUNNEL_EVENTS[1:], ["product_name"]).where(nonnull)
     ms = _funnel_metrics(with_views=False)
     grain = materialize(event_grain(later, ["product_name"], ms), "product-steps")
     # Only products that were bought are ranked; orders without an id keep their product in the list.
@@ -371,7 +372,7 @@ def product_funnel(events: DataFrame, p: Params) -> DataFrame:
 
 def delivery_tier_weekly(events: DataFrame, p: Params) -> DataFrame:
     """Q13: weekly sales and distinct-user funnel per delivery tier (ordered rules)."""
-    fact = sales_fact(events, p, p.start_recent, SALES_EVENTS, "category")
+    fact = sales_fact(events, p, p.start_recent, SALES_EVENTS, "category", ["item_rev_u", *(r.column for r in p.tiers)])
     tiered = fact.withColumn("delivery_tier", assign_tier(p.tiers, p.default_tier))
     w = weekly_metrics(
         tiered,

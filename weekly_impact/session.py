@@ -108,7 +108,7 @@ def scratch_count() -> int:
     return len(_SCRATCH)
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Compute ``df`` once, write it as a Parquet table in the shared folder, read it back.
 
     For a plan that feeds several branches (a top-K list and the rows it
@@ -118,8 +118,9 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     ``spark.checkpoint.dir`` (shared storage on a cluster), so the lineage is
     cut and a lost executor does not force recomputation from the scan; it
     is columnar, so each branch reads only the columns it needs (never
-    ``localCheckpoint``, which lives on executors).
+    ``localCheckpoint``, which lives on executors).  ``partition_by`` lays it
+    out by columns of few values, so that filters on them skip whole folders.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
