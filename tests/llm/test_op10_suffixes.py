@@ -25,8 +25,8 @@ def brute(rows, n=100):
     return out
 
 
-def got(df):
-    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in S.remove_repeats(df).collect()), key=str)
+def got(df, **how):
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in S.remove_repeats(df, **how).collect()), key=str)
 
 
 def test_whole_table(spark, small_dir):
@@ -102,3 +102,16 @@ def test_order_and_common_prefixes():
     for x in range(1, 500):
         (g, a), (h, b) = keys[x - 1], keys[x]
         assert lcp[x] == (-1 if g != h else next((i for i in range(100) if a[i] != b[i]), 100))
+
+
+def test_hot_leads_are_dealt_by_window(spark):
+    rng = random.Random(10)
+    text = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    phrase, tails = text(60), [text(rng.randrange(20, 90)) for _ in range(6)]
+    rows = [(i, text(rng.randrange(0, 40)) + rng.choice(tails) + phrase + rng.choice(tails) + text(30)) for i in range(80)]
+    want = sorted(brute(rows), key=str)
+    assert sum(r[2] for r in want)
+    df = make(spark, rows)
+    for hot in (1, 5, 1000):
+        assert got(df, hot_kinds=hot) == want
+    assert got(df.repartition(7), hot_kinds=1) == want

@@ -10,8 +10,9 @@ is a segment.  Segments, a few dozen bytes of hashes and places per forty
 bytes of text, are shuffled by their lead:
 
 1. Equal segments (128-bit hash of their bytes) repeat as a whole: all but the
-   first are covered.  Each task settles its own equal segments first, so a
-   passage that a third of all documents hold sends one row per task.
+   first are covered.  Each batch settles its own equal segments first, so a
+   passage that a third of all documents hold sends one row per batch; the
+   rest meet by lead and hash, sorted, and are settled as they stream by.
 2. Different segments with the same lead may share some of their windows.
    Their bytes are fetched by document, and for each lead the suffixes that
    start at the lead and the reversed prefixes that end there are sorted:
@@ -20,6 +21,10 @@ bytes of text, are shuffled by their lead:
    prefixes of both orders, two windows are equal at an offset if they share
    that many bytes to the left and the rest to the right; of equal windows all
    but the first are covered.
+3. A lead with more than ``HOT_KINDS`` different segments (a phrase that very
+   many texts hold among different neighbours) is not sorted in one task: its
+   windows are dealt by a 128-bit hash of their bytes instead, each batch's
+   equal ones settled first, as in step 1.
 
 The covered ranges of a document come together by its id and are cut out.
 """
@@ -41,6 +46,8 @@ PLACE_BITS = 24
 CHUNK = 1 << 20
 PIECE = 1 << 23  # longer texts are cut into pieces that overlap by LENGTH - 1 bytes
 SHALLOW_WORDS = 6  # 48 bytes: the lead's gram and two words more
+HOT_KINDS = 1000
+COMPARED = 1 << 16  # segments that a task sorts at a time, whole leads
 U = np.uint64
 
 
@@ -49,11 +56,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(29))
 
 
-def gram_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(8-byte words, GRAM-byte hashes) at each position where they fit."""
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position where they fit, as a number."""
     w = data.astype(U)
     for bits, step in ((8, 1), (16, 2), (32, 4)):
         w = (w[:-step] << U(bits)) | w[step:]
+    return w
+
+
+def gram_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(8-byte words, GRAM-byte hashes) at each position where they fit."""
+    w = words_at(data)
     h = mix(w)
     for step in (8, 16):
         h = mix(h[:-step] * U(0xD6E8FEB86659FD93) + (h[step:] ^ (h[step:] >> U(31))))
@@ -178,8 +191,7 @@ def _find_segments(batches):
         keep = ~later
         yield _rows(lead[keep], own[keep], doc[keep], start[keep], start[keep] + span[keep] + LENGTH - 1, span[keep], offset[keep])
         if len(d):
-            spread = mix(d.astype(U) * U(31) + s.astype(U))
-            yield _rows(spread, spread, d, s, e, np.zeros(len(d)), np.zeros(len(d)))
+            yield _ranges(d, s, e)
 
 
 def first_of_each(lead, own, doc, start):
@@ -194,35 +206,47 @@ def first_of_each(lead, own, doc, start):
     return later, order
 
 
+class Firsts:
+    """Tells the first of each kind from later ones, over batches in the order (lead, own, doc, start)."""
+
+    def __init__(self):
+        self.last = None  # kind and first place of the group that the batch before ended in
+
+    def __call__(self, lead, own, doc, start):
+        """(first, later) of the rows; a row that repeats the first's place is neither."""
+        head = np.ones(len(lead), dtype=bool)
+        head[1:] = (lead[1:] != lead[:-1]) | (own[1:] != own[:-1])
+        head[0] = self.last is None or (lead[0], own[0]) != self.last[:2]
+        at = np.maximum.accumulate(np.where(head, np.arange(len(lead)), -1))
+        d, s = doc[at], start[at]
+        if not head[0]:
+            d[at < 0], s[at < 0] = self.last[2:]
+        self.last = (lead[-1], own[-1], d[-1], s[-1])
+        return head, (doc != d) | (start != s)
+
+
 def _settle(batches):
-    """Of each lead: covered ranges (span 0) and, where segments differ, the first of each kind (span > 0)."""
-    kept = [b for b in batches if b.num_rows]
-    if not kept:
-        return
-    t = pa.Table.from_batches(kept)
-    lead, own, doc, start, stop, span, offset = (t.column(n).to_numpy() for n, _ in SEGMENT_TYPES)
-    covered = span == 0
-    out = [(doc[covered], start[covered], stop[covered])]
-    lead, own, doc, start, stop, span, offset = (x[~covered] for x in (lead, own, doc, start, stop, span, offset))
-    if len(lead):
-        later, _ = first_of_each(lead, own, doc, start)
-        out.append((doc[later], start[later], stop[later]))
-        one = ~later
-        order = np.lexsort((start, doc, own, lead))
-        order = order[one[order]]
-        l, d, s, o = lead[order], doc[order], start[order], own[order]
-        # equal rows (one place twice) count once
-        same = np.zeros(len(order), dtype=bool)
-        same[1:] = (l[1:] == l[:-1]) & (o[1:] == o[:-1]) & (d[1:] == d[:-1]) & (s[1:] == s[:-1])
-        order = order[~same]
-        l = lead[order]
-        edge = np.append(True, l[1:] != l[:-1])
-        size = np.diff(np.append(np.flatnonzero(edge), len(l)))
-        ask = order[np.repeat(size > 1, size)]
-        yield _rows(lead[ask], own[ask], doc[ask], start[ask], stop[ask], span[ask], offset[ask])
-    d, s, e = merged(*(np.concatenate(x) for x in zip(*out)))
-    zero = np.zeros(len(d), dtype=np.int64)
-    yield _rows(zero, zero, d, s, e, zero, zero)
+    """Covered ranges (span 0), and the first of each kind of segment (span > 0); the rows come sorted."""
+    firsts = Firsts()
+    for b in batches:
+        if not b.num_rows:
+            continue
+        rows = [b.column(n).to_numpy() for n, _ in SEGMENT_TYPES]
+        covered = rows[5] == 0
+        out = [tuple(x[covered] for x in rows[2:5])]
+        rows = [x[~covered] for x in rows]
+        if len(rows[0]):
+            first, later = firsts(*rows[:4])
+            out.append(tuple(x[later] for x in rows[2:5]))
+            yield _rows(*(x[first] for x in rows))
+        yield _ranges(*merged(*(np.concatenate(x) for x in zip(*out))))
+
+
+def _ranges(doc, start, stop):
+    """Covered ranges as rows of span 0, which any task may get."""
+    spread = mix(doc.astype(U) * U(31) + start.astype(U))
+    zero = np.zeros(len(doc))
+    return _rows(spread, spread, doc, start, stop, zero, zero)
 
 
 class BlindTrie:
@@ -303,11 +327,37 @@ def sorted_with_lcp(group: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray,
 
 
 def _compare(batches):
-    """Covered ranges among different segments of each lead."""
-    kept = [b for b in batches if b.num_rows]
-    if not kept:
-        return
-    t = pa.Table.from_batches(kept)
+    """Covered ranges among different segments of each lead, and among windows; the rows come sorted."""
+    firsts, waiting, n = Firsts(), [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        lead, own, doc, start, stop, span, _ = (b.column(c).to_numpy() for c, _ in SEGMENT_TYPES)
+        out, whole = span == 0, b.column("data").is_valid().to_numpy(zero_copy_only=False)
+        alone = np.flatnonzero(~out & ~whole)
+        if len(alone):
+            out[alone] = firsts(lead[alone], own[alone], doc[alone], start[alone])[1]
+        yield _range_batch(*merged(doc[out], start[out], stop[out]))
+        if whole.any():
+            waiting.append(pa.Table.from_batches([b]).filter(pa.array(whole)))
+            n += waiting[-1].num_rows
+        if n >= COMPARED:
+            t = pa.concat_tables(waiting)
+            leads = t.column("lead").to_numpy()
+            cut_at = int(np.searchsorted(leads, leads[-1]))  # the last lead may go on
+            if cut_at:
+                yield _compare_leads(t.slice(0, cut_at))
+            waiting, n = [t.slice(cut_at)], t.num_rows - cut_at
+    if n:
+        yield _compare_leads(pa.concat_tables(waiting))
+
+
+def _range_batch(doc, start, stop):
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, start, stop)], ["doc_id", "start", "stop"])
+
+
+def _compare_leads(t: pa.Table) -> pa.RecordBatch:
+    """Covered ranges among the segments of whole leads."""
     lead, doc, start, span, offset = (t.column(c).to_numpy() for c in ("lead", "doc_id", "start", "span", "offset"))
     data = t.column("data").to_pylist()
     n = len(data)
@@ -337,8 +387,7 @@ def _compare(batches):
         earlier = order[head]
         hit[order, o] = (doc[earlier] != doc[order]) | (place[earlier] != place[order])
     rows, offs = np.nonzero(hit)
-    d, s, e = merged(doc[rows], place[rows] - offs, place[rows] - offs + LENGTH)
-    yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(s), pa.array(e)], ["doc_id", "start", "stop"])
+    return _range_batch(*merged(doc[rows], place[rows] - offs, place[rows] - offs + LENGTH))
 
 
 def _pack(batches):
@@ -348,26 +397,75 @@ def _pack(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(data, pa.binary())], ["doc_id", "packed"])
 
 
+def _windows(parts, powers: Powers):
+    """Rows (lead, own: two hashes of its bytes) for the windows of (doc, start, span, bytes); equal ones settled."""
+    data = np.frombuffer(b"".join(x for *_, x in parts), np.uint8)
+    size, span = np.array([len(x) for *_, x in parts]), np.array([x[2] for x in parts])
+    inside = np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
+    at = np.repeat(np.cumsum(size) - size, span) + inside
+    doc = np.repeat(np.array([x[0] for x in parts], dtype=np.int64), span)
+    start = np.repeat(np.array([x[1] for x in parts], dtype=np.int64), span) + inside
+    words = words_at(data)
+    up, down = powers.get(len(words) + 1)
+    hashes = []
+    for salt in (0xA5A5A5A5A5A5A5A5, 0x3C6EF372FE94F82B):
+        sums = np.zeros(len(words) + 1, dtype=U)
+        np.cumsum(mix(words ^ U(salt)) * up[:-1], out=sums[1:])
+        hashes.append(mix((sums[at + LENGTH - 7] - sums[at]) * down[at]))
+    later, order = first_of_each(*hashes, doc, start)
+    yield _ranges(*merged(doc[later], start[later], start[later] + LENGTH))
+    keep = order[~later[order]]
+    one = np.ones(len(keep))
+    yield _rows(*(x[keep] for x in (*hashes, doc, start, start + LENGTH)), one, one - 1)
+
+
+FETCHED = SEGMENT + ", data binary"
+
+
 def _fetch(batches):
-    """The bytes of the segments that are asked for."""
-    opener = zstandard.ZstdDecompressor()
-    kind = pa.schema([("lead", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("span", pa.int32()), ("offset", pa.int32()), ("data", pa.binary())])
+    """The bytes of the segments that are asked for; windows of segments with a hot lead."""
+    opener, powers = zstandard.ZstdDecompressor(), Powers()
+    kind = pa.schema([*SEGMENT_TYPES, ("data", pa.binary())])
+
+    def bare(rows):
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.nulls(rows.num_rows, pa.binary())], schema=kind)
+
     for b in slices(batches):
-        out = []
+        out, hot, size = [], [], 0
         for doc, packed, asked in zip(*(b.column(c).to_pylist() for c in ("doc_id", "packed", "asked"))):
             data = opener.decompress(packed)
-            out += [(q["lead"], doc, q["start"], q["span"], q["offset"], data[q["start"]:q["stop"]]) for q in asked]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kind.types)], schema=kind) if out else pa.RecordBatch.from_pylist([], kind)
+            for q in asked:
+                start, span = q["start"], q["span"]
+                stop = start + span + LENGTH - 1
+                if not q["hot"]:
+                    out.append((q["lead"], 0, doc, start, stop, span, q["offset"], data[start:stop]))
+                elif stop <= len(data):  # an id with several texts: the place may be in another one
+                    hot.append((doc, start, span, data[start:stop]))
+                    size += stop - start
+                    if size >= CHUNK:
+                        yield from map(bare, _windows(hot, powers))
+                        hot, size = [], 0
+        if hot:
+            yield from map(bare, _windows(hot, powers))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kind.types)], schema=kind)
+
+
+def covered_ranges(docs: DataFrame, hot_kinds: int = HOT_KINDS) -> DataFrame:
+    """(doc_id, start, stop) of bytes that go; ranges may overlap."""
 
+    def dealt(rows):  # sorted by Spark, which spills, so that tasks read one batch at a time
+        return rows.repartition("lead", "own").sortWithinPartitions("lead", "own", "doc_id", "start")
 
-def covered_ranges(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, stop) of bytes that go; ranges may overlap."""
-    found = docs.select("doc_id", "text").mapInArrow(_find_segments, SEGMENT).repartition("lead")
-    settled = written(found.mapInArrow(_settle, SEGMENT), "settled")
-    asked = settled.where("span > 0").groupBy("doc_id").agg(F.collect_list(F.struct("lead", "start", "stop", "span", "offset")).alias("asked"))
+    found = docs.select("doc_id", "text").mapInArrow(_find_segments, SEGMENT)
+    settled = written(dealt(found).mapInArrow(_settle, SEGMENT), "settled")
+    unlike = settled.where("span > 0").select("lead", "doc_id", "start", "span", "offset")
+    kinds = unlike.groupBy("lead").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    asked = unlike.join(kinds, "lead").groupBy("doc_id").agg(
+        F.collect_list(F.struct("lead", "start", "span", "offset", (F.col("kinds") > hot_kinds).alias("hot"))).alias("asked"))
     packed = docs.select("doc_id", "text").mapInArrow(_pack, "doc_id long, packed binary")
-    bytes_of = packed.join(asked, "doc_id").mapInArrow(_fetch, "lead long, doc_id long, start long, span int, offset int, data binary")
-    compared = bytes_of.repartition("lead").mapInArrow(_compare, "doc_id long, start long, stop long")
+    bytes_of = packed.join(asked, "doc_id").mapInArrow(_fetch, FETCHED)
+    compared = dealt(bytes_of).mapInArrow(_compare, "doc_id long, start long, stop long")
     return settled.where("span = 0").select("doc_id", "start", "stop").unionByName(compared)
 
 
@@ -388,7 +486,7 @@ def cut(data: bytes, ranges) -> tuple[bytes, int, int]:
     return b"".join(out), removed, runs
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_kinds: int = HOT_KINDS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept), kept being the bytes that stay; one row per input row.
 
     Null texts count as empty; texts under LENGTH bytes lose nothing.  Rows
@@ -399,7 +497,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whatever their names, are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ranges = covered_ranges(texts.where("doc_id is not null and text is not null"))
+    ranges = covered_ranges(texts.where("doc_id is not null and text is not null"), hot_kinds)
     per_doc = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     joined = texts.mapInArrow(_pack, "doc_id long, packed binary").join(per_doc, "doc_id", "left")
 
