@@ -112,6 +112,8 @@ def test_hot_leads_are_dealt_by_window(spark):
     want = sorted(brute(rows), key=str)
     assert sum(r[2] for r in want)
     df = make(spark, rows)
-    for hot in (1, 5, 1000):
-        assert got(df, hot_kinds=hot) == want
-    assert got(df.repartition(7), hot_kinds=1) == want
+    for hot, local in ((1, 1000), (5, 1000), (1000, 16), (1000, 1), (1, 1)):
+        assert got(df, hot_kinds=hot, local_kinds=local) == want
+    # hot in some batches only: those of few rows meet the others by the marker
+    uneven = make(spark, rows[:70]).coalesce(1).unionByName(make(spark, rows[70:]).repartition(5))
+    assert got(uneven, local_kinds=8) == want

@@ -21,10 +21,14 @@ bytes of text, are shuffled by their lead:
    prefixes of both orders, two windows are equal at an offset if they share
    that many bytes to the left and the rest to the right; of equal windows all
    but the first are covered.
-3. A lead with more than ``HOT_KINDS`` different segments (a phrase that very
-   many texts hold among different neighbours) is not sorted in one task: its
-   windows are dealt by a 128-bit hash of their bytes instead, each batch's
-   equal ones settled first, as in step 1.
+3. A hot lead (a phrase that very many texts hold among different neighbours)
+   is not sorted in one task: its windows are dealt by a 128-bit hash of their
+   bytes instead, each batch's equal ones settled first, as in step 1.  A lead
+   is hot in a batch with more than ``LOCAL_KINDS`` different segments of it
+   that are also more than a ``LOCAL_SHARE``-th of its rows; the batch then
+   sends windows, and one marker to the lead's group, which tells the segments
+   of other batches there to go the same way.  So does a group with more than
+   ``HOT_KINDS`` different segments.
 
 The covered ranges of a document come together by its id and are cut out.
 """
@@ -46,7 +50,10 @@ PLACE_BITS = 24
 CHUNK = 1 << 20
 PIECE = 1 << 23  # longer texts are cut into pieces that overlap by LENGTH - 1 bytes
 SHALLOW_WORDS = 6  # 48 bytes: the lead's gram and two words more
+LOCAL_KINDS = 16
+LOCAL_SHARE = 64
 HOT_KINDS = 1000
+COVERED, SEGMENT_ROW, WINDOW, MARKER, HOT = range(5)  # kinds of rows
 COMPARED = 1 << 16  # segments that a task sorts at a time, whole leads
 U = np.uint64
 
@@ -144,13 +151,28 @@ def pieces(ids, texts):
         yield buf
 
 
-SEGMENT = "lead long, own long, doc_id long, start long, stop long, span int, offset int"
-SEGMENT_TYPES = [("lead", pa.int64()), ("own", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("span", pa.int32()), ("offset", pa.int32())]
+SEGMENT = "lead long, own long, doc_id long, start long, span int, offset int, kind int"  # span: windows, of covered ranges too
+TYPES = [pa.int64()] * 4 + [pa.int32()] * 3
+NAMES = [x.split()[0] for x in SEGMENT.split(", ")]
 
 
-def _rows(lead, own, doc, start, stop, span, offset):
-    cols = [lead.view(np.int64), own.view(np.int64), doc, start, stop, span.astype(np.int32), offset.astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, SEGMENT_TYPES)], names=[n for n, _ in SEGMENT_TYPES])
+def _rows(lead, own, doc, start, span, offset, kind):
+    cols = [lead.view(np.int64), own.view(np.int64), doc, start, *(np.broadcast_to(np.asarray(x, dtype=np.int32), len(lead)) for x in (span, offset, kind))]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, TYPES)], names=NAMES)
+
+
+def _ranges(doc, start, stop):
+    """Covered ranges as rows that any task may get."""
+    spread = mix(doc.astype(U) * U(31) + start.astype(U))
+    return _rows(spread, spread, doc, start, stop - start - LENGTH + 1, 0, COVERED)
+
+
+def _columns(batch) -> list[np.ndarray]:
+    return [batch.column(n).to_numpy() for n in NAMES]
+
+
+def _stop(start, span):
+    return start + span + LENGTH - 1
 
 
 def merged(doc, start, stop):
@@ -170,28 +192,59 @@ def merged(doc, start, stop):
     return doc[first], start[first], reach[last] - shift[first]
 
 
-def _find_segments(batches):
-    """Segments that others may share (span > 0) and ranges already covered (span 0, spread by document)."""
-    powers = Powers()
-    for b in slices(batches, 4096):
-        found = []
-        for buf in pieces(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-            data = np.frombuffer(b"".join(p for _, _, p in buf), np.uint8)
-            sizes = np.array([len(p) for _, _, p in buf])
-            ends, doc = np.cumsum(sizes), np.repeat(np.arange(len(buf)), sizes)
-            start, count, offset, lead, own = segments(data, doc, ends, powers)
-            piece = doc[start] if len(start) else start
-            ids, base = np.array([i for i, _, _ in buf], dtype=np.int64), np.array([x for _, x, _ in buf])
-            found.append((lead, own, ids[piece], start - (ends - sizes)[piece] + base[piece], count, offset))
-        if not found:
-            continue
-        lead, own, doc, start, span, offset = (np.concatenate(x) for x in zip(*found))
-        later, _ = first_of_each(lead, own, doc, start)
-        d, s, e = merged(doc[later], start[later], start[later] + span[later] + LENGTH - 1)
-        keep = ~later
-        yield _rows(lead[keep], own[keep], doc[keep], start[keep], start[keep] + span[keep] + LENGTH - 1, span[keep], offset[keep])
-        if len(d):
-            yield _ranges(d, s, e)
+def _find_segments(local_kinds: int):
+    """Covered ranges, and segments that others may share; of leads that are hot in the batch, windows and a marker."""
+
+    def run(batches):
+        powers = Powers()
+        for b in slices(batches, 4096):
+            found, parts = [], []
+            for buf in pieces(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                data = np.frombuffer(b"".join(p for _, _, p in buf), np.uint8)
+                sizes = np.array([len(p) for _, _, p in buf])
+                ends, doc = np.cumsum(sizes), np.repeat(np.arange(len(buf)), sizes)
+                start, count, offset, lead, own = segments(data, doc, ends, powers)
+                piece = doc[start] if len(start) else start
+                ids, base = np.array([i for i, _, _ in buf], dtype=np.int64), np.array([x for _, x, _ in buf])
+                inside = start - (ends - sizes)[piece]
+                found.append((lead, own, ids[piece], inside + base[piece], count, offset, piece + len(parts), inside))
+                parts += [p for _, _, p in buf]
+            if not found:
+                continue
+            lead, own, doc, start, span, offset, piece, inside = (np.concatenate(x) for x in zip(*found))
+            later, _ = first_of_each(lead, own, doc, start)
+            yield _ranges(*merged(doc[later], start[later], _stop(start[later], span[later])))
+            leads, of, kinds = np.unique(lead[~later], return_inverse=True, return_counts=True)
+            hot_lead = (kinds > local_kinds) & (kinds * LOCAL_SHARE > b.num_rows)
+            keep, hot = (np.flatnonzero(~later)[x] for x in (~hot_lead[of], hot_lead[of]))
+            yield _rows(*(x[keep] for x in (lead, own, doc, start, span, offset)), SEGMENT_ROW)
+            marks = leads[hot_lead]
+            none = np.zeros(len(marks), dtype=np.int64)
+            yield _rows(marks, none + np.iinfo(np.int64).min, none, none, 0, 0, MARKER)  # the least ``own``: first of its lead
+            for at in range(0, len(hot), CHUNK // (2 * LENGTH)):
+                some = hot[at:at + CHUNK // (2 * LENGTH)]
+                data = [parts[piece[x]][inside[x]:_stop(inside[x], span[x])] for x in some]
+                yield from _windows(doc[some], start[some], span[some], data, powers)
+
+    return run
+
+
+def _windows(doc, start, span, data, powers: Powers):
+    """Rows (lead, own: two hashes of its bytes) for the windows of segments; equal ones settled."""
+    size = np.array([len(x) for x in data])
+    inside = np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
+    at = np.repeat(np.cumsum(size) - size, span) + inside
+    doc, start = np.repeat(doc, span), np.repeat(start, span) + inside
+    words = words_at(np.frombuffer(b"".join(data), np.uint8))
+    up, down = powers.get(len(words) + 1)
+    hashes = []
+    for salt in (0xA5A5A5A5A5A5A5A5, 0x3C6EF372FE94F82B):
+        sums = np.zeros(len(words) + 1, dtype=U)
+        np.cumsum(mix(words ^ U(salt)) * up[:-1], out=sums[1:])
+        hashes.append(mix((sums[at + LENGTH - 7] - sums[at]) * down[at]))
+    later, _ = first_of_each(*hashes, doc, start)
+    yield _ranges(*merged(doc[later], start[later], start[later] + LENGTH))
+    yield _rows(*(x[~later] for x in (*hashes, doc, start)), 1, 0, WINDOW)
 
 
 def first_of_each(lead, own, doc, start):
@@ -225,28 +278,54 @@ class Firsts:
         return head, (doc != d) | (start != s)
 
 
-def _settle(batches):
-    """Covered ranges (span 0), and the first of each kind of segment (span > 0); the rows come sorted."""
-    firsts = Firsts()
-    for b in batches:
-        if not b.num_rows:
-            continue
-        rows = [b.column(n).to_numpy() for n, _ in SEGMENT_TYPES]
-        covered = rows[5] == 0
-        out = [tuple(x[covered] for x in rows[2:5])]
-        rows = [x[~covered] for x in rows]
-        if len(rows[0]):
-            first, later = firsts(*rows[:4])
-            out.append(tuple(x[later] for x in rows[2:5]))
-            yield _rows(*(x[first] for x in rows))
-        yield _ranges(*merged(*(np.concatenate(x) for x in zip(*out))))
+class Leads:
+    """Segments of leads that have several kinds or are hot, over batches of first kinds and markers in order."""
 
+    def __init__(self, hot_kinds: int):
+        self.hot_kinds, self.rows, self.hot = hot_kinds, [], None
+
+    def __call__(self, rows, last: bool = False):
+        rows = [np.concatenate(x) for x in zip(self.rows, rows)] if self.rows else rows
+        lead, mark = rows[0], rows[6] == MARKER
+        if not len(lead):
+            return rows
+        at = np.flatnonzero(np.append(True, lead[1:] != lead[:-1]))
+        size = np.diff(np.append(at, len(lead)))
+        kinds = np.add.reduceat(~mark, at, dtype=np.int64)
+        hot = (kinds > self.hot_kinds) | np.logical_or.reduceat(mark, at)
+        hot[0] |= lead[0] == self.hot  # the lead that the batch before ended in
+        self.hot = lead[-1] if hot[-1] else None
+        end = len(lead) if last or hot[-1] else at[-1]  # an undecided lead waits, with few rows
+        self.rows = [x[end:] for x in rows]
+        ask = (np.repeat(hot | (kinds > 1), size) & ~mark)[:end]
+        return [*(x[:end][ask] for x in rows[:6]), np.where(np.repeat(hot, size)[:end][ask], HOT, SEGMENT_ROW)]
 
-def _ranges(doc, start, stop):
-    """Covered ranges as rows of span 0, which any task may get."""
-    spread = mix(doc.astype(U) * U(31) + start.astype(U))
-    zero = np.zeros(len(doc))
-    return _rows(spread, spread, doc, start, stop, zero, zero)
+
+def _settle(hot_kinds: int):
+    """Covered ranges, the first of each window, and the first of each kind of segment of a lead with several; sorted rows come."""
+
+    def run(batches):
+        firsts, firsts_of_windows, leads = Firsts(), Firsts(), Leads(hot_kinds)
+        rows = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows = _columns(b)
+            kind = rows[6]
+            out = [kind == COVERED]
+            for one, which in ((firsts_of_windows, kind == WINDOW), (firsts, (kind == SEGMENT_ROW) | (kind == MARKER))):
+                at = np.flatnonzero(which)
+                first, later = np.zeros((2, len(kind)), dtype=bool)
+                if len(at):
+                    first[at], later[at] = one(*(x[at] for x in rows[:4]))
+                out.append(later & (kind != MARKER))
+                yield _rows(*([x[first] for x in rows] if one is firsts_of_windows else leads([x[first] for x in rows])))
+            gone = out[0] | out[1] | out[2]
+            yield _ranges(*merged(rows[2][gone], rows[3][gone], _stop(rows[3], rows[4])[gone]))
+        if rows is not None:
+            yield _rows(*leads([x[:0] for x in rows], last=True))
+
+    return run
 
 
 class BlindTrie:
@@ -332,22 +411,22 @@ def _compare(batches):
     for b in batches:
         if not b.num_rows:
             continue
-        lead, own, doc, start, stop, span, _ = (b.column(c).to_numpy() for c, _ in SEGMENT_TYPES)
-        out, whole = span == 0, b.column("data").is_valid().to_numpy(zero_copy_only=False)
-        alone = np.flatnonzero(~out & ~whole)
-        if len(alone):
-            out[alone] = firsts(lead[alone], own[alone], doc[alone], start[alone])[1]
-        yield _range_batch(*merged(doc[out], start[out], stop[out]))
+        lead, own, doc, start, span, _, kind = _columns(b)
+        out, at = kind == COVERED, np.flatnonzero(kind == WINDOW)
+        if len(at):
+            out[at] = firsts(*(x[at] for x in (lead, own, doc, start)))[1]
+        yield _range_batch(*merged(doc[out], start[out], _stop(start, span)[out]))
+        whole = kind == SEGMENT_ROW
         if whole.any():
             waiting.append(pa.Table.from_batches([b]).filter(pa.array(whole)))
             n += waiting[-1].num_rows
         if n >= COMPARED:
             t = pa.concat_tables(waiting)
             leads = t.column("lead").to_numpy()
-            cut_at = int(np.searchsorted(leads, leads[-1]))  # the last lead may go on
-            if cut_at:
-                yield _compare_leads(t.slice(0, cut_at))
-            waiting, n = [t.slice(cut_at)], t.num_rows - cut_at
+            end = int(np.searchsorted(leads, leads[-1]))  # the last lead may go on
+            if end:
+                yield _compare_leads(t.slice(0, end))
+            waiting, n = [t.slice(end)], t.num_rows - end
     if n:
         yield _compare_leads(pa.concat_tables(waiting))
 
@@ -397,76 +476,55 @@ def _pack(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(data, pa.binary())], ["doc_id", "packed"])
 
 
-def _windows(parts, powers: Powers):
-    """Rows (lead, own: two hashes of its bytes) for the windows of (doc, start, span, bytes); equal ones settled."""
-    data = np.frombuffer(b"".join(x for *_, x in parts), np.uint8)
-    size, span = np.array([len(x) for *_, x in parts]), np.array([x[2] for x in parts])
-    inside = np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
-    at = np.repeat(np.cumsum(size) - size, span) + inside
-    doc = np.repeat(np.array([x[0] for x in parts], dtype=np.int64), span)
-    start = np.repeat(np.array([x[1] for x in parts], dtype=np.int64), span) + inside
-    words = words_at(data)
-    up, down = powers.get(len(words) + 1)
-    hashes = []
-    for salt in (0xA5A5A5A5A5A5A5A5, 0x3C6EF372FE94F82B):
-        sums = np.zeros(len(words) + 1, dtype=U)
-        np.cumsum(mix(words ^ U(salt)) * up[:-1], out=sums[1:])
-        hashes.append(mix((sums[at + LENGTH - 7] - sums[at]) * down[at]))
-    later, order = first_of_each(*hashes, doc, start)
-    yield _ranges(*merged(doc[later], start[later], start[later] + LENGTH))
-    keep = order[~later[order]]
-    one = np.ones(len(keep))
-    yield _rows(*(x[keep] for x in (*hashes, doc, start, start + LENGTH)), one, one - 1)
-
-
 FETCHED = SEGMENT + ", data binary"
 
 
 def _fetch(batches):
-    """The bytes of the segments that are asked for; windows of segments with a hot lead."""
+    """The bytes of the segments that are asked for; windows of those with a hot lead."""
     opener, powers = zstandard.ZstdDecompressor(), Powers()
-    kind = pa.schema([*SEGMENT_TYPES, ("data", pa.binary())])
+    kind = pa.schema([*zip(NAMES, TYPES), ("data", pa.binary())])
 
-    def bare(rows):
-        return pa.RecordBatch.from_arrays([*rows.columns, pa.nulls(rows.num_rows, pa.binary())], schema=kind)
+    def windows(hot):
+        doc, start, span = (np.array(x, dtype=np.int64) for x in list(zip(*hot))[:3])
+        for rows in _windows(doc, start, span, [x[3] for x in hot], powers):
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.nulls(rows.num_rows, pa.binary())], schema=kind)
 
     for b in slices(batches):
-        out, hot, size = [], [], 0
+        out, hot = [], []
         for doc, packed, asked in zip(*(b.column(c).to_pylist() for c in ("doc_id", "packed", "asked"))):
             data = opener.decompress(packed)
             for q in asked:
                 start, span = q["start"], q["span"]
-                stop = start + span + LENGTH - 1
-                if not q["hot"]:
-                    out.append((q["lead"], 0, doc, start, stop, span, q["offset"], data[start:stop]))
-                elif stop <= len(data):  # an id with several texts: the place may be in another one
-                    hot.append((doc, start, span, data[start:stop]))
-                    size += stop - start
-                    if size >= CHUNK:
-                        yield from map(bare, _windows(hot, powers))
-                        hot, size = [], 0
+                part = data[start:_stop(start, span)]
+                if q["kind"] != HOT:
+                    out.append((q["lead"], 0, doc, start, span, q["offset"], SEGMENT_ROW, part))
+                elif len(part) == span + LENGTH - 1:  # of an id's several texts another one may be meant
+                    hot.append((doc, start, span, part))
+                if len(hot) * 2 * LENGTH >= CHUNK:
+                    yield from windows(hot)
+                    hot = []
         if hot:
-            yield from map(bare, _windows(hot, powers))
+            yield from windows(hot)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kind.types)], schema=kind)
 
 
-def covered_ranges(docs: DataFrame, hot_kinds: int = HOT_KINDS) -> DataFrame:
+def covered_ranges(docs: DataFrame, hot_kinds: int = HOT_KINDS, local_kinds: int = LOCAL_KINDS) -> DataFrame:
     """(doc_id, start, stop) of bytes that go; ranges may overlap."""
 
     def dealt(rows):  # sorted by Spark, which spills, so that tasks read one batch at a time
-        return rows.repartition("lead", "own").sortWithinPartitions("lead", "own", "doc_id", "start")
-
-    found = docs.select("doc_id", "text").mapInArrow(_find_segments, SEGMENT)
-    settled = written(dealt(found).mapInArrow(_settle, SEGMENT), "settled")
-    unlike = settled.where("span > 0").select("lead", "doc_id", "start", "span", "offset")
-    kinds = unlike.groupBy("lead").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    asked = unlike.join(kinds, "lead").groupBy("doc_id").agg(
-        F.collect_list(F.struct("lead", "start", "span", "offset", (F.col("kinds") > hot_kinds).alias("hot"))).alias("asked"))
+        return rows.repartition("lead").sortWithinPartitions("lead", "own", "doc_id", "start")
+
+    found = docs.select("doc_id", "text").mapInArrow(_find_segments(local_kinds), SEGMENT)
+    settled = written(dealt(found).mapInArrow(_settle(hot_kinds), SEGMENT), "settled")
+    asked = settled.where(F.col("kind").isin(SEGMENT_ROW, HOT)).groupBy("doc_id").agg(
+        F.collect_list(F.struct("lead", "start", "span", "offset", "kind")).alias("asked"))
     packed = docs.select("doc_id", "text").mapInArrow(_pack, "doc_id long, packed binary")
     bytes_of = packed.join(asked, "doc_id").mapInArrow(_fetch, FETCHED)
-    compared = dealt(bytes_of).mapInArrow(_compare, "doc_id long, start long, stop long")
-    return settled.where("span = 0").select("doc_id", "start", "stop").unionByName(compared)
+    windows = settled.where(F.col("kind") == WINDOW).withColumn("data", F.lit(None).cast("binary"))
+    compared = dealt(bytes_of.unionByName(windows)).mapInArrow(_compare, "doc_id long, start long, stop long")
+    stop = (F.col("start") + F.col("span") + (LENGTH - 1)).alias("stop")
+    return settled.where(F.col("kind") == COVERED).select("doc_id", "start", stop).unionByName(compared)
 
 
 def cut(data: bytes, ranges) -> tuple[bytes, int, int]:
@@ -486,7 +544,8 @@ def cut(data: bytes, ranges) -> tuple[bytes, int, int]:
     return b"".join(out), removed, runs
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_kinds: int = HOT_KINDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   hot_kinds: int = HOT_KINDS, local_kinds: int = LOCAL_KINDS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept), kept being the bytes that stay; one row per input row.
 
     Null texts count as empty; texts under LENGTH bytes lose nothing.  Rows
@@ -497,7 +556,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whatever their names, are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ranges = covered_ranges(texts.where("doc_id is not null and text is not null"), hot_kinds)
+    ranges = covered_ranges(texts.where("doc_id is not null and text is not null"), hot_kinds, local_kinds)
     per_doc = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     joined = texts.mapInArrow(_pack, "doc_id long, packed binary").join(per_doc, "doc_id", "left")
 
