@@ -57,6 +57,13 @@ def test_many_repeated_rows(spark):
     assert Counter(got(make(spark, rows))) == Counter(brute(rows, 16))
 
 
+def test_long_runs_of_copies_are_spread(spark):
+    df = make(spark, [(None, "same")] * 200 + [(i % 9, "x") for i in range(50)]).select("doc_id", "text")
+    numbers = [S.global_numbers(df, ["doc_id", "text"], run)[0].orderBy("number").collect() for run in (7, 199, 10_000)]
+    assert numbers[0] == numbers[1] == numbers[2]
+    assert [r.number for r in numbers[0]] == list(range(250))
+
+
 def test_empty_and_clashing_columns(spark):
     assert got(make(spark, [])) == []
     df = make(spark, [(1, "a"), (2, "b")]).withColumnsRenamed({"lang": "shard", "source": "number", "n_chars": "copies"})

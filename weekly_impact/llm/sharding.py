@@ -16,7 +16,8 @@ finite and never cut short.
 Only DataFrame functions; texts never leave the scan, which reduces each row
 to (id, size, crc32) before the first shuffle.  Equal triples are counted
 before the range shuffle and numbered from the count afterwards, so repeated
-rows, however many, cost one row there.
+rows, however many, cost one row there; a count beyond ``RUN`` is dealt out in
+runs of numbers, which are spread over the tasks before they become rows.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 ROUNDS = 6
+RUN = 10_000
 PRIME = 2_147_483_647  # 2^31 - 1: products of two residues stay below 2^62
 
 
@@ -89,7 +91,7 @@ def longest_walk(spark, n: int, a: int, b: int, keys) -> int:
     return steps
 
 
-def global_numbers(triples: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+def global_numbers(triples: DataFrame, keys: list[str], run: int = RUN) -> tuple[DataFrame, int]:
     """Rows with ``number``, their rank 0..N-1 by ``keys`` (nulls first), and N.
 
     A range shuffle deals out the counted keys, small per-range totals give
@@ -104,8 +106,12 @@ def global_numbers(triples: DataFrame, keys: list[str]) -> tuple[DataFrame, int]
     n = offsets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     inside = Window.partitionBy("part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     first = F.col("offset") + F.coalesce(F.sum("copies").over(inside), F.lit(0))
-    numbered = ranged.join(F.broadcast(offsets.select("part", "offset")), "part").withColumn("first", first)
-    return numbered.select(*keys, F.explode(F.sequence("first", F.col("first") + F.col("copies") - 1)).alias("number")), n
+    ends = ranged.join(F.broadcast(offsets.select("part", "offset")), "part").withColumn("first", first)
+    ends = ends.withColumn("last", F.col("first") + F.col("copies") - 1)
+    many = ends.where(F.col("copies") > run).withColumn("first", F.explode(F.sequence("first", "last", F.lit(run).cast("long"))))
+    many = many.withColumn("last", F.least("last", F.col("first") + (run - 1))).repartition("first")
+    runs = ends.where(F.col("copies") <= run).unionByName(many)
+    return runs.select(*keys, F.explode(F.sequence("first", "last")).alias("number")), n
 
 
 def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
