@@ -17,6 +17,8 @@ and the forests become components in a distributed job.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -126,6 +128,15 @@ def _bands(bits: int = 64, n: int = 3) -> list[tuple[int, int]]:
     return [(lo, (1 << (hi - lo)) - 1) for lo, hi in zip(cut, cut[1:])]
 
 
+def _changes(cols) -> np.ndarray:
+    """Where a new meeting begins in ordered rows."""
+    change = np.zeros(len(cols[5]), dtype=bool)
+    change[:1] = True
+    for c in cols[:4]:
+        change[1:] |= c[1:] != c[:-1]
+    return change
+
+
 def link_forest(distinct: DataFrame, radius: int, shard: int = SHARD) -> DataFrame:
     """(a, b): links between distinct fingerprints ``fp`` that connect all that are within ``radius`` bits."""
     bands = _bands(64, radius + 1)
@@ -142,38 +153,40 @@ def link_forest(distinct: DataFrame, radius: int, shard: int = SHARD) -> DataFra
     meetings = met.select(
         "band", "value", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("block"), "own", "fp")
 
-    def run(batches):
-        kept = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if kept is None or not kept.num_rows:
-            return
-        cols = [kept.column(c).to_numpy() for c in ("band", "value", "tree", "block", "own", "fp")]
-        order = np.lexsort(cols[::-1])
-        cols = [c[order] for c in cols]
+    def search(cols, out_a, out_b):
+        """Adds the links of whole meetings; rows are in order."""
         fps = cols[5].view(np.uint64)
-        change = np.zeros(len(order), dtype=bool)
-        change[0] = True
-        for c in cols[:4]:
-            change[1:] |= c[1:] != c[:-1]
-        starts = [*np.flatnonzero(change), len(order)]
-        a: list[int] = []
-        b: list[int] = []
+        starts = [*np.flatnonzero(_changes(cols)), len(fps)]
         for s, e in zip(starts, starts[1:]):
             if e - s < 2:
                 continue
             tree, block, own_, fp = int(cols[2][s]), int(cols[3][s]), cols[4][s:e], fps[s:e]
             if e - s == 2 and tree == block:
                 if int(np.bitwise_count(fp[0] ^ fp[1])) <= radius:
-                    _forest([(int(fp[0]), int(fp[1]))], a, b)
+                    _forest([(int(fp[0]), int(fp[1]))], out_a, out_b)
                 continue
             mine, asking = (fp, fp) if tree == block else (fp[own_ == tree], fp[own_ == block])
             if len(mine) and len(asking):
                 bk = BKTree(mine)
-                _forest(((int(q), x) for q in asking.tolist() for x in bk.search(q, radius) if x != q), a, b)
-        if a:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(x, dtype=np.uint64).view(np.int64), pa.int64()) for x in (a, b)], ["a", "b"])
+                _forest(((int(q), x) for q in asking.tolist() for x in bk.search(q, radius) if x != q), out_a, out_b)
 
-    dealt = meetings.repartition("band", "value", "tree", "block")
+    def run(batches):
+        rest = [np.empty(0, dtype=np.int64)] * 6
+        for b in itertools.chain(batches, [None]):
+            cols = rest if b is None else [np.concatenate(x) for x in zip(rest, (b.column(c).to_numpy() for c in (*meeting, "own", "fp")))]
+            changes = np.flatnonzero(_changes(cols))
+            end = len(cols[5]) if b is None else int(changes[-1]) if len(changes) else 0  # the last meeting may go on
+            rest = [x[end:] for x in cols]
+            a: list[int] = []
+            z: list[int] = []
+            search([x[:end] for x in cols], a, z)
+            if a:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.array(x, dtype=np.uint64).view(np.int64), pa.int64()) for x in (a, z)], ["a", "b"])
+
+    # Sorted by Spark, which spills, so that a task holds one batch and one meeting at a time.
+    meeting = ("band", "value", "tree", "block")
+    dealt = meetings.repartition(*meeting).sortWithinPartitions(*meeting, "fp")
     return dealt.mapInArrow(run, "a long, b long")
 
 
