@@ -58,3 +58,15 @@ def test_stream_follows_rewritten_and_late_shards(spark, tmp_path):
     now = ev.where((F.col("event_date") != again) | (F.col("event_name") != "view_item"))
     want, got = Q.funnel_weekly(now, FIXTURE_PARAMS), read_weekly_funnel(spark, table)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_drops_a_week_without_funnel_events(spark, tmp_path):
+    shards, table, ckpt = (str(tmp_path / n) for n in ("shards", "table", "ckpt"))
+    two = [event("view_item", "u", "p"), event("purchase", "u", "p", "o", date="20250114")]
+    write_events(spark.createDataFrame(two, EVENT_SCHEMA), shards)
+    refresh_weekly_funnel(spark, shards, table, ckpt)
+    assert read_weekly_funnel(spark, table).count() == 2
+    other = spark.createDataFrame([event("scroll", "u", "p")], EVENT_SCHEMA)
+    other.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(shards)
+    refresh_weekly_funnel(spark, shards, table, ckpt)
+    assert [(str(r.week), r.purchase) for r in read_weekly_funnel(spark, table).collect()] == [("2025-01-13", 1)]

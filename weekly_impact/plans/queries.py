@@ -57,23 +57,38 @@ def sales_fact(events: DataFrame, p: Params, start: str, names, required: str, c
     return clean_categories(fact, p.blocklist, required_col=required)
 
 
+# The grain that Q1, Q2, Q10, Q11 and Q13 can share: both floors stay apart, the noise filter needs the keys only.
+SEGMENT_KEYS = ["from_start", "from_recent", "category", "subcategory"]
+
+
+def segment_grain(events: DataFrame, p: Params) -> DataFrame:
+    """One row per (week, segment, event, user or order) of the four item events, before the noise filter."""
+    fact = item_fact(scoped(events, min(p.start, p.start_recent), p), SALES_EVENTS, {"category", "subcategory", "item_rev_u"})
+    floors = {"from_start": F.col("event_date") >= p.start, "from_recent": F.col("event_date") >= p.start_recent}
+    ms = [*_funnel_metrics(), total("_rev_u", "purchase", "item_rev_u")]
+    return event_grain(fact.withColumns(floors), SEGMENT_KEYS, ms)
+
+
+def from_grain(grain: DataFrame, p: Params, floor: str, required: str) -> DataFrame:
+    """The grain's rows from a floor on, noise-filtered."""
+    return clean_categories(grain.where(F.col(floor)), p.blocklist, required_col=required)
+
+
 # --- Q1 / Q2: category and subcategory weekly --------------------------------
 
 
-def sales_weekly(events: DataFrame, p: Params, keys: list[str], required: str) -> DataFrame:
-    fact = sales_fact(events, p, p.start, SALES_EVENTS, required, [*keys, "item_rev_u"])
-    w = weekly_metrics(
-        fact,
-        keys,
-        [
-            distinct("sessions", "view_item", "user_pseudo_id"),
-            distinct("transactions", "purchase", "transaction_id"),
-            total("_rev_u", "purchase", "item_rev_u"),
-            rows("add_to_cart", "add_to_cart"),
-            distinct("began_checkout", "begin_checkout", "user_pseudo_id"),
-        ],
-        anchor="view_item",
-    )
+def sales_weekly(events: DataFrame, p: Params, keys: list[str], required: str, grain: DataFrame | None = None) -> DataFrame:
+    ms = [
+        distinct("sessions", "view_item", "user_pseudo_id"),
+        distinct("transactions", "purchase", "transaction_id"),
+        total("_rev_u", "purchase", "item_rev_u"),
+        rows("add_to_cart", "add_to_cart"),
+        distinct("began_checkout", "begin_checkout", "user_pseudo_id"),
+    ]
+    if grain is None:
+        w = weekly_metrics(sales_fact(events, p, p.start, SALES_EVENTS, required, [*keys, "item_rev_u"]), keys, ms, anchor="view_item")
+    else:
+        w = rollup(from_grain(grain, p, "from_start", required), keys, ms, anchor="view_item", grain_keys=SEGMENT_KEYS)
     return w.select(
         "week",
         *keys,
@@ -86,14 +101,14 @@ def sales_weekly(events: DataFrame, p: Params, keys: list[str], required: str) -
     ).orderBy("week", *keys)
 
 
-def category_weekly(events: DataFrame, p: Params) -> DataFrame:
+def category_weekly(events: DataFrame, p: Params, grain: DataFrame | None = None) -> DataFrame:
     """Q1: per (week, category) viewers, orders, revenue, cart rows, checkout users, CVR."""
-    return sales_weekly(events, p, ["category"], "category")
+    return sales_weekly(events, p, ["category"], "category", grain)
 
 
-def subcategory_weekly(events: DataFrame, p: Params) -> DataFrame:
+def subcategory_weekly(events: DataFrame, p: Params, grain: DataFrame | None = None) -> DataFrame:
     """Q2: Q1 per (week, category, subcategory); the blank test moves to subcategory."""
-    return sales_weekly(events, p, ["category", "subcategory"], "subcategory")
+    return sales_weekly(events, p, ["category", "subcategory"], "subcategory", grain)
 
 
 # --- Q3: product weekly ------------------------------------------------------
@@ -317,22 +332,25 @@ def _funnel_metrics(with_views: bool = True):
     return ([distinct("views", "view_item", "user_pseudo_id")] if with_views else []) + ms
 
 
-def segment_funnel(events: DataFrame, p: Params, keys: list[str], required: str) -> DataFrame:
-    fact = sales_fact(events, p, p.start_recent, FUNNEL_EVENTS, required, keys)
-    w = weekly_metrics(fact, keys, _funnel_metrics(), anchor="view_item")
+def segment_funnel(events: DataFrame, p: Params, keys: list[str], required: str, grain: DataFrame | None = None) -> DataFrame:
+    if grain is None:
+        fact = sales_fact(events, p, p.start_recent, FUNNEL_EVENTS, required, keys)
+        w = weekly_metrics(fact, keys, _funnel_metrics(), anchor="view_item")
+    else:
+        w = rollup(from_grain(grain, p, "from_recent", required), keys, _funnel_metrics(), anchor="view_item", grain_keys=SEGMENT_KEYS)
     return w.select(
         "week", *keys, "views", "add_to_cart", "begin_checkout", "purchases", *_funnel_rate_cols()
     ).orderBy("week", *keys)
 
 
-def category_funnel(events: DataFrame, p: Params) -> DataFrame:
+def category_funnel(events: DataFrame, p: Params, grain: DataFrame | None = None) -> DataFrame:
     """Q10: distinct-user funnel view -> cart -> checkout -> order per (week, category)."""
-    return segment_funnel(events, p, ["category"], "category")
+    return segment_funnel(events, p, ["category"], "category", grain)
 
 
-def subcategory_funnel(events: DataFrame, p: Params) -> DataFrame:
+def subcategory_funnel(events: DataFrame, p: Params, grain: DataFrame | None = None) -> DataFrame:
     """Q11: Q10 per (week, category, subcategory)."""
-    return segment_funnel(events, p, ["category", "subcategory"], "subcategory")
+    return segment_funnel(events, p, ["category", "subcategory"], "subcategory", grain)
 
 
 def product_funnel(events: DataFrame, p: Params) -> DataFrame:
@@ -370,22 +388,22 @@ def product_funnel(events: DataFrame, p: Params) -> DataFrame:
 # --- Q13: delivery tiers -----------------------------------------------------
 
 
-def delivery_tier_weekly(events: DataFrame, p: Params) -> DataFrame:
+def delivery_tier_weekly(events: DataFrame, p: Params, grain: DataFrame | None = None) -> DataFrame:
     """Q13: weekly sales and distinct-user funnel per delivery tier (ordered rules)."""
-    fact = sales_fact(events, p, p.start_recent, SALES_EVENTS, "category", ["item_rev_u", *(r.column for r in p.tiers)])
-    tiered = fact.withColumn("delivery_tier", assign_tier(p.tiers, p.default_tier))
-    w = weekly_metrics(
-        tiered,
-        ["delivery_tier"],
-        [
-            distinct("transactions", "purchase", "transaction_id"),
-            total("_rev_u", "purchase", "item_rev_u"),
-            distinct("product_views", "view_item", "user_pseudo_id"),
-            distinct("add_to_cart", "add_to_cart", "user_pseudo_id"),
-            distinct("begin_checkout", "begin_checkout", "user_pseudo_id"),
-        ],
-        anchor="purchase",
-    )
+    ms = [
+        distinct("transactions", "purchase", "transaction_id"),
+        total("_rev_u", "purchase", "item_rev_u"),
+        distinct("product_views", "view_item", "user_pseudo_id"),
+        distinct("add_to_cart", "add_to_cart", "user_pseudo_id"),
+        distinct("begin_checkout", "begin_checkout", "user_pseudo_id"),
+    ]
+    tier = assign_tier(p.tiers, p.default_tier)
+    if grain is None or not {r.column for r in p.tiers} <= {"category", "subcategory"}:
+        fact = sales_fact(events, p, p.start_recent, SALES_EVENTS, "category", ["item_rev_u", *(r.column for r in p.tiers)])
+        w = weekly_metrics(fact.withColumn("delivery_tier", tier), ["delivery_tier"], ms, anchor="purchase")
+    else:
+        tiered = from_grain(grain, p, "from_recent", "category").withColumn("delivery_tier", tier)
+        w = rollup(tiered, ["delivery_tier"], ms, anchor="purchase", grain_keys=SEGMENT_KEYS)
     revenue = money2(F.col("_rev_u"))
     views, atc, chk, tx = (F.col(c) for c in ("product_views", "add_to_cart", "begin_checkout", "transactions"))
     return w.select(

@@ -6,7 +6,9 @@ were delivered again.  Each micro-batch names the weeks of its rows;
 with a partition filter) and overwrites those week partitions of the result.
 There is no additive state and no watermark, so late, backfilled and rewritten
 shards give the same rows as the batch query, a replayed batch writes the same
-files again, and the checkpoint makes the query restartable.
+files again, and the checkpoint makes the query restartable.  A touched week
+that has no funnel event any more is overwritten by a row without counts,
+which the reader leaves out, as the batch query does.
 """
 
 from __future__ import annotations
@@ -38,8 +40,9 @@ def _recompute_weeks(source_path: str, table_path: str, start: str):
             return
         days = [(w + _dt.timedelta(days=i)).strftime("%Y%m%d") for w in weeks for i in range(7)]
         events = read_events(spark, source_path, start).where(F.col("event_date").isin(days))
+        touched = spark.createDataFrame([(w,) for w in weeks], "week date")
         (
-            funnel_counts(events).write.mode("overwrite")
+            touched.join(funnel_counts(events), "week", "left").write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("week")
             .parquet(table_path)
@@ -70,6 +73,7 @@ def refresh_weekly_funnel(
 
 
 def read_weekly_funnel(spark: SparkSession, table_path: str) -> DataFrame:
-    """The refreshed result table (one row per week)."""
+    """The refreshed result table (one row per week with funnel events)."""
     cols = [c for _, c in FUNNEL_STEPS]
-    return spark.read.parquet(table_path).select(F.col("week").cast("date").alias("week"), *cols)
+    table = spark.read.parquet(table_path).where(F.col(cols[0]).isNotNull())
+    return table.select(F.col("week").cast("date").alias("week"), *cols)
