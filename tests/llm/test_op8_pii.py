@@ -74,6 +74,26 @@ def test_copies_of_one_text_give_no_statistics(spark):
     assert all(not r.disclosed for r in X.sanitise_documents(make(spark, rows)).collect())
 
 
+def test_values_of_a_single_text_are_judged(spark):
+    rows = [(0, "write soon to Quillfeather at jane@solo.example now thanks")]
+    rows += [(i, f"reach us at the Ostrander desk via u{i}@guild.example now thanks") for i in range(10, 15)]
+    rows += [(100 + i, f"write soon to us at the desk via post now thanks word{chr(97 + i % 26)}{i // 26}") for i in range(900)]
+    out = {r.doc_id: r for r in X.sanitise_documents(make(spark, rows)).collect()}
+    # one text: smoothed, so generalised and not removed; words that stand everywhere are left
+    assert X.GENERALISE_AT <= out[0].disclosed["quillfeather"] < X.REMOVE_AT
+    assert "[NAME] at [EMAIL]" in out[0].redacted and "thanks" not in out[0].disclosed
+    # five addresses, each in one text: the mail domain says more than one text alone
+    assert "Ostrander" not in out[10].redacted and "now thanks" in out[10].redacted
+    assert out[10].disclosed["ostrander"] > out[0].disclosed["quillfeather"] * 0.99
+
+
+def test_levels_of_the_kinds():
+    text = "A@B.c 10.1.2.3, 4111-1111-1111-1111, +1 (017) 555-7713"
+    assert [X.levels(text, x) for x in X.base_spans(text)] == [
+        ["email:a@b.c", "email:@b.c", "email"], ["ip:10.1.2.3", "ip:10.1.2.*", "ip:10.1.*", "ip"],
+        ["card:4111111111111111", "card:411111*", "card"], ["phone:10175557713", "phone:1017555*", "phone:1017*", "phone"]]
+
+
 def test_odd_documents(spark, odd_docs):
     out = X.sanitise_documents(odd_docs.withColumnsRenamed({"lang": "row", "source": "base"})).collect()
     assert len(out) == odd_docs.count()

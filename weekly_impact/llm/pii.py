@@ -11,8 +11,18 @@ against the entity's own information content,
 is the share of the entity's information that the term discloses: 1 if the
 term occurs only where the entity does.  Near the entity, terms at or over
 ``REMOVE_AT`` are removed, those at or over ``GENERALISE_AT`` are replaced by
-their shape class.  A pair must be seen in ``MIN_TEXTS`` different texts, so
-that a single text and its exact copies give no statistics.
+their shape class.
+
+No pair is too rare to be judged.  Co-occurrence is counted at the value and at
+the coarser entities that hold it (mail domain, networks, phone and card
+prefixes, kind); as P(value | term) = P(value | coarse) P(coarse | term), the
+PMI of a coarser entity is an estimate of the value's own, and the largest is
+taken.  At each of them the estimate is smoothed for rare pairs: the lift
+N n_et / (n_e n_t) of a pair seen in k < ``TRUSTED`` different texts (counts
+over 5 are taken as they are, as in Katz's discounting) is mixed with that of
+independence, 1, with the weight k / (k + PRIOR (TRUSTED - k) / (TRUSTED - 1)).
+Exact copies are one text: in a small corpus they give no statistics, in a large
+one a word that only stands at one value still discloses it.
 
 Counts are summed per task before they are shuffled; per document only its own
 pairs are joined with the disclosing pairs.  Texts without personal data never
@@ -32,7 +42,8 @@ from pyspark.sql import functions as F
 from .common import slices, written
 
 WINDOW = 4
-MIN_TEXTS = 3
+TRUSTED = 6
+PRIOR = 8.0
 MIN_LETTERS = 4
 GENERALISE_AT = 0.5
 REMOVE_AT = 0.8
@@ -92,12 +103,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def near_terms(text: str, spans) -> set[tuple[str, str]]:
-    """(entity, term) pairs of one text: lower-cased words of the windows, outside all spans."""
+def levels(text: str, span) -> list[str]:
+    """The protected entities of a span: its value first, then coarser ones, its kind last."""
+    s, k, e = span
+    kind, value = KINDS[k], text[s:e].lower()
+    if kind == "email":
+        coarse = ["@" + value.rpartition("@")[2]]
+    elif kind == "ip":
+        parts = value.split(".")
+        coarse = [".".join(parts[:n]) + ".*" for n in (3, 2)]
+    else:
+        value = re.sub("[^0-9]", "", value)
+        coarse = [value[:6] + "*"] if kind == "card" else [value[:-n] + "*" for n in (4, 7)]
+    return [f"{kind}:{x}" for x in (value, *coarse)] + [kind]
+
+
+def near_terms(text: str, spans) -> set[tuple[str, str, str]]:
+    """(entity, level, term) of one text: lower-cased words of the windows, outside all spans."""
     covered = [(s, e) for s, _, e in spans]
     pairs = set()
     for s, k, e in spans:
-        entity = f"{KINDS[k]}:{text[s:e].lower() if k == 0 else re.sub('[^0-9.]', '', text[s:e])}"
+        held = levels(text, (s, k, e))
         left = [m for m in WORD.finditer(text, max(0, s - 40 * WINDOW), s)][-WINDOW:]
         right = []
         for m in WORD.finditer(text, e, e + 40 * WINDOW):
@@ -107,31 +133,35 @@ def near_terms(text: str, spans) -> set[tuple[str, str]]:
         for m in left + right:
             w = m.group().lower()
             if len(w) >= MIN_LETTERS and not any(a < m.end() and m.start() < b for a, b in covered):
-                pairs.add((entity, w))
+                pairs.update((held[0], x, w) for x in held)
     return pairs
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
-FOUND = f"doc_id long, text_key long, text string, base {SPANS}, entities array<string>, pairs array<struct<entity:string,term:string>>"
+PAIRS = "array<struct<entity:string,level:string,term:string>>"
+FOUND = f"doc_id long, text_key long, text string, base {SPANS}, levels array<string>, pairs {PAIRS}, counted array<struct<level:string,term:string>>"
 
 
 def find_base(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, text, base, entities, pairs); the text only where there are spans."""
+    """(doc_id, text_key, text, base, levels, pairs, counted); the text only where there are spans."""
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    pair = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
+    triple = pa.list_(pa.struct([("entity", pa.string()), ("level", pa.string()), ("term", pa.string())]))
+    pair = pa.list_(pa.struct([("level", pa.string()), ("term", pa.string())]))
 
     def run(batches):
         for b in slices(batches):
             ids, texts = b.column("doc_id"), b.column("text").to_pylist()
             spans = [base_spans(t or "") for t in texts]
             pairs = [sorted(near_terms(t, s)) if s else [] for t, s in zip(texts, spans)]
-            values = [sorted({f"{KINDS[k]}:{t[x:y].lower() if k == 0 else re.sub('[^0-9.]', '', t[x:y])}" for x, k, y in s}) for t, s in zip(texts, spans)]
+            held = [sorted({x for span in s for x in levels(t, span)}) if s else [] for t, s in zip(texts, spans)]
+            counted = [sorted({(x, w) for _, x, w in p}) for p in pairs]
             keys = [xxhash.xxh64_intdigest((t or "").encode("utf-8", "surrogatepass")) >> 1 for t in texts]
             yield pa.RecordBatch.from_arrays([
                 ids, pa.array(keys, pa.int64()), pa.array([t if s else None for t, s in zip(texts, spans)], pa.string()),
                 pa.array([[{"kind": KINDS[k], "start": x, "end": y} for x, k, y in s] for s in spans], span),
-                pa.array(values, pa.list_(pa.string())), pa.array([[{"entity": a, "term": w} for a, w in p] for p in pairs], pair),
-            ], ["doc_id", "text_key", "text", "base", "entities", "pairs"])
+                pa.array(held, pa.list_(pa.string())), pa.array([[{"entity": a, "level": x, "term": w} for a, x, w in p] for p in pairs], triple),
+                pa.array([[{"level": x, "term": w} for x, w in p] for p in counted], pair),
+            ], ["doc_id", "text_key", "text", "base", "levels", "pairs", "counted"])
 
     return docs.mapInArrow(run, FOUND)
 
@@ -158,18 +188,27 @@ def term_documents(docs: DataFrame) -> DataFrame:
 
 def disclosing_pairs(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the pairs at or over the lower threshold."""
-    n = found.count()
-    entity = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    per_text = found.select("text_key", F.explode("pairs").alias("p")).groupBy("p.entity", "p.term", "text_key").agg(F.count("*").alias("n"))
-    pair = per_text.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).where(F.col("texts") >= MIN_TEXTS)
-    counted = written(pair.join(entity, "entity"), "pairs")
+    n = float(max(found.count(), 1))
+    level = found.select(F.explode("levels").alias("level")).groupBy("level").agg(F.count("*").alias("n_l"))
+    per_text = found.select("text_key", F.explode("counted").alias("p")).groupBy("p.level", "p.term", "text_key").agg(F.count("*").alias("n"))
+    pair = per_text.groupBy("level", "term").agg(F.sum("n").alias("n_lt"), F.count("*").alias("texts"))
+    # the kinds are in most rows, so their counts do not go through a join on the level
+    kinds = {r["level"]: r["n_l"] for r in level.where(F.col("level").isin(*KINDS)).collect()}  # one row a kind
+    of_kind = F.coalesce(*[F.when(F.col("level") == k, F.lit(c)) for k, c in kinds.items()], F.lit(None).cast("long"))
+    is_kind = F.col("level").isin(*KINDS)
+    counted = written(pair.where(~is_kind).join(level, "level").unionByName(pair.where(is_kind).withColumn("n_l", of_kind)), "pairs")
     # only terms of such pairs are looked up, so the vocabulary is cut to them where it is counted
     wanted = counted.select("term").distinct()
     terms = term_documents(docs).join(wanted, "term", "left_semi")
-    information = F.log(F.lit(float(max(n, 1))) / F.col("n_e"))
-    pmi = F.log(F.lit(float(max(n, 1))) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    scored = counted.join(terms, "term").withColumn("disclosure", F.when(information > 0, pmi / information).otherwise(0.0))
-    return scored.where(F.col("disclosure") >= GENERALISE_AT).select("entity", "term", "disclosure")
+    lift = F.lit(n) * F.col("n_lt") / (F.col("n_l") * F.col("n_t"))
+    weight = F.col("texts") / (F.col("texts") + F.greatest(F.lit(TRUSTED) - F.col("texts"), F.lit(0)) * (PRIOR / (TRUSTED - 1)))
+    scored = counted.join(terms, "term").select(
+        "level", "term", F.log(weight * lift + 1 - weight).alias("pmi"), F.log(F.lit(n) / F.col("n_l")).alias("ic"))
+    own = found.select(F.explode("pairs").alias("p")).select("p.*").distinct()
+    information = F.max(F.when(F.col("level") == F.col("entity"), F.col("ic")))
+    judged = own.join(scored, ["level", "term"]).groupBy("entity", "term").agg(F.max("pmi").alias("pmi"), information.alias("ic"))
+    share = F.when(F.col("ic") > 0, F.least(F.col("pmi") / F.col("ic"), F.lit(1.0))).otherwise(0.0)
+    return judged.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= GENERALISE_AT)
 
 
 def sanitise(text: str, base, terms: dict[str, float]):
@@ -204,7 +243,7 @@ def sanitise_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = written(find_base(texts).withColumn("row", F.monotonically_increasing_id()), "found")
     disclosing = written(disclosing_pairs(found, texts), "disclosing")
-    own = found.where(F.size("pairs") > 0).select("row", F.explode("pairs").alias("p")).select("row", "p.entity", "p.term")
+    own = found.where(F.size("pairs") > 0).select("row", F.explode("pairs").alias("p")).select("row", "p.entity", "p.term").distinct()
     per_row = own.join(disclosing, ["entity", "term"]).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
     per_row = per_row.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("disclosed"))
     none = F.expr("cast(map() as map<string,double>)")
