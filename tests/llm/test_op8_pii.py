@@ -94,6 +94,26 @@ def test_levels_of_the_kinds():
         ["card:4111111111111111", "card:411111*", "card"], ["phone:10175557713", "phone:1017555*", "phone:1017*", "phone"]]
 
 
+def test_disclosing_terms_are_masked_in_all_documents(spark):
+    gap = " " * 200
+    rows = [(i, f"plain words by Kim{gap}write to kim@corp.example plain words more plain words then Kim number{i}") for i in range(6)]
+    rows += [(50, "plain words Kim, with more words"), (51, "KIM at 10.1.2.3 with words")]
+    rows += [(100 + i, f"plain words by others write to more then at with number{i}") for i in range(200)]
+    out = {r.doc_id: r for r in X.sanitise_documents(make(spark, rows)).collect()}
+    # three letters, over 160 characters from the value, five words after it, and documents without the value
+    assert "Kim" not in out[0].redacted and out[0].redacted.count("plain words") == 3
+    assert out[50].redacted == "plain words , with more words" and [tuple(s) for s in out[50].spans] == [("term", 12, 15)]
+    assert out[51].redacted == " at [IP] with words" and set(out[51].disclosed) == {"kim"}
+    assert out[100].redacted is None and out[100].spans == [] and not out[100].disclosed
+
+
+def test_term_filter_knows_its_terms(spark):
+    terms = [f"wörd{i}" for i in range(3000)] + ["a", "日本語"]
+    bits = X.term_filter(spark.createDataFrame([(t,) for t in terms], "term string"))
+    assert all(X.may_be_term(t, bits) for t in terms)
+    assert sum(X.may_be_term(f"other{i}", bits) for i in range(3000)) < 10
+
+
 def test_odd_documents(spark, odd_docs):
     out = X.sanitise_documents(odd_docs.withColumnsRenamed({"lang": "row", "source": "base"})).collect()
     assert len(out) == odd_docs.count()

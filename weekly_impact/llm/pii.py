@@ -2,16 +2,18 @@
 
 Base spans (email, ip, card, phone) come from fixed patterns.  Their values
 are the protected entities.  Over the whole corpus, the documents in which a
-term stands near an entity (``WINDOW`` words on either side) are counted, and
-the documents of each entity and of each term.  Pointwise mutual information
+term stands near an entity (``WINDOW`` words on either side, whatever is between
+them) are counted, and the documents of each entity and of each term.  Pointwise mutual information
 against the entity's own information content,
 
     PMI(entity; term) / IC(entity),   PMI = ln(N n_et / (n_e n_t)),  IC = ln(N / n_e),
 
 is the share of the entity's information that the term discloses: 1 if the
-term occurs only where the entity does.  Near the entity, terms at or over
-``REMOVE_AT`` are removed, those at or over ``GENERALISE_AT`` are replaced by
-their shape class.
+term occurs only where the entity does.  In all documents, with the entity or
+without it, terms at or over ``REMOVE_AT`` for any entity are removed, those at
+or over ``GENERALISE_AT`` are replaced by their shape class.  Words of any length
+can be terms: the PMI is at most a term's own information content, so that
+common short words stay.
 
 No pair is too rare to be judged.  Co-occurrence is counted at the value and at
 the coarser entities that hold it (mail domain, networks, phone and card
@@ -24,16 +26,19 @@ independence, 1, with the weight k / (k + PRIOR (TRUSTED - k) / (TRUSTED - 1)).
 Exact copies are one text: in a small corpus they give no statistics, in a large
 one a word that only stands at one value still discloses it.
 
-Counts are summed per task before they are shuffled; per document only its own
-pairs are joined with the disclosing pairs.  Texts without personal data never
-leave the scan.
+Counts are summed per task before they are shuffled.  The disclosing terms are
+joined with the words of all documents in a shuffle; a Bloom filter of fixed
+size keeps words that are no such term out of it, and only texts with a span or
+a word that passes are written.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -44,10 +49,11 @@ from .common import slices, written
 WINDOW = 4
 TRUSTED = 6
 PRIOR = 8.0
-MIN_LETTERS = 4
 GENERALISE_AT = 0.5
 REMOVE_AT = 0.8
 COUNTED_TERMS = 200_000
+FILTER_BITS = 25
+CHUNK_BITS = 32_768
 KINDS = ("email", "ip", "card", "phone", "term")
 WORD = re.compile(r"[^\W\d_]+")
 RUN_AT = re.compile(r"[A-Za-z0-9._%+-]+@?")
@@ -118,52 +124,56 @@ def levels(text: str, span) -> list[str]:
     return [f"{kind}:{x}" for x in (value, *coarse)] + [kind]
 
 
+def words_outside(text: str, spans) -> list[re.Match]:
+    """The words that overlap no span; ``spans``: (start, kind, end), sorted."""
+    starts, ends = [], []
+    for s, _, e in spans:
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return [m for m in WORD.finditer(text) if not (i := bisect_left(starts, m.end())) or ends[i - 1] <= m.start()]
+
+
 def near_terms(text: str, spans) -> set[tuple[str, str, str]]:
-    """(entity, level, term) of one text: lower-cased words of the windows, outside all spans."""
-    covered = [(s, e) for s, _, e in spans]
+    """(entity, level, term) of one text: the lower-cased ``WINDOW`` words outside all spans before and after each span."""
+    words = words_outside(text, spans)
+    at = [m.start() for m in words]
     pairs = set()
     for s, k, e in spans:
         held = levels(text, (s, k, e))
-        left = [m for m in WORD.finditer(text, max(0, s - 40 * WINDOW), s)][-WINDOW:]
-        right = []
-        for m in WORD.finditer(text, e, e + 40 * WINDOW):
-            right.append(m)
-            if len(right) == WINDOW:
-                break
-        for m in left + right:
-            w = m.group().lower()
-            if len(w) >= MIN_LETTERS and not any(a < m.end() and m.start() < b for a, b in covered):
-                pairs.update((held[0], x, w) for x in held)
+        i, j = bisect_left(at, s), bisect_left(at, e)
+        for m in words[max(0, i - WINDOW):i] + words[j:j + WINDOW]:
+            pairs.update((held[0], x, m.group().lower()) for x in held)
     return pairs
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 PAIRS = "array<struct<entity:string,level:string,term:string>>"
-FOUND = f"doc_id long, text_key long, text string, base {SPANS}, levels array<string>, pairs {PAIRS}, counted array<struct<level:string,term:string>>"
+FOUND = f"text_key long, levels array<string>, pairs {PAIRS}, counted array<struct<level:string,term:string>>"
+SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
-def find_base(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, text, base, levels, pairs, counted); the text only where there are spans."""
-    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+def find_pairs(docs: DataFrame) -> DataFrame:
+    """(text_key, levels, pairs, counted) of the rows whose text has a span."""
     triple = pa.list_(pa.struct([("entity", pa.string()), ("level", pa.string()), ("term", pa.string())]))
     pair = pa.list_(pa.struct([("level", pa.string()), ("term", pa.string())]))
 
     def run(batches):
         for b in slices(batches):
-            ids, texts = b.column("doc_id"), b.column("text").to_pylist()
-            spans = [base_spans(t or "") for t in texts]
-            pairs = [sorted(near_terms(t, s)) if s else [] for t, s in zip(texts, spans)]
-            held = [sorted({x for span in s for x in levels(t, span)}) if s else [] for t, s in zip(texts, spans)]
+            found = [(t, s) for t in b.column("text").to_pylist() if (s := base_spans(t or ""))]
+            keys = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1 for t, _ in found]
+            held = [sorted({x for span in s for x in levels(t, span)}) for t, s in found]
+            pairs = [sorted(near_terms(t, s)) for t, s in found]
             counted = [sorted({(x, w) for _, x, w in p}) for p in pairs]
-            keys = [xxhash.xxh64_intdigest((t or "").encode("utf-8", "surrogatepass")) >> 1 for t in texts]
             yield pa.RecordBatch.from_arrays([
-                ids, pa.array(keys, pa.int64()), pa.array([t if s else None for t, s in zip(texts, spans)], pa.string()),
-                pa.array([[{"kind": KINDS[k], "start": x, "end": y} for x, k, y in s] for s in spans], span),
-                pa.array(held, pa.list_(pa.string())), pa.array([[{"entity": a, "level": x, "term": w} for a, x, w in p] for p in pairs], triple),
+                pa.array(keys, pa.int64()), pa.array(held, pa.list_(pa.string())),
+                pa.array([[{"entity": a, "level": x, "term": w} for a, x, w in p] for p in pairs], triple),
                 pa.array([[{"level": x, "term": w} for x, w in p] for p in counted], pair),
-            ], ["doc_id", "text_key", "text", "base", "levels", "pairs", "counted"])
+            ], ["text_key", "levels", "pairs", "counted"])
 
-    return docs.mapInArrow(run, FOUND)
+    return docs.select("text").mapInArrow(run, FOUND)
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
@@ -177,7 +187,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
 
         for b in slices(batches):
             for t in b.column("text").to_pylist():
-                counts.update({w for w in WORD.findall((t or "").lower()) if len(w) >= MIN_LETTERS})
+                counts.update({w.lower() for w in WORD.findall(t or "")})
             if len(counts) > COUNTED_TERMS:
                 yield out()
                 counts.clear()
@@ -186,9 +196,9 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
-def disclosing_pairs(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the pairs at or over the lower threshold."""
-    n = float(max(found.count(), 1))
+def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """(term, disclosure) of the terms at or over the lower threshold, each with its largest share over all entities."""
+    n = float(max(docs.count(), 1))
     level = found.select(F.explode("levels").alias("level")).groupBy("level").agg(F.count("*").alias("n_l"))
     per_text = found.select("text_key", F.explode("counted").alias("p")).groupBy("p.level", "p.term", "text_key").agg(F.count("*").alias("n"))
     pair = per_text.groupBy("level", "term").agg(F.sum("n").alias("n_lt"), F.count("*").alias("texts"))
@@ -208,17 +218,56 @@ def disclosing_pairs(found: DataFrame, docs: DataFrame) -> DataFrame:
     information = F.max(F.when(F.col("level") == F.col("entity"), F.col("ic")))
     judged = own.join(scored, ["level", "term"]).groupBy("entity", "term").agg(F.max("pmi").alias("pmi"), information.alias("ic"))
     share = F.when(F.col("ic") > 0, F.least(F.col("pmi") / F.col("ic"), F.lit(1.0))).otherwise(0.0)
-    return judged.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= GENERALISE_AT)
+    return judged.groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= GENERALISE_AT)
+
+
+def term_filter(terms: DataFrame) -> np.ndarray:
+    """A Bloom filter of the terms, 2^``FILTER_BITS`` bits whatever their number: two places a term, from its xxhash64."""
+    h, places = F.xxhash64("term"), 2 ** FILTER_BITS
+    at = terms.select(F.explode(F.array(h, F.shiftrightunsigned(h, FILTER_BITS))).alias("h")).select(F.col("h").bitwiseAND(places - 1).alias("at"))
+    bits = at.groupBy(F.floor(F.col("at") / CHUNK_BITS).alias("chunk")).agg(F.bitmap_construct_agg(F.col("at") % CHUNK_BITS).alias("bits"))
+    out = np.zeros(places // 8, dtype=np.uint8)
+    for r in bits.collect():  # 2^FILTER_BITS / CHUNK_BITS rows at most
+        out[r["chunk"] * CHUNK_BITS // 8:(r["chunk"] + 1) * CHUNK_BITS // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
+
+
+def may_be_term(word: str, bits: np.ndarray) -> bool:
+    h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed=42)  # as Spark's xxhash64
+    return all(bits[(x := y % 2 ** FILTER_BITS) >> 3] >> (x & 7) & 1 for y in (h, h >> FILTER_BITS))
+
+
+def mark(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(doc_id, text, base, words): the base spans and the words that may be terms; the text only where there are any."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        known: dict[str, bool] = {}
+        for b in slices(batches):
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            spans = [base_spans(t) for t in texts]
+            words = []
+            for t, s in zip(texts, spans):
+                if len(known) > COUNTED_TERMS:
+                    known.clear()
+                own = {m.group().lower() for m in words_outside(t, s)} if s else {w.lower() for w in WORD.findall(t)}
+                for w in own:
+                    if w not in known:
+                        known[w] = may_be_term(w, shared.value)
+                words.append(sorted(w for w in own if known[w]))
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id"), pa.array([t if s or w else None for t, s, w in zip(texts, spans, words)], pa.string()),
+                pa.array([[{"kind": KINDS[k], "start": x, "end": y} for x, k, y in s] for s in spans], SPAN), pa.array(words, pa.list_(pa.string())),
+            ], ["doc_id", "text", "base", "words"])
+
+    return docs.mapInArrow(run, f"doc_id long, text string, base {SPANS}, words array<string>")
 
 
 def sanitise(text: str, base, terms: dict[str, float]):
     """All spans in order and the text with base values masked, terms removed or generalised."""
     spans = [(s, KINDS.index(k), e) for k, s, e in base]
     if terms:
-        taken = [(s, e) for s, _, e in spans]
-        for m in WORD.finditer(text):
-            if m.group().lower() in terms and not any(a < m.end() and m.start() < b for a, b in taken):
-                spans.append((m.start(), 4, m.end()))
+        spans += [(m.start(), 4, m.end()) for m in words_outside(text, spans) if m.group().lower() in terms]
     spans.sort()
     out, at = [], 0
     for s, k, e in spans:
@@ -241,23 +290,21 @@ def sanitise_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     other columns, whatever their names, are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = written(find_base(texts).withColumn("row", F.monotonically_increasing_id()), "found")
-    disclosing = written(disclosing_pairs(found, texts), "disclosing")
-    own = found.where(F.size("pairs") > 0).select("row", F.explode("pairs").alias("p")).select("row", "p.entity", "p.term").distinct()
-    per_row = own.join(disclosing, ["entity", "term"]).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
-    per_row = per_row.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("disclosed"))
+    disclosing = written(disclosing_terms(written(find_pairs(texts), "found"), texts), "disclosing")
+    marked = written(mark(texts, term_filter(disclosing)).withColumn("row", F.monotonically_increasing_id()), "marked")
+    own = marked.where(F.size("words") > 0).select("row", F.explode("words").alias("term")).join(disclosing, "term")
+    per_row = own.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("disclosed"))
     none = F.expr("cast(map() as map<string,double>)")
-    some = found.where(F.size("base") > 0).join(per_row, "row", "left").select("doc_id", "text", "base", F.coalesce("disclosed", none).alias("disclosed"))
-    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    some = marked.where("text is not null").join(per_row, "row", "left").select("doc_id", "text", "base", F.coalesce("disclosed", none).alias("disclosed"))
 
     def run(batches):
         for b in slices(batches):
             done = [sanitise(t, [(s["kind"], s["start"], s["end"]) for s in base], dict(terms))
                     for t, base, terms in zip(*(b.column(c).to_pylist() for c in ("text", "base", "disclosed")))]
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in d[0]] for d in done], span),
-                b.column("disclosed"), pa.array([d[1] for d in done], pa.string())], ["doc_id", "spans", "disclosed", "redacted"])
+                b.column("doc_id"), pa.array([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in d[0]] for d in done], SPAN),
+                b.column("disclosed"), pa.array([d[1] if d[0] else None for d in done], pa.string())], ["doc_id", "spans", "disclosed", "redacted"])
 
     masked = some.mapInArrow(run, f"doc_id long, spans {SPANS}, disclosed map<string,double>, redacted string")
-    clean = found.where(F.size("base") == 0).select("doc_id", F.col("base").alias("spans"), none.alias("disclosed"), F.lit(None).cast("string").alias("redacted"))
+    clean = marked.where("text is null").select("doc_id", F.col("base").alias("spans"), none.alias("disclosed"), F.lit(None).cast("string").alias("redacted"))
     return masked.unionByName(clean)
