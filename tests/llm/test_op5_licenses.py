@@ -1,4 +1,6 @@
 import re
+from itertools import product
+from re import _parser
 
 from weekly_impact.llm import licenses as L
 from weekly_impact.llm.license_rules import rules
@@ -74,6 +76,50 @@ def test_every_rule_compiles_and_rules_are_unique(spark):
         re.compile(r["regex"])
 
 
+def one_of(members):
+    """A character class again, from its parsed members."""
+    kinds = {"CATEGORY_NOT_SPACE": r"\S"}
+    text = ""
+    for op, v in members:
+        text += re.escape(chr(v)) if str(op) == "LITERAL" else f"{re.escape(chr(v[0]))}-{re.escape(chr(v[1]))}" if str(op) == "RANGE" else kinds[str(v)]
+    return f"[{text}]"
+
+
+def strings_of(parsed):
+    """Strings that a parsed regex matches: every branch, the ends of classes, repeats at their least and one more."""
+    parts = []
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            parts.append([chr(arg)])
+        elif name == "IN":
+            found = [c for c in map(chr, range(32, 127)) if re.fullmatch(one_of(arg), c)]
+            parts.append([found[0], found[-1]])
+        elif name == "SUBPATTERN":
+            parts.append(strings_of(arg[3]))
+        elif name == "BRANCH":
+            parts.append([x for b in arg[1] for x in strings_of(b)])
+        elif name == "MAX_REPEAT":
+            parts.append([x * n for n in {arg[0], min(arg[0] + 1, int(arg[1]))} for x in strings_of(arg[2])])
+        else:
+            assert name == "ASSERT", name
+    return sorted({"".join(p) for p in product(*parts)})
+
+
+def test_every_match_holds_its_keyword():
+    for r in rules():
+        for s in strings_of(_parser.parse(r["regex"])):
+            assert re.search(r["regex"], f" {s} "), (r, s)
+            assert r["keyword"] in f" {s} ", (r["label"], r["keyword"], s)
+
+
+def test_matches_that_a_strict_keyword_dropped(spark):
+    texts = ["under the Open RAIL-M licence here", "Licence Ouverte 2.0", "see licence MIT here", "Etalab 2.0", "license: MIT", "OpenRAIL"]
+    out = {r.doc_id: r.labels for r in L.scan_licenses(make(spark, list(enumerate(texts)))).collect()}
+    want = ["openrail-m", "etalab-2.0", "mit", "etalab-2.0", "mit", "openrail-m"]
+    assert all(w in out[i].split(",") for i, w in enumerate(want)), out
+
+
 def test_plan_is_native_without_shuffle(spark):
     df = L.scan_licenses(make(spark, [(1, "cc by")]))
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -52,7 +52,8 @@ apache | 2 | apache | (?:the )?apache (?:software )?licen[sc]e
 mit | 3 | permission is hereby | permission is hereby granted free of charge to any person obtaining a copy of this software
 mit-0 | 3 | mit | mit (?:no attribution|0)(?: licen[sc]e)?
 mit | 2 | mit licen | (?:the )?mit licen[sc]e
-mit | 2 | license mit | licen[sc]e mit
+mit | 2 | license mit | license mit
+mit | 2 | licence mit | licence mit
 mit | 2 | expat | expat licen[sc]e
 x11 | 2 | x11 | x11 licen[sc]e
 x-consortium | 2 | x consortium | x consortium licen[sc]e
@@ -168,8 +169,9 @@ pddl-1.0 | 3 | public domain dedication and | public domain dedication and licen
 cdla-permissive | 3 | community data | community data licen[sc]e agreement permissive(?: v(?:ersion)?)?(?: [12] 0)?
 cdla-sharing | 3 | community data | community data licen[sc]e agreement sharing(?: v(?:ersion)?)?(?: 1 0)?
 ogl-uk | 3 | open government | open government licen[sc]e(?: v(?:ersion)?)?(?: [123] 0)?
-etalab-2.0 | 3 | etalab | (?:etalab )?licence ouverte(?: etalab)?(?: 2 0)?|etalab 2 0
-openrail-m | 3 | openrail | (?:creativeml |bigscience )?open ?rail(?: ?m)?(?: licen[sc]e)?
+etalab-2.0 | 3 | licence ouverte | (?:etalab )?licence ouverte(?: etalab)?(?: 2 0)?
+etalab-2.0 | 3 | etalab | etalab 2 0
+openrail-m | 3 | rail | (?:creativeml |bigscience )?open ?rail(?: ?m)?(?: licen[sc]e)?
 cc0-1.0 | 3 | cc0 | cc0(?: 1 0)?(?: universal)?
 cc0-1.0 | 3 | creative commons | creative commons zero(?: v?1 0)?(?: universal)?
 cc-pdm | 3 | public domain mark | public domain mark(?: 1 0)?
