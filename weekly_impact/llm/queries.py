@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and the pipeline, with DuckDB SQL where SQL can express them."""
+"""The registered queries of the operators and the pipeline, with DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, licenses, line_dedup, pii, sharding, simhash, suffix_dedup, toxicity, vector_graph
+from . import bpe, chat_format, decontamination, licenses, line_dedup, pii, sharding, simhash, suffix_dedup, toxicity, turn_repair, vector_graph, whitening
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -73,6 +73,19 @@ def op10_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat_format.probe(spark))
+    return chat_format.digest_conversations(chat_format.format_turns(turns), dealt=True)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_vectors(table(spark, sf_dir, "embeddings"), count=4)
+
+
 QUERIES = {
     "op1_pruned_graph": op1_pruned_graph,
     "op2_feistel_shards": op2_feistel_shards,
@@ -84,6 +97,9 @@ QUERIES = {
     "op8_pii_disclosure": op8_pii_disclosure,
     "op9_toxic_neighbours": op9_toxic_neighbours,
     "op10_deep_shallow": op10_deep_shallow,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_chat_format": op12_chat_format,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
