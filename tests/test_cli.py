@@ -6,6 +6,7 @@ from weekly_impact.__main__ import load_params, main
 from weekly_impact.plans.params import FIXTURE_PARAMS
 from weekly_impact.plans.registry import CORE_QUERIES, all_events
 from weekly_impact.sources.events import write_events
+from weekly_impact.sources.publish import read_published
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,6 +41,11 @@ def test_refresh_command(spark, tmp_path):
     pf.write_text(json.dumps(_params_json(FIXTURE_PARAMS)))
     out = str(tmp_path / "out")
     assert main(["refresh", "--events", shards, "--out", out, "--params", str(pf), "--format", "parquet"]) == 0
-    got = spark.read.parquet(f"{out}/category_weekly")
+    got = read_published(spark, out, "category_weekly")
     want = CORE_QUERIES["category_weekly"](spark, SF)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    state = str(tmp_path / "state")
+    again = ["refresh", "--events", shards, "--out", out, "--state", state, "--params", str(pf), "--format", "parquet"]
+    assert main(again) == 0 and main(again) == 0
+    got = read_published(spark, out, "category_weekly")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -5,8 +5,9 @@ import tempfile
 
 from weekly_impact.plans import queries as Q
 from weekly_impact.plans.params import FIXTURE_PARAMS
-from weekly_impact.plans.refresh import refresh, refresh_results
+from weekly_impact.plans.refresh import OVERLAYS, refresh, refresh_results
 from weekly_impact.plans.registry import CORE_QUERIES, all_events
+from weekly_impact.sources.publish import Publication
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,4 +30,5 @@ def test_refresh_equals_individual_queries(spark):
 def test_refresh_writes_every_result(spark):
     out = tempfile.mkdtemp(prefix="wi-refresh-", dir="/tmp")
     names = refresh(spark, all_events(spark, SF), out, FIXTURE_PARAMS, fmt="parquet")
-    assert sorted(os.listdir(out)) == sorted(names)
+    where = Publication(spark, out).path("")
+    assert sorted(os.listdir(where)) == sorted(names) == sorted([*CORE_QUERIES, *OVERLAYS])

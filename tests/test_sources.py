@@ -6,7 +6,7 @@ import os
 import tempfile
 
 from weekly_impact.plans.params import REFERENCE_CHANGES
-from weekly_impact.sources.dimensions import SALE_PERIODS, Change, changes_df, sale_periods_df
+from weekly_impact.sources.dimensions import CURRENT_TIERS, DELIVERY_CHANGES, SALE_PERIODS, Change, changes_df
 from weekly_impact.sources.sinks import iso_dates, run_metadata, write_result
 
 
@@ -31,13 +31,17 @@ def test_iso_dates_and_json_keeps_nulls(spark):
     assert lines == [{"week": "2024-01-01", "rate": None, "n": 3}]
 
 
-def test_run_metadata_one_row(spark):
-    meta = run_metadata(spark, "proj", changes_df(spark, REFERENCE_CHANGES), sale_periods_df(spark, SALE_PERIODS))
+def test_run_metadata_keeps_the_given_order(spark):
+    meta = run_metadata(spark, "proj", DELIVERY_CHANGES, SALE_PERIODS, CURRENT_TIERS)
     rows = meta.collect()
     assert len(rows) == 1
     r = rows[0]
-    assert r.project_id == "proj" and len(r.delivery_changes) == 3 and len(r.sale_periods) == 7
-    assert r.last_updated.endswith("Z") or "+" in r.last_updated
+    assert r.project_id == "proj" and r.last_updated.endswith("+00:00")
+    assert [(c.date, c.label, c.detail) for c in r.delivery_changes] == [(c.date, c.label, c.detail) for c in DELIVERY_CHANGES]
+    assert [(x.start, x.end, x.label, x.detail) for x in r.sale_periods] == [(x.start, x.end, x.label, x.detail) for x in SALE_PERIODS]
+    assert [tuple(t) for t in r.current_delivery] == CURRENT_TIERS
+    back = run_metadata(spark, "proj", list(reversed(DELIVERY_CHANGES)), (), ()).first()
+    assert [c.date for c in back.delivery_changes] == [c.date for c in reversed(DELIVERY_CHANGES)] and back.sale_periods == []
 
 
 def test_stream_refresh_is_zone_independent(spark, tmp_path):

@@ -1,8 +1,9 @@
-"""``python -m weekly_impact refresh --events PATH --out DIR [--params FILE] [--format json|parquet]``
+"""``python -m weekly_impact refresh --events PATH --out DIR [--state DIR] [--params FILE] [--format json|parquet]``
 
 Runs the 14 results over a GA4-style event table laid out as daily
-``event_date=YYYYMMDD`` Parquet shards and writes one result directory per
-query.  The session is whatever ``spark-submit`` configured (``getOrCreate``);
+``event_date=YYYYMMDD`` Parquet shards and publishes one result directory per
+query (``DIR/versions/<version>/<query>``; ``DIR/CURRENT`` names the version to
+read).  With ``--state`` the run is incremental: only changed shards are read.  The session is whatever ``spark-submit`` configured (``getOrCreate``);
 parameters default to the published configuration and can be overridden by a
 JSON file whose keys are :class:`weekly_impact.plans.params.Params` fields,
 for example::
@@ -24,6 +25,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .functions.tiers import TierRule
+from .plans.incremental import refresh_incremental
 from .plans.params import REFERENCE_PARAMS, Params
 from .plans.refresh import refresh
 from .session import JOB_CONF, ensure_checkpoint_dir
@@ -40,7 +42,9 @@ def load_params(path: str | None) -> Params:
         "changes": lambda v: tuple(Change(c["date"], c["label"], tuple(c.get("categories", ()))) for c in v),
         "funnel_changes": lambda v: tuple(Change(c["date"], c["label"]) for c in v),
         "tiers": lambda v: tuple(TierRule(t["tier"], tuple(t["values"]), t.get("column", "subcategory")) for t in v),
-        "sale_periods": lambda v: tuple(SalePeriod(x["start"], x["end"], x["label"]) for x in v),
+        "sale_periods": lambda v: tuple(SalePeriod(x["start"], x["end"], x["label"], x.get("detail", "")) for x in v),
+        "delivery_changes": lambda v: tuple(Change(c["date"], c["label"], detail=c.get("detail", "")) for c in v),
+        "current_tiers": lambda v: tuple((t["tier"], t["price"], t["carrier"], t["examples"]) for t in v),
         "blocklist": tuple,
     }
     known = {f.name for f in dataclasses.fields(Params)}
@@ -56,6 +60,7 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("refresh", help="compute and write the 14 weekly results")
     r.add_argument("--events", required=True, help="event table: Parquet shards partitioned by event_date")
     r.add_argument("--out", required=True, help="output directory (one sub-directory per result)")
+    r.add_argument("--state", help="folder kept between runs: only changed shards are read")
     r.add_argument("--params", help="JSON file overriding the default parameters")
     r.add_argument("--format", default="json", choices=["json", "parquet"])
     args = ap.parse_args(argv)
@@ -65,9 +70,12 @@ def main(argv: list[str] | None = None) -> int:
     for key, value in JOB_CONF.items():  # UTC dates and ANSI arithmetic, whatever the submit defaults are
         spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
-    events = read_events(spark, args.events, start=min(p.start, p.start_recent), end=p.end)
-    names = refresh(spark, events, args.out, p, fmt=args.format)
-    print(json.dumps({"written": names, "out": args.out}))
+    if args.state:
+        done = refresh_incremental(spark, args.events, args.state, args.out, p, fmt=args.format)
+    else:
+        events = read_events(spark, args.events, start=min(p.start, p.start_recent), end=p.end)
+        done = {"written": refresh(spark, events, args.out, p, fmt=args.format)}
+    print(json.dumps({**done, "out": args.out}))
     return 0
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,3 +36,37 @@ def assign_tier(rules: Sequence[TierRule], default: str = "Other") -> Column:
         cond = F.col(r.column).isin(list(r.values))
         expr = F.when(cond, F.lit(r.tier)) if expr is None else expr.when(cond, F.lit(r.tier))
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+
+
+def tier_table(spark: SparkSession, rules: Sequence[TierRule]) -> DataFrame:
+    """E-5 as data: (rule_no, column_name, value, tier), one row per listed value."""
+    rows = [(i, r.column, v, r.tier) for i, r in enumerate(rules) for v in r.values]
+    return spark.createDataFrame(rows, "rule_no int, column_name string, value string, tier string")
+
+
+def assign_tier_from_table(
+    df: DataFrame,
+    rules: DataFrame,
+    columns: Sequence[str] = ("subcategory", "category"),
+    default: str = "Other",
+    name: str = "delivery_tier",
+) -> DataFrame:
+    """``df`` with the tier of the earliest rule that one of ``columns`` meets, from a table of rules.
+
+    For rule tables that are kept with the data and grow with it (one row per
+    product, say): per column, each value's earliest rule (``min_by``) is
+    looked up by a left join, and the earliest of the columns' rules wins, as
+    in the CASE form.  Null keys and unlisted values meet no rule.  No side is
+    broadcast by hint: the planner does so below its size threshold
+    (``spark.sql.autoBroadcastJoinThreshold``) and shuffles beyond it.
+    """
+    found = []
+    out = df
+    for i, c in enumerate(columns):
+        first = rules.where((F.col("column_name") == c) & F.col("value").isNotNull()).groupBy("value").agg(
+            F.struct(F.min("rule_no").alias("rule_no"), F.min_by("tier", "rule_no").alias("tier")).alias(f"_rule{i}"))
+        out = out.join(first.withColumnRenamed("value", f"_value{i}"), F.col(c) == F.col(f"_value{i}"), "left")
+        found.append(f"_rule{i}")
+    # least() skips nulls; structs compare by rule number first.
+    best = F.least(*found) if len(found) > 1 else F.col(found[0])
+    return out.select(*df.columns, F.coalesce(best["tier"], F.lit(default)).alias(name))

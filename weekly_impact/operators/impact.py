@@ -13,6 +13,7 @@ Averages run over the weeks present: a missing week is not zero.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,11 +21,51 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import mondays_in
 from ..functions.numeric import mean
+from ..sources.dimensions import Change
 
 BEFORE = "before"
 AFTER = "after"
 
 
+def window_shards(changes: Sequence[Change], days: int = 28) -> list[tuple[str, str]]:
+    """First and last ``YYYYMMDD`` day of the weeks that start within ``days`` of a change; overlapping spans are merged.
+
+    A week belongs to a window by its Monday, so a span runs from the first
+    Monday on or after date - days to the Sunday after the last Monday before
+    date + days.
+    """
+    week = _dt.timedelta(days=7)
+    spans = []
+    for c in changes:
+        day = _dt.date.fromisoformat(c.date)
+        first = day - _dt.timedelta(days=days)
+        first += _dt.timedelta(days=-first.weekday() % 7)
+        last = day + _dt.timedelta(days=days - 1)
+        last -= _dt.timedelta(days=last.weekday())
+        if first <= last:
+            spans.append((first, last + week - _dt.timedelta(days=1)))
+    out: list[tuple[_dt.date, _dt.date]] = []
+    for a, z in sorted(spans):
+        if out and a <= out[-1][1] + _dt.timedelta(days=1):
+            out[-1] = (out[-1][0], max(z, out[-1][1]))
+        else:
+            out.append((a, z))
+    return [(a.strftime("%Y%m%d"), z.strftime("%Y%m%d")) for a, z in out]
+
+
+def in_windows(changes: Sequence[Change], days: int = 28, col: str = "event_date") -> Column:
+    """Shard filter: the days of the weeks that a change's windows hold.
+
+    The week of a row is computed from its shard, so no optimizer rule can
+    find the shards that a join on the week keeps; as ranges of the shard
+    column itself they are a partition filter, and other days are never read.
+    """
+    cond = F.lit(False)
+    for a, z in window_shards(changes, days):
+        cond = cond | F.col(col).between(a, z)
+    return cond
+
+
 def change_weeks(changes: DataFrame, days: int = 28, by_category: bool = False) -> DataFrame:
     """(change_date, change_label, week, period[, category]) for every Monday in the window.
 

@@ -3,9 +3,8 @@
 The reference's dashboard file is not published; these definitions are
 ours, written down where the README only names the feature:
 
-* D-1 ``annotate_changes``: each change goes to its closest Monday week
-  (0-3 days back or 1-3 days ahead; with integer days there is no tie) and
-  picks up that week's row of a weekly table, if present.
+* D-1 ``annotate_changes``: each change goes to the closest week that the
+  weekly table holds (the earlier one at a tie) and picks up its row.
 * D-2 ``sale_overlay``: a week is "in" a sale period when its Monday lies in
   [start, end); overlapping periods list every label.
 * D-3 ``site_overview``: per week, session_start events, distinct orders,
@@ -25,24 +24,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import closest_monday, event_week, mondays_in
+from ..functions.dates import event_week, mondays_in
 from ..functions.numeric import money_units, rate, round_half_up, units_to_money
+from .asof import nearest_join
 
 
 def annotate_changes(weekly: DataFrame, changes: DataFrame, week_col: str = "week") -> DataFrame:
-    """D-1: (change_date, change_label, week) + the weekly row of that week (left join).
+    """D-1: (change_date, change_label) + the row of the closest present week, and how many days it lies ahead.
 
-    ``weekly`` must hold one row per week.  The change list is the preserved
-    (small, argument-bounded) side; the weekly table is joined on the
-    computed Monday, so the plan is a hash join, never a cross join.
+    ``weekly`` must hold one row per week.  A change far from all data gets
+    the nearest week there is (``days_ahead`` tells how near); only an empty
+    weekly table leaves the columns null and ``week_in_data`` false.
     """
-    ann = changes.select("change_date", "change_label", closest_monday(F.col("change_date")).alias(week_col))
-    marked = weekly.withColumn("_in_data", F.lit(True))
-    return (
-        ann.join(marked, week_col, "left")
-        .withColumn("week_in_data", F.coalesce(F.col("_in_data"), F.lit(False)))
-        .drop("_in_data")
-    )
+    near = nearest_join(changes.select("change_date", "change_label"), weekly, "change_date", week_col)
+    return near.withColumns({"days_ahead": F.datediff(week_col, "change_date"), "week_in_data": F.col(week_col).isNotNull()})
 
 
 def sale_overlay(weekly: DataFrame, periods: DataFrame, week_col: str = "week") -> DataFrame:

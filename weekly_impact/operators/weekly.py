@@ -14,9 +14,8 @@ numbers come from two chained aggregates over one scan:
    (week, keys, event, dkey), so a user seen under two categories counts once.
 
 No Expand (Spark's rewrite of several ``count(DISTINCT)`` multiplies rows by
-the number of distinct groups) and no self-joins.  Several grains of one
-query (product rows and per-product steps) roll up from the *same* event
-grain, so the scan, join and first shuffle run once (exchange reuse).
+the number of distinct groups) and no self-joins.  Several results can roll
+up from one event grain (see ``segment_grain`` in the queries).
 
 The one-pass form is valid when the key columns are non-null (USING joins
 never match nulls, a group-by groups them): callers guarantee it by their
@@ -31,6 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize_bucketed
+
 DISTINCT = "distinct"
 ROWS = "rows"
 SUM = "sum"
@@ -153,18 +154,25 @@ def anchor_left_join(
     """R-1 in the reference's shape: per-event aggregates LEFT JOINed onto the anchor.
 
     ``others`` pairs each metric with its own join keys (a subset of ``keys``).
-    Kept as the literal form of the reference's plan (and to test the one-pass
-    rewrite against); it scans the fact once per event.
+    The fact is read once, into its event grain, which is written bucketed by
+    (week, keys).  Each metric's aggregate and every join on all keys then
+    work bucket by bucket, without an exchange; only a metric on fewer keys is
+    shuffled.  A bucket holds all of a (week, keys) cell's users and orders:
+    where one cell is a large part of the data, ``weekly_metrics`` spreads it
+    and this form does not.  The returned plan reads the bucketed table, which
+    stays until the scratch scope ends.
     """
+    metrics = [anchor, *(m for m, _ in others)]
+    grain = materialize_bucketed(event_grain(fact, keys, metrics, time_col=time_col), [time_col, *keys], "anchor-grain")
 
     def one(m: Metric, ks: Sequence[str]) -> DataFrame:
-        sub = fact.where(F.col("event_name") == m.event)
+        sub = grain.where(F.col("event_name") == m.event)
+        if list(ks) != list(keys) and m.kind == DISTINCT:  # a user under two of the dropped keys is one user
+            sub = sub.select(time_col, *ks, "_dkey").distinct()
         if m.kind == DISTINCT:
-            agg = F.count_distinct(F.col(m.column))
-        elif m.kind == ROWS:
-            agg = F.count(F.lit(1))
+            agg = F.count("_dkey")
         else:
-            agg = F.sum(F.col(m.column))
+            agg = F.sum("_n" if m.kind == ROWS else _sum_col(m))
         return sub.groupBy(time_col, *ks).agg(agg.alias(m.name))
 
     out = one(anchor, keys)

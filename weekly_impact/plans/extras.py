@@ -12,15 +12,16 @@ from ..functions.categories import category_is_clean, not_blank
 from ..functions.dates import event_week
 from ..functions.numeric import money_units, units_to_money
 from ..functions.params import event_param
-from ..functions.tiers import assign_tier
+from ..functions.tiers import assign_tier, assign_tier_from_table, tier_table
 from ..operators.funnel import FUNNEL_STEPS, funnel_counts, step_dropoff
 from ..operators.impact import before_after_union, range_join_changes
 from ..operators.items import explode_items, item_fact
 from ..operators.orders import order_dedup
 from ..operators.overlay import annotate_changes, category_summary, sale_overlay, site_overview
+from ..operators.sketches import distinct_sketch, estimate, relative_error, unite_sketches
 from ..operators.topk import top_k, topk_semi_join
 from ..operators.weekly import anchor_left_join, distinct, rows
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.dimensions import changes_df, sale_periods_df
 from ..sources.events import read_events, write_events
 from ..sources.sinks import iso_dates, write_result
@@ -121,7 +122,7 @@ def topk_semi_join_q(events: DataFrame, p: Params) -> DataFrame:
 
 def range_join_changes_q(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """R-5: weekly site funnel rows paired with every change window holding them."""
-    weekly = funnel_counts(Q.scoped(events, p.start_recent, p))
+    weekly = funnel_counts(Q.windowed(events, p.start_recent, p, p.funnel_changes))
     j = range_join_changes(weekly, changes_df(spark, p.funnel_changes), p.window_days)
     return j.select("change_label", "period", "week", *[c for _, c in FUNNEL_STEPS]).orderBy(
         "change_label", "week"
@@ -165,7 +166,7 @@ def order_dedup_q(events: DataFrame, p: Params) -> DataFrame:
 
 def before_after_union_q(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """U-1: Q14 through two joins and UNION ALL (the reference's shape)."""
-    weekly = funnel_counts(Q.scoped(events, p.start_recent, p))
+    weekly = funnel_counts(Q.windowed(events, p.start_recent, p, p.funnel_changes))
     avgs = before_after_union(weekly, changes_df(spark, p.funnel_changes), Q.FUNNEL_MEASURES, p.window_days)
     return Q.funnel_impact_output(avgs)
 
@@ -179,6 +180,32 @@ def assign_tier_q(events: DataFrame, p: Params) -> DataFrame:
     ).orderBy("delivery_tier", "subcategory", "category")
 
 
+def assign_tier_table_q(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
+    """E-5 from a stored table of rules instead of a CASE expression."""
+    rules = materialize(tier_table(spark, p.tiers), "tier-rules")
+    fact = Q.sales_fact(events, p, p.start_recent, Q.SALES_EVENTS, "category", ["subcategory"])
+    tiered = assign_tier_from_table(fact, rules, tuple(dict.fromkeys(r.column for r in p.tiers)), p.default_tier)
+    return tiered.groupBy("delivery_tier", "subcategory", "category").agg(
+        F.count(F.lit(1)).alias("item_rows")
+    ).orderBy("delivery_tier", "subcategory", "category")
+
+
+def approx_viewers_q(events: DataFrame, p: Params) -> DataFrame:
+    """A-2: distinct viewers per (week, category) and per category over all weeks, exact and from united sketches."""
+    fact = Q.sales_fact(events, p, p.start_recent, ["view_item"], "category", [])
+    grain = materialize(fact.groupBy("week", "category", "user_pseudo_id").agg(F.count(F.lit(1)).alias("n")), "viewers")
+    weekly = materialize(distinct_sketch(grain, ["week", "category"], "user_pseudo_id"), "sketches")
+    every = unite_sketches(weekly, ["category"])
+    exact = [
+        grain.groupBy("week", "category").agg(F.count("user_pseudo_id").alias("viewers")),
+        grain.groupBy("category").agg(F.count_distinct("user_pseudo_id").alias("viewers")).withColumn("week", F.lit(None).cast("date")),
+    ]
+    told = exact[0].join(weekly, ["week", "category"]).select("week", "category", "viewers", estimate().alias("estimate")).unionByName(
+        exact[1].join(every, "category").select("week", "category", "viewers", estimate().alias("estimate")))
+    off = F.abs(F.col("estimate") - F.col("viewers"))
+    return told.withColumn("within_error", off <= F.col("viewers") * F.lit(relative_error()) + 0.5).orderBy("category", "week")
+
+
 def iso_dates_q(events: DataFrame, p: Params) -> DataFrame:
     """S-6: the site funnel with its week as ISO text."""
     return iso_dates(Q.funnel_weekly(events, p))
@@ -207,13 +234,15 @@ def scan_events_q(spark: SparkSession, events: DataFrame, p: Params, start: str,
 
 
 def funnel_weekly_stream_q(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
-    """Q4 by incremental refresh: shards written, streamed once (available-now), result read back."""
+    """Q4 by incremental refresh: shards written, refreshed, rewritten under their names, refreshed again, read back."""
     from ..streaming.funnel_stream import read_weekly_funnel, refresh_weekly_funnel
 
     shards = scratch_path(spark, "stream-shards")
+    table, state = scratch_path(spark, "stream-funnel"), scratch_path(spark, "stream-state")
+    write_events(events, shards)
+    refresh_weekly_funnel(spark, shards, table, state, p.start, p.end)
     write_events(events, shards)
-    table = scratch_path(spark, "stream-funnel")
-    refresh_weekly_funnel(spark, shards, table, scratch_path(spark, "stream-ckpt"), start=p.start)
+    refresh_weekly_funnel(spark, shards, table, state, p.start, p.end)
     return read_weekly_funnel(spark, table).orderBy("week")
 
 
@@ -221,6 +250,8 @@ __all__ = [
     "funnel_weekly_stream_q",
     "anchor_left_join_q",
     "annotate_changes_q",
+    "approx_viewers_q",
+    "assign_tier_table_q",
     "assign_tier_q",
     "before_after_union_q",
     "category_summary_q",

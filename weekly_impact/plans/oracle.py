@@ -513,18 +513,13 @@ def site_overview_sql() -> str:
 
 
 def annotate_changes_sql() -> str:
-    monday = "CAST(date_trunc('week', change_date) AS DATE)"
     return with_both(f"""{site_overview_cte()},
-ch AS ({change_values(P.changes)}),
-ann AS (
-  SELECT change_date, change_label,
-    CASE WHEN date_diff('day', {monday}, change_date) <= 3 THEN {monday} ELSE {monday} + 7 END AS week
-  FROM ch
-)
-SELECT a.week, a.change_date, a.change_label, s.sessions, s.transactions, s.revenue, s.cvr,
-  s.week IS NOT NULL AS week_in_data
-FROM ann a LEFT JOIN so2 s ON s.week = a.week
-ORDER BY a.change_date
+ch AS ({change_values(P.changes)})
+SELECT c.change_date, c.change_label, s.week, s.sessions, s.transactions, s.revenue, s.cvr,
+  CAST(date_diff('day', c.change_date, s.week) AS INTEGER) AS days_ahead, s.week IS NOT NULL AS week_in_data
+FROM ch c LEFT JOIN so2 s ON TRUE
+QUALIFY row_number() OVER (PARTITION BY c.change_date, c.change_label ORDER BY abs(date_diff('day', c.change_date, s.week)), s.week) = 1
+ORDER BY c.change_date
 """)
 
 
@@ -670,6 +665,18 @@ FROM ie GROUP BY ALL ORDER BY 1, 2, 3
 """)
 
 
+def approx_viewers_sql() -> str:
+    """The estimate is the exact count here: up to 1,536 values a sketch of 2^14 registers still lists its values."""
+    return with_items(f"""
+v AS (
+  SELECT week, category, user_pseudo_id FROM item_events
+  WHERE {scan(P.start_recent)} AND event_name = 'view_item' AND {clean('category')}
+),
+n AS (SELECT week, category, COUNT(DISTINCT user_pseudo_id) AS viewers FROM v GROUP BY GROUPING SETS ((week, category), (category)))
+SELECT week, category, viewers, viewers AS estimate, TRUE AS within_error FROM n ORDER BY category, week
+""")
+
+
 def iso_funnel_sql() -> str:
     cols = ", ".join(MEASURES)
     return with_site(f"""{weekly_funnel_cte(P.start)}
@@ -715,6 +722,8 @@ def oracle_queries() -> dict[str, str]:
         "order_dedup": order_dedup_sql(),
         "before_after_union": funnel_change_impact_sql(),
         "assign_tier": assign_tier_sql(),
+        "assign_tier_table": assign_tier_sql(),
+        "approx_viewers": approx_viewers_sql(),
         "iso_dates": iso_funnel_sql(),
         "json_sink": iso_funnel_sql(),
         "scan_events": scan_events_sql(*FIXTURE_SCAN_WINDOW),

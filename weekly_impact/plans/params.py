@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from ..functions.tiers import TierRule
-from ..sources.dimensions import SALE_PERIODS, Change, SalePeriod
+from ..sources.dimensions import CURRENT_TIERS, DELIVERY_CHANGES, SALE_PERIODS, Change, SalePeriod
 
 
 @dataclass(frozen=True)
@@ -14,7 +14,9 @@ class Params:
 
     ``start`` is the scan floor of the four all-history queries (category,
     subcategory, product weekly, site funnel) and ``start_recent`` that of the
-    other ten; ``end`` None means today.
+    other ten; ``end`` None means today.  ``delivery_changes`` (shown on the
+    weekly charts), ``current_tiers`` and ``project_id`` only go into the
+    overlays and the run record.
     """
 
     start: str = "20230101"
@@ -31,6 +33,9 @@ class Params:
     default_tier: str = "Other"
     window_days: int = 28
     sale_periods: tuple[SalePeriod, ...] = field(default_factory=tuple)
+    delivery_changes: tuple[Change, ...] = ()
+    current_tiers: tuple[tuple, ...] = ()
+    project_id: str = ""
 
 
 # The published query configuration (block list and the three
@@ -67,6 +72,8 @@ REFERENCE_TIERS = (
 REFERENCE_PARAMS = Params(
     tiers=REFERENCE_TIERS,
     sale_periods=tuple(SALE_PERIODS),
+    delivery_changes=tuple(DELIVERY_CHANGES),
+    current_tiers=tuple(CURRENT_TIERS),
     blocklist=REFERENCE_BLOCKLIST,
     changes=REFERENCE_CHANGES,
     funnel_changes=tuple(Change(c.date, c.label) for c in REFERENCE_CHANGES),
@@ -106,6 +113,7 @@ FIXTURE_PARAMS = Params(
     funnel_changes=FIXTURE_FUNNEL_CHANGES,
     tiers=FIXTURE_TIERS,
     sale_periods=FIXTURE_SALE_PERIODS,
+    delivery_changes=FIXTURE_CHANGES,
 )
 
 # Shard bounds of the scan test (YYYYMMDD): two middle weeks of the site events.

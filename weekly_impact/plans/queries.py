@@ -18,7 +18,7 @@ from ..functions.categories import clean_categories
 from ..functions.numeric import mean, pct_change, rate, round_half_up, units_to_money
 from ..functions.tiers import assign_tier
 from ..operators.funnel import FUNNEL_STEPS, SITE_STEP_RATES, funnel_counts, funnel_rates
-from ..operators.impact import before_after, period_averages
+from ..operators.impact import before_after, in_windows, period_averages
 from ..operators.items import item_fact
 from ..operators.orders import order_dedup
 from ..operators.topk import top_k, topk_semi_join
@@ -51,6 +51,11 @@ def scoped(events: DataFrame, start: str, p: Params) -> DataFrame:
     return events.where(shard_filter(start, p.end))
 
 
+def windowed(events: DataFrame, start: str, p: Params, changes) -> DataFrame:
+    """``scoped`` events of the weeks within ``p.window_days`` of one of ``changes``."""
+    return scoped(events, start, p).where(in_windows(changes, p.window_days))
+
+
 def sales_fact(events: DataFrame, p: Params, start: str, names, required: str, columns=None) -> DataFrame:
     """Item fact of the given events, noise-filtered (category or subcategory variant), with these item columns (default: all)."""
     fact = item_fact(scoped(events, start, p), names, None if columns is None else {"category", required, *columns})
@@ -234,8 +239,9 @@ def _impact_columns(measures: list[tuple[str, int, bool]]) -> list[Column]:
 
 
 def change_impact(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
-    """Q7: 4-week averages of weekly category revenue, orders and line-weighted AOV."""
-    fact = sales_fact(events, p, p.start_recent, ["purchase"], "category", ["item_rev_u"])
+    """Q7: 4-week averages of weekly category revenue, orders and line-weighted AOV; only the windows' shards are read."""
+    near = windowed(events, p.start_recent, p, [c for c in p.changes if c.categories])
+    fact = sales_fact(near, p, p.start_recent, ["purchase"], "category", ["item_rev_u"])
     weekly = fact.groupBy("week", "category").agg(
         F.count_distinct("transaction_id").alias("transactions"),
         to_hundredths(money2(F.sum("item_rev_u"))).alias("rev_c"),
@@ -260,7 +266,8 @@ def change_impact(spark: SparkSession, events: DataFrame, p: Params) -> DataFram
 
 def change_impact_subcategory(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q8: Q7 per (category, subcategory), revenue and orders."""
-    fact = sales_fact(events, p, p.start_recent, ["purchase"], "subcategory", ["item_rev_u"])
+    near = windowed(events, p.start_recent, p, [c for c in p.changes if c.categories])
+    fact = sales_fact(near, p, p.start_recent, ["purchase"], "subcategory", ["item_rev_u"])
     weekly = fact.groupBy("week", "category", "subcategory").agg(
         F.count_distinct("transaction_id").alias("transactions"),
         to_hundredths(money2(F.sum("item_rev_u"))).alias("rev_c"),
@@ -429,7 +436,7 @@ FUNNEL_MEASURES = [c for _, c in FUNNEL_STEPS]
 
 def funnel_change_impact(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
     """Q14: 4-week mean of each site funnel step before and after each change, with step rates."""
-    weekly = funnel_counts(scoped(events, p.start_recent, p))
+    weekly = funnel_counts(windowed(events, p.start_recent, p, p.funnel_changes))
     avgs = period_averages(weekly, changes_df(spark, p.funnel_changes), FUNNEL_MEASURES, p.window_days)
     return funnel_impact_output(avgs)
 

@@ -88,6 +88,8 @@ PRIMITIVE_QUERIES: dict[str, QueryFn] = {
     "order_dedup": _items(X.order_dedup_q),
     "before_after_union": _site_s(X.before_after_union_q),
     "assign_tier": _items(X.assign_tier_q),
+    "assign_tier_table": _items_s(X.assign_tier_table_q),
+    "approx_viewers": _items(X.approx_viewers_q),
     "iso_dates": _site(X.iso_dates_q),
     "json_sink": _site_s(X.json_sink_q),
     "funnel_weekly_stream": _site_s(X.funnel_weekly_stream_q),

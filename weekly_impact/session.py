@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources import files
+
 # Settings every job relies on: UTC dates, ANSI, AQE (runtime coalescing,
 # skew-join splitting and size-checked broadcast conversion).
 JOB_CONF = {
@@ -84,28 +89,75 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _LOCAL_DIR: str | None = None
 
 
+class _Scratch:
+    """The scratch tables of one scope."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def drop(self, spark: SparkSession) -> None:
+        while self.paths:
+            files.delete(spark, self.paths.pop())
+
+
+_SCOPE: contextvars.ContextVar[_Scratch] = contextvars.ContextVar("scratch", default=_Scratch())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
+    """A fresh path under the shared checkpoint folder for a written table; it belongs to the innermost scope."""
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
-    _SCRATCH.append(path)
+    _SCOPE.get().paths.append(path)
     return path
 
 
-_SCRATCH: list[str] = []
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables made inside are deleted at the end, also if it fails.
+
+    Nothing that is read later may depend on them: write results inside.
+    Scopes nest, and each thread has its own.
+    """
+    own = _Scratch()
+    token = _SCOPE.set(own)
+    try:
+        yield own
+    finally:
+        _SCOPE.reset(token)
+        own.drop(spark)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more (loops: the last round's)."""
+    for df in tables:
+        path = getattr(df, "_scratch", None)
+        if path:
+            files.delete(df.sparkSession, path)
+            with contextlib.suppress(ValueError):
+                _SCOPE.get().paths.remove(path)
 
 
-def drop_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Delete the scratch tables made after the first ``since``; their DataFrames can't be read any more."""
-    jvm = spark.sparkContext._jvm
-    for path in _SCRATCH[since:]:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    del _SCRATCH[since:]
+def materialize_bucketed(df: DataFrame, keys: list[str], name: str = "buckets", buckets: int | None = None) -> DataFrame:
+    """``materialize``, bucketed and sorted by ``keys``: aggregates and joins on all of them need no exchange.
+
+    One file per bucket (as many as shuffle partitions by default).  The table
+    is external (its files belong to the scratch scope) and is known to the
+    session's catalog under a name of its own.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = f"scratch_{uuid.uuid4().hex}"
+    dealt = df.repartition(n, *keys)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(n, *keys).sortBy(*keys).saveAsTable(known)
+    return spark.table(known)
 
 
-def scratch_count() -> int:
-    """How many scratch tables there are (the ``since`` of a later ``drop_scratch``)."""
-    return len(_SCRATCH)
+def _drop_at_exit() -> None:
+    """Outside all scopes: what lazy results were read from goes when the program ends."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        with contextlib.suppress(Exception):  # a stopped context can't delete any more
+            _SCOPE.get().drop(spark)
 
 
 def materialize(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -123,4 +175,9 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+atexit.register(_drop_at_exit)

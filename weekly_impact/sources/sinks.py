@@ -6,12 +6,14 @@ Parquet, optionally partitioned); nothing is collected to the driver.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .dimensions import Change, SalePeriod
 
 
 def iso_dates(df: DataFrame) -> DataFrame:
@@ -51,40 +53,29 @@ def write_result(
         raise ValueError(f"unknown format {fmt}")
 
 
+RUN_RECORD = (
+    "last_updated string, project_id string, delivery_changes array<struct<date:string,label:string,detail:string>>, "
+    "sale_periods array<struct<start:string,end:string,label:string,detail:string>>, "
+    "current_delivery array<struct<tier:string,price:int,carrier:string,examples:string>>"
+)
+
+
 def run_metadata(
     spark: SparkSession,
     project_id: str,
-    changes: DataFrame,
-    sale_periods: DataFrame,
+    changes: Sequence[Change],
+    sale_periods: Sequence[SalePeriod],
+    current_tiers: Sequence[tuple] = (),
 ) -> DataFrame:
-    """S-8: one-row run record (UTC time, source id, the dimension lists as arrays).
-
-    The dimensions are argument-bounded lists: their rows are unioned and
-    folded into arrays by one global aggregate (``collect_list`` skips the
-    nulls of the other list), so no join is needed.
-    """
-    change = F.struct(
-        F.date_format("change_date", "yyyy-MM-dd").alias("date"),
-        F.col("change_label").alias("label"),
-        F.col("change_detail").alias("detail"),
-    )
-    period = F.struct(
-        F.date_format("sale_start", "yyyy-MM-dd").alias("start"),
-        F.date_format("sale_end", "yyyy-MM-dd").alias("end"),
-        F.col("sale_label").alias("label"),
-        F.col("sale_detail").alias("detail"),
-    )
-    c = changes.select(change.alias("c"))
-    p = sale_periods.select(period.alias("p"))
-    rows = c.select("c", F.lit(None).cast(p.schema["p"].dataType).alias("p")).unionByName(
-        p.select(F.lit(None).cast(c.schema["c"].dataType).alias("c"), "p")
-    )
-    return rows.agg(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("last_updated"),
-        F.lit(project_id).alias("project_id"),
-        F.array_sort(F.collect_list("c")).alias("delivery_changes"),
-        F.array_sort(F.collect_list("p")).alias("sale_periods"),
+    """S-8: one-row run record: UTC time, source id, and the three dimension lists in the order given."""
+    row = (
+        _dt.datetime.now(_dt.timezone.utc).isoformat(),
+        project_id,
+        [(c.date, c.label, c.detail) for c in changes],
+        [(x.start, x.end, x.label, x.detail) for x in sale_periods],
+        [tuple(t) for t in current_tiers],
     )
+    return spark.createDataFrame([row], RUN_RECORD)
 
 
 __all__ = ["iso_dates", "run_metadata", "write_result"]

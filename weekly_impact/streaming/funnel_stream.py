@@ -1,14 +1,16 @@
-"""Incremental refresh of the weekly site funnel (Q4): touched weeks are recomputed.
+"""Incremental refresh of the weekly site funnel (Q4): the weeks of changed shards are recomputed.
 
-A file stream over the shard directory only detects which shards arrived or
-were delivered again.  Each micro-batch names the weeks of its rows;
-``foreachBatch`` recomputes exactly those weeks from the event table (a scan
-with a partition filter) and overwrites those week partitions of the result.
-There is no additive state and no watermark, so late, backfilled and rewritten
-shards give the same rows as the batch query, a replayed batch writes the same
-files again, and the checkpoint makes the query restartable.  A touched week
-that has no funnel event any more is overwritten by a row without counts,
-which the reader leaves out, as the batch query does.
+Each run lists the shard files and compares the listing with the one stored
+by the last run (see :mod:`weekly_impact.sources.manifest`), so that new,
+late, rewritten, emptied and deleted shards all name their weeks.  Exactly
+these weeks are recomputed from the event table (a scan with a partition
+filter) and their partitions of the result are overwritten; a week that has
+no funnel event any more becomes a row without counts, which the reader
+leaves out.  The listing is stored after the result: a run that fails is
+repeated by the next one, and repeating it writes the same rows.
+
+``watch_weekly_funnel`` repeats this as a Structured Streaming query whose
+clock is a rate source.
 """
 
 from __future__ import annotations
@@ -21,55 +23,58 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import event_week
 from ..operators.funnel import FUNNEL_STEPS, funnel_counts
-from ..sources.events import EVENT_SCHEMA, read_events, shard_filter
-
-
-def touched_weeks(spark: SparkSession, source_path: str, start: str = "20230101", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of the Monday weeks of newly found shard rows."""
-    reader = spark.readStream.schema(EVENT_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(source_path).where(shard_filter(start)).select(event_week("event_date").alias("week"))
+from ..session import materialize, scratch_scope
+from ..sources.events import read_events
+from ..sources.manifest import LISTING, changed_days, list_shards
+from ..sources.publish import Publication
 
 
-def _recompute_weeks(source_path: str, table_path: str, start: str):
-    def write(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001 - the same weeks give the same rows
-        spark = batch.sparkSession
-        weeks = [r["week"] for r in batch.distinct().collect()]  # calendar weeks, a few per batch
-        if not weeks:
-            return
-        days = [(w + _dt.timedelta(days=i)).strftime("%Y%m%d") for w in weeks for i in range(7)]
-        events = read_events(spark, source_path, start).where(F.col("event_date").isin(days))
-        touched = spark.createDataFrame([(w,) for w in weeks], "week date")
-        (
-            touched.join(funnel_counts(events), "week", "left").write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("week")
-            .parquet(table_path)
-        )
-
-    return write
+def refresh_weekly_funnel(
+    spark: SparkSession,
+    source_path: str,
+    table_path: str,
+    state_path: str,
+    start: str = "20230101",
+    end: str | None = None,
+) -> list[_dt.date]:
+    """One incremental run; the weeks that were recomputed (none if no shard changed)."""
+    state = Publication(spark, state_path)
+    with scratch_scope(spark):
+        now = materialize(list_shards(spark, source_path, start, end), "listing")
+        old = spark.read.schema(LISTING).parquet(state.path("shards")) if state.current() else spark.createDataFrame([], LISTING)
+        weeks = [r["week"] for r in changed_days(old, now).select(event_week("event_date").alias("week")).distinct().collect()]  # calendar weeks
+        if weeks:
+            days = [(w + _dt.timedelta(days=i)).strftime("%Y%m%d") for w in weeks for i in range(7)]
+            events = read_events(spark, source_path, start, end).where(F.col("event_date").isin(days))
+            touched = spark.createDataFrame([(w,) for w in weeks], "week date")
+            (
+                touched.join(funnel_counts(events), "week", "left").write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("week")
+                .parquet(table_path)
+            )
+            version = state.stage()
+            now.write.parquet(state.path("shards", version))
+            state.swap(version)
+    return sorted(weeks)
 
 
-def refresh_weekly_funnel(
+def watch_weekly_funnel(
     spark: SparkSession,
     source_path: str,
     table_path: str,
+    state_path: str,
     checkpoint_path: str,
     start: str = "20230101",
-    available_now: bool = True,
+    every: str = "1 hour",
 ) -> StreamingQuery:
-    """Start (and, with ``available_now``, finish) one incremental refresh run."""
-    w = (
-        touched_weeks(spark, source_path, start)
-        .writeStream.option("checkpointLocation", checkpoint_path)
-        .foreachBatch(_recompute_weeks(source_path, table_path, start))
-    )
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
+    """A running query that refreshes the result ``every`` so often."""
+
+    def run(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001 - the shards decide, not the clock's rows
+        refresh_weekly_funnel(batch.sparkSession, source_path, table_path, state_path, start)
+
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return clock.writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(run).trigger(processingTime=every).start()
 
 
 def read_weekly_funnel(spark: SparkSession, table_path: str) -> DataFrame:
