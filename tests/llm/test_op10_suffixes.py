@@ -117,3 +117,28 @@ def test_hot_leads_are_dealt_by_window(spark):
     # hot in some batches only: those of few rows meet the others by the marker
     uneven = make(spark, rows[:70]).coalesce(1).unionByName(make(spark, rows[70:]).repartition(5))
     assert got(uneven, local_kinds=8) == want
+
+
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    rng = random.Random(20)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    a, b, c = text(300), text(300), text(500)
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, c), (3, c[:250] + text(50)), (4, b[50:250])]
+    out = {}
+    for r in S.remove_repeats(make(spark, rows)).collect():
+        out.setdefault((r.doc_id, r.n_bytes), []).append((r.n_removed, bytes(r.kept)))
+    assert out[1, 300] == [(0, a.encode())]
+    lost = sorted(x[0] for x in out[2, 300])
+    assert lost == [0, 0, 300] and [x[1] for x in out[2, 300] if x[0] == 0] == [b.encode()] * 2  # a goes, both rows of b stay
+    assert sorted(x[0] for k in ((3, 500), (3, 300)) for x in out[k]) == [0, 250]
+    assert out[4, 200] == [(200, b"")]
+
+
+def test_multikey_quicksort():
+    rng = np.random.default_rng(3)
+    for n, top in ((0, 3), (1, 3), (2000, 3), (2000, 2**63)):
+        words = rng.integers(0, top, (n, 4), dtype=np.uint64)
+        group = rng.integers(0, 5, n)
+        order = S.multikey_quicksort(group, words)
+        keys = [(group[i], *words[i]) for i in order]
+        assert sorted(order) == list(range(n)) and keys == sorted(keys)

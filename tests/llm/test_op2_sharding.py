@@ -75,3 +75,23 @@ def test_permutation_is_a_bijection():
         a, b = S.rectangle(n)
         assert n <= a * b < n + a
         assert sorted(feistel(x, a, b, S.round_keys(42)) for x in range(a * b)) == list(range(a * b))
+
+
+def test_the_registered_query_on_a_whole_table(spark):
+    import zlib
+
+    from weekly_impact.llm.queries import op2_feistel_shards
+
+    path = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
+    df = op2_feistel_shards(spark, path)
+    assert df.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "number", "place"]
+    out = df.collect()
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in out) == sorted((i, len(t) + 1, zlib.crc32(t)) for i, t in docs)
+    slots = {}
+    for r in out:
+        assert r.law == "rows" and r.grown_shard is None
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sorted(slots) == list(range(16)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = [len(s) for s in slots.values()]
+    assert max(sizes) - min(sizes) <= 1

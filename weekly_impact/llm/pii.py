@@ -28,8 +28,9 @@ one a word that only stands at one value still discloses it.
 
 Counts are summed per task before they are shuffled.  The disclosing terms are
 joined with the words of all documents in a shuffle; a Bloom filter of fixed
-size keeps words that are no such term out of it, and only texts with a span or
-a word that passes are written.
+size keeps words that are no such term out of it.  What is written for a
+document are its base spans and the places of the words that pass, not its
+text; the text goes along only where the redacted text is asked for.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from ..session import release
+from .common import join_spread, slices, written
 
 WINDOW = 4
 TRUSTED = 6
@@ -197,7 +199,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(term, disclosure) of the terms at or over the lower threshold, each with its largest share over all entities."""
+    """(term, disclosure, n_t) of the terms at or over the lower threshold: the largest share over all entities, the documents with the term."""
     n = float(max(docs.count(), 1))
     level = found.select(F.explode("levels").alias("level")).groupBy("level").agg(F.count("*").alias("n_l"))
     per_text = found.select("text_key", F.explode("counted").alias("p")).groupBy("p.level", "p.term", "text_key").agg(F.count("*").alias("n"))
@@ -213,12 +215,12 @@ def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
     lift = F.lit(n) * F.col("n_lt") / (F.col("n_l") * F.col("n_t"))
     weight = F.col("texts") / (F.col("texts") + F.greatest(F.lit(TRUSTED) - F.col("texts"), F.lit(0)) * (PRIOR / (TRUSTED - 1)))
     scored = counted.join(terms, "term").select(
-        "level", "term", F.log(weight * lift + 1 - weight).alias("pmi"), F.log(F.lit(n) / F.col("n_l")).alias("ic"))
+        "level", "term", "n_t", F.log(weight * lift + 1 - weight).alias("pmi"), F.log(F.lit(n) / F.col("n_l")).alias("ic"))
     own = found.select(F.explode("pairs").alias("p")).select("p.*").distinct()
     information = F.max(F.when(F.col("level") == F.col("entity"), F.col("ic")))
-    judged = own.join(scored, ["level", "term"]).groupBy("entity", "term").agg(F.max("pmi").alias("pmi"), information.alias("ic"))
+    judged = own.join(scored, ["level", "term"]).groupBy("entity", "term").agg(F.max("pmi").alias("pmi"), information.alias("ic"), F.max("n_t").alias("n_t"))
     share = F.when(F.col("ic") > 0, F.least(F.col("pmi") / F.col("ic"), F.lit(1.0))).otherwise(0.0)
-    return judged.groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= GENERALISE_AT)
+    return judged.groupBy("term").agg(F.max(share).alias("disclosure"), F.max("n_t").alias("n_t")).where(F.col("disclosure") >= GENERALISE_AT)
 
 
 def term_filter(terms: DataFrame) -> np.ndarray:
@@ -237,9 +239,13 @@ def may_be_term(word: str, bits: np.ndarray) -> bool:
     return all(bits[(x := y % 2 ** FILTER_BITS) >> 3] >> (x & 7) & 1 for y in (h, h >> FILTER_BITS))
 
 
-def mark(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(doc_id, text, base, words): the base spans and the words that may be terms; the text only where there are any."""
+PLACES = "array<struct<term:string,start:int,end:int>>"
+
+
+def mark(docs: DataFrame, bits: np.ndarray, with_text: bool) -> DataFrame:
+    """(doc_id, base, words[, text]): the base spans and the places of words that may be terms; texts only where there are any."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
+    place = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
         known: dict[str, bool] = {}
@@ -250,61 +256,72 @@ def mark(docs: DataFrame, bits: np.ndarray) -> DataFrame:
             for t, s in zip(texts, spans):
                 if len(known) > COUNTED_TERMS:
                     known.clear()
-                own = {m.group().lower() for m in words_outside(t, s)} if s else {w.lower() for w in WORD.findall(t)}
-                for w in own:
-                    if w not in known:
-                        known[w] = may_be_term(w, shared.value)
-                words.append(sorted(w for w in own if known[w]))
-            yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array([t if s or w else None for t, s, w in zip(texts, spans, words)], pa.string()),
-                pa.array([[{"kind": KINDS[k], "start": x, "end": y} for x, k, y in s] for s in spans], SPAN), pa.array(words, pa.list_(pa.string())),
-            ], ["doc_id", "text", "base", "words"])
-
-    return docs.mapInArrow(run, f"doc_id long, text string, base {SPANS}, words array<string>")
-
-
-def sanitise(text: str, base, terms: dict[str, float]):
-    """All spans in order and the text with base values masked, terms removed or generalised."""
-    spans = [(s, KINDS.index(k), e) for k, s, e in base]
-    if terms:
-        spans += [(m.start(), 4, m.end()) for m in words_outside(text, spans) if m.group().lower() in terms]
-    spans.sort()
+                found = words_outside(t, s) if s else WORD.finditer(t)
+                own = []
+                for m in found:
+                    w = m.group().lower()
+                    if (may := known.get(w)) is None:
+                        may = known[w] = may_be_term(w, shared.value)
+                    if may:
+                        own.append({"term": w, "start": m.start(), "end": m.end()})
+                words.append(own)
+            columns = [b.column("doc_id"), pa.array([[{"kind": KINDS[k], "start": x, "end": y} for x, k, y in s] for s in spans], SPAN), pa.array(words, place)]
+            if with_text:
+                columns.append(pa.array([t if s or w else None for t, s, w in zip(texts, spans, words)], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "base", "words", "text"][:len(columns)])
+
+    return docs.mapInArrow(run, f"doc_id long, base {SPANS}, words {PLACES}" + (", text string" if with_text else ""))
+
+
+def redact(text: str, spans, terms: dict[str, float]) -> str:
+    """The text with base values masked, terms removed or generalised; ``spans``: (start, kind, end) in order."""
     out, at = [], 0
-    for s, k, e in spans:
+    for s, kind, e in spans:
         if s >= at:
             word = text[s:e]
-            mask = f"[{KINDS[k].upper()}]" if k < 4 else "" if terms[word.lower()] >= REMOVE_AT else "[NAME]" if word[0].isupper() else "[WORD]"
+            mask = f"[{kind.upper()}]" if kind != "term" else "" if terms[word.lower()] >= REMOVE_AT else "[NAME]" if word[0].isupper() else "[WORD]"
             out += [text[at:s], mask]
         at = max(at, e)
-    return spans, "".join(out) + text[at:]
+    return "".join(out) + text[at:]
 
 
-def sanitise_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, spans, disclosed, redacted), one row per input row.
+def sanitise_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", redacted: bool = True) -> DataFrame:
+    """(doc_id, spans, disclosed[, redacted]), one row per input row.
 
     ``spans``: base and term spans (kind, start, end; code points, end
     exclusive) by start, then kind.  ``disclosed``: the terms with their
     disclosure.  ``redacted``: the sanitised text, null where nothing was
-    found and the text stays as it is.  Null texts count as empty; null ids
-    and repeated rows stay rows of their own; an empty table gives no rows;
-    other columns, whatever their names, are not read.
+    found and the text stays as it is; without it no text is written or
+    shuffled.  Null texts count as empty; null ids and repeated rows stay rows
+    of their own; an empty table gives no rows; other columns, whatever their
+    names, are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    disclosing = written(disclosing_terms(written(find_pairs(texts), "found"), texts), "disclosing")
-    marked = written(mark(texts, term_filter(disclosing)).withColumn("row", F.monotonically_increasing_id()), "marked")
-    own = marked.where(F.size("words") > 0).select("row", F.explode("words").alias("term")).join(disclosing, "term")
+    found = written(find_pairs(texts), "found")
+    disclosing = written(disclosing_terms(found, texts), "disclosing")
+    release(found)
+    marked = written(mark(texts, term_filter(disclosing), redacted).withColumn("row", F.monotonically_increasing_id()), "marked")
+    own = marked.where(F.size("words") > 0).select("row", F.explode(F.array_distinct("words.term")).alias("term"))
+    own = join_spread(own, disclosing, ["term"], "n_t").where("disclosure is not null")
     per_row = own.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("disclosed"))
     none = F.expr("cast(map() as map<string,double>)")
-    some = marked.where("text is not null").join(per_row, "row", "left").select("doc_id", "text", "base", F.coalesce("disclosed", none).alias("disclosed"))
+    told = marked.join(per_row, "row", "left").withColumn("disclosed", F.coalesce("disclosed", none))
+    # By start, then kind as listed; terms never overlap base spans.
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), F.array_position(kinds, s["kind"]).alias("kind"), s["end"].alias("end")))
+    terms = F.transform(F.filter("words", lambda w: F.map_contains_key("disclosed", w["term"])),
+                        lambda w: F.struct(w["start"].alias("start"), F.lit(len(KINDS)).cast("long").alias("kind"), w["end"].alias("end")))
+    both = F.when(F.size("disclosed") == 0, base).otherwise(F.array_sort(F.concat(base, terms)))
+    spans = F.transform(both, lambda s: F.struct(F.element_at(kinds, s["kind"].cast("int")).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    out = told.select("doc_id", spans.alias("spans"), "disclosed", *(["text"] if redacted else []))
+    if not redacted:
+        return out
 
     def run(batches):
         for b in slices(batches):
-            done = [sanitise(t, [(s["kind"], s["start"], s["end"]) for s in base], dict(terms))
-                    for t, base, terms in zip(*(b.column(c).to_pylist() for c in ("text", "base", "disclosed")))]
-            yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in d[0]] for d in done], SPAN),
-                b.column("disclosed"), pa.array([d[1] if d[0] else None for d in done], pa.string())], ["doc_id", "spans", "disclosed", "redacted"])
+            done = [redact(t, [(s["start"], s["kind"], s["end"]) for s in found], dict(terms)) if found else None
+                    for t, found, terms in zip(*(b.column(c).to_pylist() for c in ("text", "spans", "disclosed")))]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc_id", "spans", "disclosed")], pa.array(done, pa.string())],
+                                             ["doc_id", "spans", "disclosed", "redacted"])
 
-    masked = some.mapInArrow(run, f"doc_id long, spans {SPANS}, disclosed map<string,double>, redacted string")
-    clean = marked.where("text is null").select("doc_id", F.col("base").alias("spans"), none.alias("disclosed"), F.lit(None).cast("string").alias("redacted"))
-    return masked.unionByName(clean)
+    return out.mapInArrow(run, f"doc_id long, spans {SPANS}, disclosed map<string,double>, redacted string")

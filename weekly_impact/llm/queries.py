@@ -50,7 +50,7 @@ def op7_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.sanitise_documents(table(spark, sf_dir, "documents"))
+    found = pii.sanitise_documents(table(spark, sf_dir, "documents"), redacted=False)
     joined = {
         name: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
         for name, spans in (("base", F.filter("spans", lambda s: s["kind"] != "term")), ("all", F.col("spans")))

@@ -115,7 +115,7 @@ def global_numbers(triples: DataFrame, keys: list[str], run: int = RUN) -> tuple
 
 
 def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, size, text_crc32, number, place, law, shard, slot, grown_shard.
+    """One row per input row: id, size, text_crc32, law, shard, slot, grown_shard, number, place.
 
     Law ``rows``: shard counts differ by at most one, slots are 0.. without a
     gap in every shard.  Size is UTF-8 bytes plus 1 (null text: 1, crc of the
@@ -135,8 +135,9 @@ def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 42, id_col: str =
     steps = longest_walk(docs.sparkSession, max(n, 1), a, b, keys)
     place = numbered.withColumn("place", walk(F.col("number"), max(n, 1), a, b, keys, steps))
     return place.select(
-        "doc_id", "size", "text_crc32", "number", "place", F.lit("rows").alias("law"),
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
         (F.col("place") % shards).cast("int").alias("shard"),
         F.expr(f"place div {int(shards)}").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
+        "number", "place",
     )

@@ -38,13 +38,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, written
 
 LENGTH = 100
 GRAM = 32
+TEXT_BITS = 31  # a text is shorter than 2^31 bytes; the k-th text of one id has its places from k * 2^31 on
 REACH = LENGTH - GRAM  # a lead lies at most so far into its window
 PLACE_BITS = 24
 CHUNK = 1 << 20
@@ -199,13 +200,15 @@ def _find_segments(local_kinds: int):
         powers = Powers()
         for b in slices(batches, 4096):
             found, parts = [], []
-            for buf in pieces(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+            row_ids, row_text = b.column("doc_id").to_numpy(), b.column("k").to_numpy() << TEXT_BITS
+            for buf in pieces(range(b.num_rows), b.column("text").to_pylist()):
                 data = np.frombuffer(b"".join(p for _, _, p in buf), np.uint8)
                 sizes = np.array([len(p) for _, _, p in buf])
                 ends, doc = np.cumsum(sizes), np.repeat(np.arange(len(buf)), sizes)
                 start, count, offset, lead, own = segments(data, doc, ends, powers)
                 piece = doc[start] if len(start) else start
-                ids, base = np.array([i for i, _, _ in buf], dtype=np.int64), np.array([x for _, x, _ in buf])
+                rows = np.array([i for i, _, _ in buf], dtype=np.int64)
+                ids, base = row_ids[rows], row_text[rows] + np.array([x for _, x, _ in buf], dtype=np.int64)
                 inside = start - (ends - sizes)[piece]
                 found.append((lead, own, ids[piece], inside + base[piece], count, offset, piece + len(parts), inside))
                 parts += [p for _, _, p in buf]
@@ -372,6 +375,37 @@ class BlindTrie:
         return out
 
 
+def multikey_quicksort(group: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The order of rows by group, then by their words.
+
+    Ternary partitioning around a pivot word, all parts at once in each
+    round: the rows of a part that are less or greater are partitioned again
+    on the same word, those that are equal on the next one.
+    """
+    order = np.argsort(group, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(group[order]) != 0)) if len(order) else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.append(first, len(order)))
+    level = np.zeros(len(first), dtype=np.int64)
+    while True:
+        open_ = (size > 1) & (level < words.shape[1])
+        first, size, level = first[open_], size[open_], level[open_]
+        if not len(first):
+            return order
+        part = np.repeat(np.arange(len(first)), size)
+        at = np.arange(len(part)) - np.repeat(np.cumsum(size) - size, size) + first[part]
+        rows = order[at]
+        w = words[rows, level[part]]
+        begin = np.cumsum(size) - size
+        three = np.sort(np.stack([w[begin], w[begin + size // 2], w[begin + size - 1]]), axis=0)
+        pivot = three[1][part]
+        side = 3 * part + np.where(w < pivot, 0, np.where(w == pivot, 1, 2))
+        order[at] = rows[np.argsort(side, kind="stable")]
+        counts = np.bincount(side, minlength=3 * len(first)).reshape(-1, 3)
+        starts = first[:, None] + np.cumsum(counts, axis=1) - counts
+        first, size = starts.ravel(), counts.ravel()
+        level = (level[:, None] + np.array([0, 1, 0])).ravel()
+
+
 def sorted_with_lcp(group: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, lcp): rows by group and bytes; lcp with the row before, 0 at a group's first."""
     n, width = strings.shape
@@ -379,7 +413,7 @@ def sorted_with_lcp(group: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray,
     words[:, :width] = strings
     words = words.view(">u8").astype(U)
     depth = min(SHALLOW_WORDS, words.shape[1])
-    order = np.lexsort([*(words[:, i] for i in reversed(range(depth))), group])  # multikey, eight bytes a key
+    order = multikey_quicksort(group, words[:, :depth])
     g, w = group[order], words[order, :depth]
     equal = np.zeros(n, dtype=bool)
     equal[1:] = (g[1:] == g[:-1]) & (w[1:] == w[:-1]).all(axis=1)
@@ -473,7 +507,7 @@ def _pack(batches):
     packer = zstandard.ZstdCompressor(level=1)
     for b in slices(batches):
         data = [packer.compress((t or "").encode("utf-8", "surrogatepass")) for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(data, pa.binary())], ["doc_id", "packed"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("k"), pa.array(data, pa.binary())], ["doc_id", "k", "packed"])
 
 
 FETCHED = SEGMENT + ", data binary"
@@ -491,14 +525,14 @@ def _fetch(batches):
 
     for b in slices(batches):
         out, hot = [], []
-        for doc, packed, asked in zip(*(b.column(c).to_pylist() for c in ("doc_id", "packed", "asked"))):
-            data = opener.decompress(packed)
+        for doc, k, packed, asked in zip(*(b.column(c).to_pylist() for c in ("doc_id", "k", "packed", "asked"))):
+            data, base = opener.decompress(packed), k << TEXT_BITS
             for q in asked:
                 start, span = q["start"], q["span"]
-                part = data[start:_stop(start, span)]
+                part = data[start - base:_stop(start - base, span)]
                 if q["kind"] != HOT:
                     out.append((q["lead"], 0, doc, start, span, q["offset"], SEGMENT_ROW, part))
-                elif len(part) == span + LENGTH - 1:  # of an id's several texts another one may be meant
+                else:
                     hot.append((doc, start, span, part))
                 if len(hot) * 2 * LENGTH >= CHUNK:
                     yield from windows(hot)
@@ -509,18 +543,33 @@ def _fetch(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kind.types)], schema=kind)
 
 
+def numbered_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, k, text): k numbers the different texts of one id from 0 (by hash); it is 0 wherever an id has one text.
+
+    Only ids with several texts are joined, so the texts are not shuffled for
+    them unless such ids outgrow a broadcast.
+    """
+    hashed = docs.withColumn("hash", F.md5(F.col("text").cast("binary")))
+    kinds = hashed.groupBy("doc_id").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi")).where("lo <> hi").select("doc_id")
+    several = hashed.select("doc_id", "hash").join(kinds, "doc_id", "left_semi").distinct()
+    order = Window.partitionBy("doc_id").orderBy("hash")
+    odd = written(several.withColumn("k", (F.row_number().over(order) - 1).cast("long")), "odd")
+    return hashed.join(odd, ["doc_id", "hash"], "left").select("doc_id", F.coalesce("k", F.lit(0)).alias("k"), "text")
+
+
 def covered_ranges(docs: DataFrame, hot_kinds: int = HOT_KINDS, local_kinds: int = LOCAL_KINDS) -> DataFrame:
-    """(doc_id, start, stop) of bytes that go; ranges may overlap."""
+    """(doc_id, start, stop) of bytes that go; ranges may overlap; ``docs`` from ``numbered_texts``."""
 
     def dealt(rows):  # sorted by Spark, which spills, so that tasks read one batch at a time
         return rows.repartition("lead").sortWithinPartitions("lead", "own", "doc_id", "start")
 
-    found = docs.select("doc_id", "text").mapInArrow(_find_segments(local_kinds), SEGMENT)
+    k = F.shiftright("start", TEXT_BITS).alias("k")
+    found = docs.mapInArrow(_find_segments(local_kinds), SEGMENT)
     settled = written(dealt(found).mapInArrow(_settle(hot_kinds), SEGMENT), "settled")
-    asked = settled.where(F.col("kind").isin(SEGMENT_ROW, HOT)).groupBy("doc_id").agg(
+    asked = settled.where(F.col("kind").isin(SEGMENT_ROW, HOT)).groupBy("doc_id", k).agg(
         F.collect_list(F.struct("lead", "start", "span", "offset", "kind")).alias("asked"))
-    packed = docs.select("doc_id", "text").mapInArrow(_pack, "doc_id long, packed binary")
-    bytes_of = packed.join(asked, "doc_id").mapInArrow(_fetch, FETCHED)
+    packed = docs.mapInArrow(_pack, "doc_id long, k long, packed binary")
+    bytes_of = packed.join(asked, ["doc_id", "k"]).mapInArrow(_fetch, FETCHED)
     windows = settled.where(F.col("kind") == WINDOW).withColumn("data", F.lit(None).cast("binary"))
     compared = dealt(bytes_of.unionByName(windows)).mapInArrow(_compare, "doc_id long, start long, stop long")
     stop = (F.col("start") + F.col("span") + (LENGTH - 1)).alias("stop")
@@ -551,22 +600,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null texts count as empty; texts under LENGTH bytes lose nothing.  Rows
     with a null id lose nothing and make nothing a repeat.  Rows of the same
     id and text are one document.  Rows of one id with different texts are
-    one document whose positions hold either text; what repeats in one of
-    them is cut from both.  An empty table gives no rows; other columns,
+    documents of their own, in the order of their texts' MD5; each loses what
+    an earlier one holds.  An empty table gives no rows; other columns,
     whatever their names, are not read.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = numbered_texts(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     ranges = covered_ranges(texts.where("doc_id is not null and text is not null"), hot_kinds, local_kinds)
-    per_doc = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    joined = texts.mapInArrow(_pack, "doc_id long, packed binary").join(per_doc, "doc_id", "left")
+    k = F.shiftright("start", TEXT_BITS).alias("k")
+    per_doc = ranges.groupBy("doc_id", k).agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    joined = texts.mapInArrow(_pack, "doc_id long, k long, packed binary").join(per_doc, ["doc_id", "k"], "left")
 
     def run(batches):
         opener = zstandard.ZstdDecompressor()
         for b in slices(batches):
             done = []
-            for packed, ranges_ in zip(b.column("packed").to_pylist(), b.column("ranges").to_pylist()):
-                data = opener.decompress(packed)
-                done.append((len(data), *cut(data, [(r["start"], r["stop"]) for r in ranges_ or ()])))
+            for k, packed, ranges_ in zip(*(b.column(c).to_pylist() for c in ("k", "packed", "ranges"))):
+                data, base = opener.decompress(packed), k << TEXT_BITS
+                done.append((len(data), *cut(data, [(r["start"] - base, r["stop"] - base) for r in ranges_ or ()])))
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), pa.array([d[0] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64()),
                 pa.array([d[3] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.binary())],

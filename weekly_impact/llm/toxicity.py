@@ -1,15 +1,19 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Examples are a bounded sample of the labelled training rows.  The terms that
-separate their labels (chi-square) are the vocabulary; an example is its
-L2-normalised TF-IDF vector over it.  The inverted index keeps, per term, the
+separate their labels are the vocabulary: those whose chi-square is so large
+that among as many terms without any relation one would reach it with the
+probability ``FALSE_TERM`` only, or at least half its largest possible value,
+the number of examples, where these are too few for that.  Inverse document frequencies
+are counted over all documents.  An example is its L2-normalised TF-IDF vector
+over the vocabulary.  The inverted index keeps, per term, the
 postings cut into blocks of examples and each block's largest weight; a query
 visits blocks in the order of their upper bounds and stops when no block left
 can beat the k-th similarity, so the k nearest are exact.  Neighbours vote by
 similarity; an isotonic fit of the votes that training examples get from the
 others turns votes into probabilities.  The neighbours are the evidence.
 
-The index is bounded by ``MAX_EXAMPLES`` x ``MAX_TERMS`` whatever the tables'
+The index is bounded by ``MAX_EXAMPLES`` and their words whatever the tables'
 size, which is what allows sending it to all tasks; every document is scored.
 """
 
@@ -25,12 +29,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import release
 from .common import slices, without, written
 
 MAX_EXAMPLES = 8192
-MAX_TERMS = 2048
-MIN_CHI2 = 25.0
-MIN_DF = 4
+FALSE_TERM = 0.01
 NEIGHBOURS = 25
 BLOCK = 64
 STEM = 4
@@ -79,17 +82,46 @@ def term_counts(examples: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def vocabulary(examples: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, float]:
-    """The terms that separate the labels best, with their inverse document frequencies."""
+def least_chi2(terms: int, examples: int) -> float:
+    """The quantile of chi-square with one degree of freedom at 1 - ``FALSE_TERM`` / terms (by its tail's expansion)."""
+    rare = 2 * math.log(max(terms, 1) / FALSE_TERM)
+    return min(rare - math.log(rare) - math.log(math.pi / 2), examples / 2)
+
+
+def vocabulary(examples: DataFrame) -> list[str]:
+    """The terms that separate the labels, sorted."""
     n = examples.agg(F.count_if(F.expr("toxic = 1")).alias("t"), F.count_if(F.expr("toxic = 0")).alias("c")).first()
     t, c = n["t"], n["c"]
     if not t or not c:
-        return {}
+        return []
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
+    # A term of all examples separates nothing (0 / 0).
     chi2 = (t + c) * F.pow(a * (c - b) - b * (t - a), 2) / (F.lit(float(t) * c) * (a + b) * F.greatest(t + c - a - b, F.lit(0.5)))
-    best = term_counts(examples).withColumn("chi2", chi2).where((F.col("chi2") >= MIN_CHI2) & (a + b >= MIN_DF))
-    rows = best.orderBy(F.desc("chi2"), "term").limit(max_terms).collect()  # at most max_terms rows
-    return {r["term"]: math.log((1 + t + c) / (1 + r["toxic"] + r["clean"])) + 1 for r in rows}
+    counted = written(term_counts(examples).withColumn("chi2", chi2), "terms")
+    rows = counted.where(F.col("chi2") >= least_chi2(counted.count(), t + c)).select("term").collect()  # words of at most max_examples texts
+    release(counted)
+    return sorted(r["term"] for r in rows)
+
+
+def document_frequencies(docs: DataFrame, terms: list[str], text_col: str = "text") -> dict[str, float]:
+    """Smoothed inverse document frequencies of the terms over all documents; tasks count first."""
+    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
+
+    def run(batches):
+        counts: Counter[str] = Counter()
+        n = 0
+        for b in slices(batches):
+            for t in b.column(0).to_pylist():
+                n += 1
+                counts.update(wanted.value.intersection(terms_of(t)))
+        counts[""] = n  # no term is empty: the number of documents
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
+
+    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    known = {r["term"]: r["n"] for r in counted.collect()}  # one row a term
+    wanted.destroy()
+    n = known.get("", 0)
+    return {t: math.log((1 + n) / (1 + known.get(t, 0))) + 1 for t in terms}
 
 
 def vector(text: str | None, idf: dict[str, float]) -> dict[str, float]:
@@ -179,10 +211,10 @@ class Model:
         return float(np.interp(v, *self.knots)), near
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The model from at most ``max_examples`` labelled training rows; without both labels it scores all alike."""
     examples = written(training_examples(docs, labels, max_examples, id_col, text_col), "examples")
-    idf = vocabulary(examples, max_terms)
+    idf = document_frequencies(docs, vocabulary(examples), text_col)
 
     def vectors(batches):
         for b in batches:
@@ -192,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
                  pa.array([list(x.values()) for x in v], pa.list_(pa.float64()))], ["doc_id", "toxic", "terms", "weights"])
 
     made = examples.mapInArrow(vectors, "doc_id long, toxic int, terms array<string>, weights array<double>")
-    rows = made.orderBy("doc_id").collect()  # at most max_examples rows of terms out of max_terms
+    rows = made.orderBy("doc_id").collect()  # at most max_examples rows
     index = BlockMaxIndex([r["doc_id"] for r in rows], [r["toxic"] for r in rows], [dict(zip(r["terms"], r["weights"])) for r in rows])
     model = Model(idf, index)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -208,6 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     silent = [r["toxic"] for r in votes if r["vote"] is None]
     model.knots = isotonic([v for v, _ in known], [y for _, y in known])
     model.no_evidence = (sum(silent) + 0.5) / (len(silent) + 5)
+    release(examples)
     return model
 
 
