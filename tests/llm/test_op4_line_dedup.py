@@ -1,6 +1,8 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from weekly_impact.llm import line_dedup as L
 from weekly_impact.llm.queries import op4_mph_line_dedup
@@ -59,3 +61,17 @@ def test_perfect_hash_is_minimal_and_perfect():
         keys = np.unique(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64))
         mph = L.PerfectHash.from_bytes(L.PerfectHash.build(keys).to_bytes())
         assert sorted(mph.places(keys).tolist()) == list(range(len(keys)))
+
+
+def test_shards_are_built_one_after_another():
+    rng = np.random.default_rng(3)
+    rows = sorted((int(s), int(rng.integers(-2**62, 2**62)), int(rng.integers(-2**62, 2**62)), i, 2) for i, s in enumerate(rng.integers(0, 9, 500)))
+    names = ["shard", "copies", "h1", "h2", "owner", "n_lines"]
+    columns = [[r[0] for r in rows], [1 + r[0] % 2 for r in rows], *[[r[i] for r in rows] for i in range(1, 5)]]
+    table = pa.table([pa.array(c, pa.int32() if i < 2 else pa.int64()) for i, c in enumerate(columns)], names)
+    for size in (7, 64, 500):
+        out = pa.Table.from_batches(L._build_shards(table.to_batches(max_chunksize=size)))
+        assert list(zip(out["shard"].to_pylist(), out["copy"].to_pylist())) == [(s, c) for s in range(9) for c in range(1 + s % 2)]
+        assert sum(n for n, c in zip(out["n_keys"].to_pylist(), out["copy"].to_pylist()) if c == 0) == 500
+    with pytest.raises(ValueError):
+        L.PerfectHash.build(np.array([5, 5], dtype=np.uint64))

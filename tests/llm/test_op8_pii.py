@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -118,3 +120,74 @@ def test_odd_documents(spark, odd_docs):
     out = X.sanitise_documents(odd_docs.withColumnsRenamed({"lang": "row", "source": "base"})).collect()
     assert len(out) == odd_docs.count()
     assert X.sanitise_documents(make(spark, [])).collect() == []
+
+
+def brute_terms(rows):
+    """term -> disclosure, document by document from the definition."""
+    docs = [(t or "") for _, t in rows]
+    n = len(docs)
+    level_docs, pair_docs, pair_texts, term_docs, own = {}, {}, {}, {}, set()
+    for t in docs:
+        spans = X.base_spans(t)
+        for w in {w.lower() for w in re.findall(r"[^\W\d_]+", t)}:
+            term_docs[w] = term_docs.get(w, 0) + 1
+        covered = [any(s <= i < e for s, _, e in spans) for i in range(len(t))]
+        words = [m for m in re.finditer(r"[^\W\d_]+", t) if not any(covered[m.start():m.end()])]
+        seen, levels = set(), set()
+        for s, k, e in spans:
+            held = X.levels(t, (s, k, e))
+            levels.update(held)
+            near = [m for m in words if m.end() <= s][-X.WINDOW:] + [m for m in words if m.start() >= e][:X.WINDOW]
+            for m in near:
+                for level in held:
+                    own.add((held[0], level, m.group().lower()))
+                    seen.add((level, m.group().lower()))
+        for x in levels:
+            level_docs[x] = level_docs.get(x, 0) + 1
+        for x in seen:
+            pair_docs[x] = pair_docs.get(x, 0) + 1
+            pair_texts.setdefault(x, set()).add(t)
+    best = {}
+    for entity, level, term in own:
+        seen = len(pair_texts[level, term])
+        weight = seen / (seen + max(X.TRUSTED - seen, 0) * X.PRIOR / (X.TRUSTED - 1))
+        lift = n * pair_docs[level, term] / (level_docs[level] * term_docs[term])
+        pmi = math.log(weight * lift + 1 - weight)
+        best[entity, term] = max(pmi, best.get((entity, term), -math.inf))
+    out = {}
+    for (entity, term), pmi in best.items():
+        ic = math.log(n / level_docs[entity])
+        out[term] = max(out.get(term, 0.0), min(pmi / ic, 1.0) if ic > 0 else 0.0)
+    return {t: s for t, s in out.items() if s >= X.GENERALISE_AT}
+
+
+@pytest.mark.parametrize("redacted", [True, False])
+def test_terms_equal_brute_force(spark, redacted):
+    rng = random.Random(6)
+    names, plain = ["Abelard", "Kim", "Ostrander", "Zo", "Quill"], [f"w{chr(97 + i)}x" for i in range(15)]
+    rows = []
+    for i in range(160):
+        words = rng.choices(plain, k=rng.randint(3, 14))
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            who = rng.choice(names)
+            value = rng.choice([f"{who.lower()}@corp.example", f"10.1.{len(who)}.{rng.randint(1, 3)}", "+1 (017) 555-7713"])
+            at = rng.randint(0, len(words))
+            words[at:at] = [who, value] if rng.random() < 0.7 else [value]
+        rows.append((i, " ".join(words)))
+    rows += [rows[3]] * 4 + [(900, None), (901, "")]
+    want = brute_terms(rows)
+    assert want
+    told = {}
+    out = X.sanitise_documents(make(spark, rows), redacted=redacted).collect()
+    for r in out:
+        told.update(r.disclosed)
+    assert told.keys() == want.keys() and all(told[t] == pytest.approx(want[t]) for t in want)
+    texts = dict(rows)
+    for r in out:
+        t = texts[r.doc_id] or ""
+        spans = X.base_spans(t)
+        expected = [(X.KINDS[k], s, e) for s, k, e in spans] + [
+            ("term", m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", t)
+            if m.group().lower() in want and not any(s < m.end() and m.start() < e for s, _, e in spans)]
+        assert [tuple(x) for x in r.spans] == sorted(expected, key=lambda x: (x[1], X.KINDS.index(x[0])))
+    assert ("redacted" in out[0].asDict()) == redacted

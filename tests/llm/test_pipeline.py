@@ -38,3 +38,12 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, odd_docs, small_dir):
     for _, stage in C.STAGES:
         empty = stage(spark, empty, small_dir)
     assert empty.count() == 0
+
+
+def test_texts_of_one_id_in_different_groups_both_stay(spark, docs_of, small_dir):
+    a, b = ("alpha beta gamma delta epsilon zeta eta theta " * 3).strip(), ("one two three four five six seven eight nine " * 3).strip()
+    docs = docs_of([(1, a), (1, b), (2, a), (3, b), (1, a), (5, "something else altogether that is alone here"), (None, a)])
+    kept = C.one_of_each_group(spark, docs.withColumns({"text_a": docs.lang, "_TEXT_B": docs.lang}), small_dir)
+    assert kept.columns[-2:] == ["text_a", "_TEXT_B"] and {r.text_a for r in kept.collect()} == {"en"}
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, a), (1, b), (5, "something else altogether that is alone here"), (None, a)], key=str)

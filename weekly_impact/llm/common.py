@@ -45,8 +45,8 @@ def slices(batches, rows: int = SLICE_ROWS):
 HOT_KEYS = 1000
 
 
-def join_spread(big: DataFrame, small: DataFrame, on: list[str], rows: str) -> DataFrame:
-    """``big`` LEFT JOIN ``small`` (one row per key, a written table; ``rows``: how many rows of ``big`` have the key).
+def join_spread(big: DataFrame, small: DataFrame, on: list[str], rows: str, how: str = "left") -> DataFrame:
+    """``big`` joined (left or inner) with ``small``, a written table; ``rows``: how many rows of ``big`` have the key.
 
     Keys with over a ``HOT_KEYS``-th of all counted rows are at most
     ``HOT_KEYS`` many, whatever the data: they are broadcast, so that their
@@ -55,7 +55,7 @@ def join_spread(big: DataFrame, small: DataFrame, on: list[str], rows: str) -> D
     total = small.agg(F.sum(rows)).first()[0] or 0
     hot = F.broadcast(small.where(F.col(rows) * HOT_KEYS > total).drop(rows))
     cold = small.where(F.col(rows) * HOT_KEYS <= total).drop(rows)
-    return big.join(hot, on).unionByName(big.join(hot.select(*on), on, "left_anti").join(cold, on, "left"))
+    return big.join(hot, on).unionByName(big.join(hot.select(*on), on, "left_anti").join(cold, on, how))
 
 
 def ordered_digest(pieces: DataFrame, key: str, order: list[str], text: str, between: str = "", into: str = "sha256") -> DataFrame:

@@ -10,7 +10,9 @@ The candidates are verified by the exact shingles (strings, not hashes).
 
 Only DataFrame functions.  The join with the sketches is left to the planner:
 it broadcasts them while they are small and shuffles both sides beyond that,
-hot shingles being split by the skew-join rule.  Equal texts are one candidate.
+hot shingles being split by the skew-join rule.  Equal texts are one candidate;
+where copies of a text meet again, texts with very many copies are joined by a
+broadcast of at most ``HOT_KEYS`` keys (``join_spread``), the others in a shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import join_spread, text_of, written
 
 
 def words_of(text: Column) -> Column:
@@ -67,8 +69,7 @@ def sketches(items: DataFrame, threshold: float = 0.8, width: int = 5) -> DataFr
                         F.slice("hashes", F.lit(1), length).alias("sketch"))
 
 
-def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: int = 5, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: int = 5, text_col: str = "text") -> DataFrame:
     """(text_a, text_b, item_id, n_shingles, n_shared, containment): the items that each distinct text contains.
 
     text_a, text_b: two 64-bit hashes of the text (``text_key``).  Items of
@@ -89,7 +90,8 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, w
     met = exploded.join(sketch, "hash").where(F.col("n_words") >= F.col("needed"))
     candidates = written(met.groupBy("text_a", "text_b", "item_id").agg(F.max("size_class").alias("size_class")), "candidates")
     full = candidates.join(table.select("item_id", "width", "shingles", "n", "needed"), "item_id")
-    distinct = keyed.join(candidates.select("text_a", "text_b").distinct(), ["text_a", "text_b"], "left_semi")
+    keys = _copies(docs, candidates, text_col)
+    distinct = join_spread(keyed, keys, ["text_a", "text_b"], "rows", "inner")
     one_each = distinct.groupBy("text_a", "text_b").agg(F.any_value("text").alias("text"))
     pairs = one_each.select("text_a", "text_b", words_of(F.col("text")).alias("words")).join(full, ["text_a", "text_b"])
     own = _by_width(widths, F.col("words"), shingle_texts)
@@ -103,18 +105,26 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("text_a"), F.xxhash64(F.lit(1), text).alias("text_b")]
 
 
+def _copies(docs: DataFrame, texts: DataFrame, text_col: str) -> DataFrame:
+    """(text_a, text_b, rows): the distinct keys in ``texts`` with the number of documents that have the text."""
+    every = docs.select(*text_key(text_of(text_col))).groupBy("text_a", "text_b").agg(F.count("*").alias("rows"))
+    return written(every.join(texts.select("text_a", "text_b").distinct(), ["text_a", "text_b"], "left_semi"), "copies")
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, n_shingles, n_shared, containment), one row per input document row and item it contains.
 
     Only clean documents, and documents without words, have no row.
     """
-    found = contained_items(docs, items, threshold, width, id_col, text_col)
+    found = contained_items(docs, items, threshold, width, text_col)
+    found = written(found, "found")
+    counted = written(found.join(_copies(docs, found, text_col), ["text_a", "text_b"]), "found")
     keys = docs.select(F.col(id_col).alias("doc_id"), *text_key(text_of(text_col)))
-    return keys.join(found, ["text_a", "text_b"]).drop("text_a", "text_b")
+    return join_spread(keys, counted, ["text_a", "text_b"], "rows", "inner").drop("text_a", "text_b")
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: int = 5, text_col: str = "text") -> DataFrame:
     """The input rows, with all their columns, whose text contains no item."""
-    found = written(contained_items(docs, items, threshold, width, docs.columns[0], text_col).select("text_a", "text_b").distinct(), "leaks")
+    found = written(contained_items(docs, items, threshold, width, text_col).select("text_a", "text_b").distinct(), "leaks")
     a, b = text_key(text_of(text_col))
     return docs.join(found, (a == found["text_a"]) & (b == found["text_b"]), "left_anti")

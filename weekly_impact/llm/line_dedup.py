@@ -16,6 +16,7 @@ only the hashes that a document loses, grouped by document.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from .common import slices, text_of, without, written
 
 SHARD_KEYS = 100_000
 PROBES = 400_000
+MAX_LEVELS = 64  # each level leaves well under half of the keys, if they are distinct
+BROADCAST_SHARDS = 1_000_000
 WHITE_BYTES = b" \t\n\x0b\x0c\r"
 ADDED = ("n_lines", "n_dropped", "kept")
 
@@ -62,6 +65,8 @@ class PerfectHash:
     def build(cls, keys: np.ndarray) -> PerfectHash:
         levels = []
         while len(keys):
+            if len(levels) == MAX_LEVELS:
+                raise ValueError(f"{len(keys)} keys of one shard are equal in their 64-bit mix")
             size = max(64, 2 * len(keys))
             at = cls.spot(keys, len(levels), size)
             n = np.bincount(at, minlength=size)
@@ -100,27 +105,41 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
 INDEX = "shard int, copy int, n_keys long, hash_levels array<binary>, fingerprints binary, counts binary, owners binary"
 
 
-def _build_shards(batches):
-    """Arrays of the shards whose keys this task holds."""
-    import pandas as pd
+def _shard_rows(shard: int, copies: int, parts: list) -> Iterator[pa.RecordBatch]:
+    """One shard's arrays, once per copy."""
+    h1, h2, owner, n_lines = (np.concatenate(x) for x in zip(*parts))
+    # Keys equal in their first half tell themselves apart by the second: the perfect hash sees both mixed.
+    h1, h2 = h1.view(np.uint64), h2.view(np.uint64)
+    mixed = h1 ^ (h2 * np.uint64(0x9E3779B97F4A7C15))
+    mph = PerfectHash.build(mixed)
+    at = mph.places(mixed)
+    prints, counts, owners = (np.empty(len(h1), dtype=t) for t in (np.uint64, np.int64, np.int64))
+    prints[at], counts[at], owners[at] = h2, n_lines, owner
+    one = {"n_keys": len(h1), "hash_levels": mph.to_bytes(), "fingerprints": prints.tobytes(), "counts": counts.tobytes(), "owners": owners.tobytes()}
+    for copy in range(copies):
+        yield pa.RecordBatch.from_pylist(
+            [{"shard": shard, "copy": copy, **one}],
+            pa.schema([("shard", pa.int32()), ("copy", pa.int32()), ("n_keys", pa.int64()), ("hash_levels", pa.list_(pa.binary())),
+                       ("fingerprints", pa.binary()), ("counts", pa.binary()), ("owners", pa.binary())]))
 
-    rows = [b.to_pandas() for b in batches if b.num_rows]
-    if not rows:
-        return
-    for (shard, copies), g in pd.concat(rows).groupby(["shard", "copies"]):
-        # Keys equal in their first half tell themselves apart by the second: the perfect hash sees both mixed.
-        h1, h2 = g.h1.to_numpy().view(np.uint64), g.h2.to_numpy().view(np.uint64)
-        mixed = h1 ^ (h2 * np.uint64(0x9E3779B97F4A7C15))
-        mph = PerfectHash.build(mixed)
-        at = mph.places(mixed)
-        prints, counts, owners = (np.empty(len(g), dtype=t) for t in (np.uint64, np.int64, np.int64))
-        prints[at], counts[at], owners[at] = h2, g.n_lines.to_numpy(), g.owner.to_numpy()
-        one = {"n_keys": len(g), "hash_levels": mph.to_bytes(), "fingerprints": prints.tobytes(), "counts": counts.tobytes(), "owners": owners.tobytes()}
-        for copy in range(copies):
-            yield pa.RecordBatch.from_pylist(
-                [{"shard": int(shard), "copy": copy, **one}],
-                pa.schema([("shard", pa.int32()), ("copy", pa.int32()), ("n_keys", pa.int64()), ("hash_levels", pa.list_(pa.binary())),
-                           ("fingerprints", pa.binary()), ("counts", pa.binary()), ("owners", pa.binary())]))
+
+def _build_shards(batches):
+    """Arrays of the shards, which come one after another: a task holds one shard's keys at a time."""
+    now, parts = None, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        shard, copies, *columns = (b.column(c).to_numpy() for c in ("shard", "copies", "h1", "h2", "owner", "n_lines"))
+        cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+        for s, e in zip(cuts, np.append(cuts[1:], len(shard))):
+            key = (int(shard[s]), int(copies[s]))
+            if key != now:
+                if parts:
+                    yield from _shard_rows(*now, parts)
+                now, parts = key, []
+            parts.append([c[s:e] for c in columns])
+    if parts:
+        yield from _shard_rows(*now, parts)
 
 
 def _probe(left, right):
@@ -129,14 +148,15 @@ def _probe(left, right):
 
     if left.num_rows == 0 or right.num_rows == 0:
         return pa.table({"doc_id": pa.array([], pa.int64()), "h1": pa.array([], pa.int64())})
-    row = {c: right.column(c)[0].as_py() for c in ("hash_levels", "fingerprints", "owners")}
+    row = {c: right.column(c)[0].as_py() for c in ("hash_levels", "fingerprints", "counts", "owners")}
     mph = PerfectHash.from_bytes(row["hash_levels"])
     prints, owners = np.frombuffer(row["fingerprints"], np.uint64), np.frombuffer(row["owners"], np.int64)
+    counts = np.frombuffer(row["counts"], np.int64)
     doc, h1, h2 = (left.column(c).to_numpy() for c in ("doc_id", "h1", "h2"))
     h2u = h2.view(np.uint64)
     at = mph.places(h1.view(np.uint64) ^ (h2u * np.uint64(0x9E3779B97F4A7C15)))
     lost = at >= 0
-    lost[lost] = (prints[at[lost]] == h2u[lost]) & (owners[at[lost]] != doc[lost])
+    lost[lost] = (prints[at[lost]] == h2u[lost]) & (counts[at[lost]] > 1) & (owners[at[lost]] != doc[lost])
     return pa.Table.from_pandas(pd.DataFrame({"doc_id": doc[lost], "h1": h1[lost]}), preserve_index=False)
 
 
@@ -151,19 +171,18 @@ def losses(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = max(tasks, math.ceil(total["keys"] / SHARD_KEYS), math.ceil(total["probes"] / PROBES))
     shard = F.pmod(F.col("h1"), F.lit(shards)).cast("int")
-    each = max(1000, math.ceil(total["probes"] / shards))  # probes of a copy: the usual shard's
+    each = max(1000, 2 * math.ceil(total["probes"] / shards))  # probes of a copy: up to twice the usual shard's
     copies = keys.groupBy(shard.alias("shard")).agg(F.ceil(F.sum("n_lines") / each).cast("int").alias("copies"))
-    copies = written(copies, "copies")  # one row per shard
-    index = (
-        repeated.withColumn("shard", shard).join(F.broadcast(copies), "shard")
-        .select("shard", "copies", "h1", "h2", "owner", "n_lines")
-        .repartition(min(shards, 4096), "shard").mapInArrow(_build_shards, INDEX)
-    )
-    index = written(index, "index")
-    spread = F.pmod(F.xxhash64("doc_id"), F.col("copies")).cast("int")
-    probes = hashes.withColumn("shard", shard).join(F.broadcast(copies), "shard").select("shard", spread.alias("copy"), "doc_id", "h1", "h2")
+    several = written(copies.where("copies > 1"), "copies")  # usual shards have one copy and are not listed
+    if several.count() <= BROADCAST_SHARDS:
+        several = F.broadcast(several)  # else the planner joins by a shuffle
+    times = F.coalesce("copies", F.lit(1))
+    dealt = repeated.withColumn("shard", shard).join(several, "shard", "left").select("shard", times.alias("copies"), "h1", "h2", "owner", "n_lines")
+    index = written(dealt.repartition("shard").sortWithinPartitions("shard", "copies").mapInArrow(_build_shards, INDEX), "index")
+    spread = F.pmod(F.xxhash64("doc_id"), times).cast("int")
+    probes = hashes.withColumn("shard", shard).join(several, "shard", "left").select("shard", spread.alias("copy"), "doc_id", "h1", "h2")
     lost = (
-        probes.groupBy("shard", "copy").cogroup(index.select("shard", "copy", "hash_levels", "fingerprints", "owners").groupBy("shard", "copy"))
+        probes.groupBy("shard", "copy").cogroup(index.select("shard", "copy", "hash_levels", "fingerprints", "counts", "owners").groupBy("shard", "copy"))
         .applyInArrow(_probe, "doc_id long, h1 long")
     )
     return lost.groupBy("doc_id").agg(F.collect_set("h1").alias("lost"))

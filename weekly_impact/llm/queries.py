@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, chat_format, decontamination, licenses, line_dedup, pii, sharding, simhash, suffix_dedup, toxicity, turn_repair, vector_graph, whitening
 from .common import table
+from .oracle import ORACLE_SQL
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -103,4 +104,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]

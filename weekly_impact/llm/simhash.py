@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, without, written
+from ..session import release
+from .common import join_spread, slices, without, written
 from .components import components
 
 SHARD = 256
@@ -191,23 +192,29 @@ def link_forest(distinct: DataFrame, radius: int, shard: int = SHARD) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, fp (signed long), fingerprint (hex), component_id, kept.
+    """One row per input row: doc_id, fp (signed long), fingerprint (hex), component_id, kept, group, text_a, text_b.
 
     component_id is the smallest id that links reach; equal fingerprints link.
     Documents without words have fingerprint zero and link like any other.
     Null texts count as empty.  A null id never becomes a component's id while
     another id is there (it sorts last); repeated rows stay, each in its
     component.  ``kept`` marks one row per component: that of the smallest id
-    (of repeated ids, all rows).  An empty table gives no rows; other columns,
-    whatever their names, are not read.
+    (of repeated ids, all rows).  ``group`` names the component by a
+    fingerprint, as ids may repeat; text_a and text_b (64-bit hashes) name the
+    text.  An empty table gives no rows; other columns, whatever their names,
+    are not read.
     """
-    prints = written(fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), words).drop("text"), "fps")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    member = components(link_forest(distinct, radius))
-    # A fingerprint's component, then the least document of the component, both pre-aggregated by fingerprint.
-    joined = distinct.join(member.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
-    ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.join(ids, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    named = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_a"), F.xxhash64(F.lit(1), text).alias("text_b"), F.col(text_col).alias("text"))
+    prints = written(fingerprints(named, words).drop("text"), "fps")
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "distinct")
+    member = components(link_forest(distinct.select("fp", "least"), radius))
+    # A fingerprint's component, then the least document of the component; hot ones are spread (see ``join_spread``).
+    joined = written(distinct.join(member.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp")), "joined")
+    ids = written(joined.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("kinds")), "ids")
+    told = written(join_spread(joined.select("fp", "root", "rows"), ids, ["root"], "kinds"), "named")
+    out = join_spread(prints, told, ["fp"], "rows").select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), F.col("root").alias("group"), "text_a", "text_b")
+    release(distinct, joined, ids)
+    return out
