@@ -31,11 +31,22 @@ def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id (rows without an id all stay)."""
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    return known.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """One document of each group of near copies: the one with the smallest id.
+
+    Rows without an id all stay.  Rows that share an id but hold texts of
+    different groups are different documents, and each group keeps its own;
+    of one id's several texts in a group, that with the least hash stays.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = ["text_a", "text_b"]
+    while {c.lower() for c in docs.columns} & set(own):  # names that no input column has
+        own = [f"_{c}" for c in own]
+    key = ["doc_id", *own]
+    hashed = docs.withColumns({own[0]: F.xxhash64(text), own[1]: F.xxhash64(F.lit(1), text)})
+    groups = simhash.near_duplicates(docs).where("kept and doc_id is not null")
+    kept = groups.groupBy("doc_id", "group").agg(F.min(F.struct("text_a", "text_b")).alias("t")).select("doc_id", "t.*").distinct()
+    known = hashed.where("doc_id is not null").join(kept.toDF(*key), key, "left_semi").dropDuplicates(key)
+    return known.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def leaks_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

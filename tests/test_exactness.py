@@ -70,3 +70,12 @@ def test_stream_drops_a_week_without_funnel_events(spark, tmp_path):
     other.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(shards)
     refresh_weekly_funnel(spark, shards, table, ckpt)
     assert [(str(r.week), r.purchase) for r in read_weekly_funnel(spark, table).collect()] == [("2025-01-13", 1)]
+
+
+def test_money_at_the_edges(spark):
+    from weekly_impact.functions.numeric import mean, money_units, units_to_money
+
+    df = spark.createDataFrame([(1.5,), (1e21,), (float("nan"),), (float("inf"),), (-1e20,), (None,), (2.5,)], "d double")
+    units = money_units(F.col("d"))
+    r = df.select(units_to_money(F.sum(units)).alias("total"), mean(units).alias("mean"), F.count(units).alias("n")).first()
+    assert (r.total, r.mean, r.n) == (4.0, 2.0, 2)

@@ -15,8 +15,13 @@ MONEY_TYPE = "decimal(38,18)"
 
 
 def money_units(c: Column) -> Column:
-    """Double amount -> wide decimal (null stays null)."""
-    return c.cast(MONEY_TYPE)
+    """Double amount -> wide decimal.
+
+    Null stays null.  NaN, infinities and amounts of 1e20 and over are no
+    money: they become null too, so they add nothing to a sum and do not count
+    in a mean, instead of ending the query.
+    """
+    return c.try_cast(MONEY_TYPE)
 
 
 def units_to_money(c: Column) -> Column:

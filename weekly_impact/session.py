@@ -24,19 +24,6 @@ JOB_CONF = {
 }
 
 
-# Suggested settings for a large cluster run (not applied by this library: a
-# job's session is the user's).  Start with many shuffle partitions and let
-# AQE coalesce them to ~256 MB each; split skewed join partitions; keep the
-# scan splits at 128 MB.
-CLUSTER_CONF = {
-    **JOB_CONF,
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-    "spark.sql.files.maxPartitionBytes": "128m",
-}
-
-
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "weekly_impact") -> SparkSession:
     """A local[N] session for tests and the bench (UI off, no server started)."""
     b = (
