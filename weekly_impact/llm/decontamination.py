@@ -81,14 +81,14 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, w
     widths = sorted(r["width"] for r in table.select("width").distinct().collect())  # at most ``width`` numbers
     if not widths:
         return docs.sparkSession.createDataFrame([], "text_a long, text_b long, item_id long, n_shingles int, n_shared int, containment double")
-    sketch = table.select(F.explode("sketch").alias("hash"), "item_id", "needed", "size_class")
+    sketch = table.select(F.explode("sketch").alias("hash"), "item_id", "needed")
     keyed = docs.select(*text_key(text_of(text_col)), text_of(text_col).alias("text"))
     worded = keyed.select("text_a", "text_b", words_of(F.col("text")).alias("words"))
     hashes = F.concat(*[shingle_hashes(F.col("words"), w) for w in widths])
     exploded = worded.select("text_a", "text_b", F.size("words").alias("n_words"), F.explode(hashes).alias("hash"))
     # a document of n words has at most n shingles of a width
     met = exploded.join(sketch, "hash").where(F.col("n_words") >= F.col("needed"))
-    candidates = written(met.groupBy("text_a", "text_b", "item_id").agg(F.max("size_class").alias("size_class")), "candidates")
+    candidates = written(met.select("text_a", "text_b", "item_id").distinct(), "candidates")
     full = candidates.join(table.select("item_id", "width", "shingles", "n", "needed"), "item_id")
     keys = _copies(docs, candidates, text_col)
     distinct = join_spread(keyed, keys, ["text_a", "text_b"], "rows", "inner")
