@@ -44,8 +44,15 @@ def test_refresh_command(spark, tmp_path):
     got = read_published(spark, out, "category_weekly")
     want = CORE_QUERIES["category_weekly"](spark, SF)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    state = str(tmp_path / "state")
-    again = ["refresh", "--events", shards, "--out", out, "--state", state, "--params", str(pf), "--format", "parquet"]
-    assert main(again) == 0 and main(again) == 0
-    got = read_published(spark, out, "category_weekly")
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_refresh_command_with_state(spark, tmp_path):
+    shards, out = str(tmp_path / "events"), str(tmp_path / "out")
+    write_events(all_events(spark, SF).where("event_date between '19970310' and '19970331'"), shards)  # one folder a day
+    pf = tmp_path / "p.json"
+    pf.write_text(json.dumps(_params_json(FIXTURE_PARAMS)))
+    args = ["refresh", "--events", shards, "--out", out, "--params", str(pf), "--format", "parquet"]
+    assert main([*args, "--state", str(tmp_path / "state")]) == 0
+    kept = read_published(spark, out, "category_weekly").collect()
+    assert main([*args, "--state", str(tmp_path / "state")]) == 0
+    assert kept and read_published(spark, out, "category_weekly").collect() == kept
