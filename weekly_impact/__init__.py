@@ -8,10 +8,12 @@ Typical use::
 """
 
 from .plans import queries
+from .plans.incremental import refresh_incremental
 from .plans.params import FIXTURE_PARAMS, REFERENCE_PARAMS, Params
 from .plans.refresh import refresh, refresh_results
 from .sources.dimensions import Change, SalePeriod
 from .sources.events import read_events, write_events
+from .sources.publish import read_published
 
 __all__ = [
     "FIXTURE_PARAMS",
@@ -21,7 +23,9 @@ __all__ = [
     "SalePeriod",
     "queries",
     "read_events",
+    "read_published",
     "refresh",
+    "refresh_incremental",
     "refresh_results",
     "write_events",
 ]
