@@ -202,3 +202,24 @@ def test_incremental_refresh_follows_rewrites_and_deletions(spark, tmp_path):
     assert len(parts) == len({p.rsplit("=", 1)[1] for p in parts}) == len(days) - 2  # replaced parts are gone
     other = I.refresh_incremental(spark, shards, state, out, FIXTURE_PARAMS.__class__(**{**FIXTURE_PARAMS.__dict__, "start": "19970101", "start_recent": "19970101"}), "parquet")
     assert len(other["days"]) == len(days) - 1  # other bounds: all of it again (the emptied shard is a file still)
+    assert {k: len(files.folders(spark, f"{state}/parts/{k}")) for k in I.PARTITIONED} == dict.fromkeys(I.PARTITIONED, 1)  # the old bounds' parts are gone
+
+
+def test_parts_of_a_failed_run_go_with_the_next_one(spark, tmp_path, monkeypatch):
+    shards, state, out = (str(tmp_path / n) for n in ("shards", "state", "out"))
+    write_events(all_events(spark, SF).where("event_date between '19970310' and '19970323'"), shards)
+
+    def failing(*args):
+        raise RuntimeError("no room")
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "publish_results", failing)
+        with pytest.raises(RuntimeError, match="no room"):
+            I.refresh_incremental(spark, shards, state, out, FIXTURE_PARAMS, "parquet")
+    assert Publication(spark, state).current() is None
+    left = {k: files.folders(spark, f"{state}/parts/{k}") for k in I.PARTITIONED}
+    assert all(left.values())
+    assert I.refresh_incremental(spark, shards, state, out, FIXTURE_PARAMS, "parquet")["days"]
+    now = {k: files.folders(spark, f"{state}/parts/{k}") for k in I.PARTITIONED}
+    assert all(len(now[k]) == 1 and now[k] != left[k] for k in I.PARTITIONED)
+    assert I.refresh_incremental(spark, shards, state, out, FIXTURE_PARAMS, "parquet")["days"] == []

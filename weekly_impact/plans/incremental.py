@@ -12,7 +12,8 @@ event table, unnested and counted.  Only the weeks of those days are grouped
 again, from the stored fact.  Parts are written under the run's own name and
 nothing is overwritten; the new state (a few rows per day) becomes current by
 one atomic rename after the results are published, so a run that fails at any
-point is as if it had not been.  Replaced parts are deleted afterwards.
+point is as if it had not been.  Replaced parts, and parts that failed runs or
+runs with other bounds left, are deleted after the next run that succeeds.
 """
 
 from __future__ import annotations
@@ -83,6 +84,15 @@ class Store:
         for x in parts:
             self.parts.pop((kind, x), None)
 
+    def sweep(self, run: str) -> None:
+        """Delete the folders of runs before ``run`` that no part names: of failed runs, of other bounds, or replaced as a whole."""
+        used = {(kind, r) for (kind, _), r in self.parts.items()}
+        for kind in PARTITIONED:
+            for name in files.folders(self.spark, f"{self.root}/{kind}"):
+                by = name.removeprefix("run=")
+                if by < run and (kind, by) not in used:
+                    files.delete(self.spark, f"{self.root}/{kind}/{name}")
+
 
 def refresh_incremental(
     spark: SparkSession, events_path: str, state_path: str, out_dir: str, p: Params, fmt: str = "json"
@@ -139,4 +149,5 @@ def refresh_incremental(
             for (kind, part), r in before.items():
                 if store.parts.get((kind, part)) != r:
                     files.delete(spark, f"{store_root}/{kind}/run={r}/{PARTITIONED[kind][0]}={part}")
+            store.sweep(run)
     return {"days": days, "weeks": weeks}
