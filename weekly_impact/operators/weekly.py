@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize_bucketed
+from ..session import materialize_bucketed, settle, sized_shuffles
 
 DISTINCT = "distinct"
 ROWS = "rows"
@@ -106,7 +106,8 @@ def rollup(
     ``grain_keys`` are the keys ``grain`` was built on; when ``keys`` drops
     some of them, rows are first re-de-duplicated on (week, keys, event, dkey).
     Distinct counts and row counts are 0 when the event is absent; sums are
-    null when no non-null value exists (SQL SUM).
+    null when no non-null value exists (SQL SUM).  The result is settled: a
+    large grain is shuffled to as many partitions as its input asks for.
     """
     sum_cols = sorted({_sum_col(m) for m in metrics if m.kind == SUM})
     if grain_keys is not None and list(grain_keys) != list(keys):
@@ -130,7 +131,7 @@ def rollup(
     out = grain.groupBy(time_col, *keys).agg(*aggs)
     if anchor is not None:
         out = out.where(F.col("_anchor")).drop("_anchor")
-    return out
+    return settle(out, "rollup")
 
 
 def weekly_metrics(
@@ -163,7 +164,9 @@ def anchor_left_join(
     stays until the scratch scope ends.
     """
     metrics = [anchor, *(m for m, _ in others)]
-    grain = materialize_bucketed(event_grain(fact, keys, metrics, time_col=time_col), [time_col, *keys], "anchor-grain")
+    grain = event_grain(fact, keys, metrics, time_col=time_col)
+    with sized_shuffles(grain):
+        grain = materialize_bucketed(grain, [time_col, *keys], "anchor-grain")
 
     def one(m: Metric, ks: Sequence[str]) -> DataFrame:
         sub = grain.where(F.col("event_name") == m.event)

@@ -123,6 +123,51 @@ def release(*tables: DataFrame) -> None:
                 _SCOPE.get().paths.remove(path)
 
 
+# Input bytes meant for one shuffle partition: rows of item events take some fifty times their Parquet bytes in a sort or hash map.
+PARTITION_BYTES = 8 << 20
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Shuffle partitions that the files ``df`` is read from ask for (0 without files)."""
+    return -(-files.size(df.sparkSession, df.inputFiles()) // PARTITION_BYTES)
+
+
+@contextlib.contextmanager
+def sized_shuffles(df: DataFrame):
+    """What runs inside shuffles to as many partitions as the input of ``df`` asks for; yields whether these are more than the session's.
+
+    The runtime joins and splits partitions as ever, so a larger start costs
+    little where rows turn out few; with a fixed one, each task's rows, and
+    the memory of its sorts and hash maps, would grow with the input.
+    """
+    conf, n = df.sparkSession.conf, partitions_for(df)
+    before = conf.get(SHUFFLE_PARTITIONS)
+    if n <= int(before):
+        yield False
+        return
+    conf.set(SHUFFLE_PARTITIONS, str(n))
+    try:
+        yield True
+    finally:
+        conf.set(SHUFFLE_PARTITIONS, before)
+
+
+def materialize_sized(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """``materialize`` with the shuffles that the input of ``df`` asks for."""
+    with sized_shuffles(df):
+        return materialize(df, name, partition_by)
+
+
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """``df`` itself; with an input too large for the session's shuffle partitions, ``df`` computed in enough of them and stored.
+
+    For small results of large shuffles: weekly rows, not items or users.
+    """
+    with sized_shuffles(df) as more:
+        return materialize(df, name) if more else df
+
+
 def materialize_bucketed(df: DataFrame, keys: list[str], name: str = "buckets", buckets: int | None = None) -> DataFrame:
     """``materialize``, bucketed and sorted by ``keys``: aggregates and joins on all of them need no exchange.
 
@@ -132,7 +177,7 @@ def materialize_bucketed(df: DataFrame, keys: list[str], name: str = "buckets",
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or int(spark.conf.get(SHUFFLE_PARTITIONS))
     known = f"scratch_{uuid.uuid4().hex}"
     dealt = df.repartition(n, *keys)
     dealt.write.mode("overwrite").option("path", path).bucketBy(n, *keys).sortBy(*keys).saveAsTable(known)

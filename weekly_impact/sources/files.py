@@ -22,6 +22,20 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def size(spark: SparkSession, uris: list[str]) -> int:
+    """Bytes of files named as ``DataFrame.inputFiles`` does; of folders that many of them lie in, the whole folder's."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    by_folder: dict[str, list[str]] = {}
+    for uri in uris:
+        by_folder.setdefault(uri.rpartition("/")[0], []).append(uri)
+    total = 0
+    for folder, inside in by_folder.items():
+        for uri in inside if len(inside) <= 16 else [folder]:
+            p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+            total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    return total
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path``, sorted; none if it isn't there."""
     fs, p = _path(spark, path)
