@@ -27,7 +27,7 @@ from ..operators.topk import top_k, topk_semi_join
 from ..operators.weekly import distinct, event_grain, rollup, rows, total, weekly_metrics
 from ..sources.dimensions import changes_df
 from ..sources.events import shard_filter
-from ..session import materialize
+from ..session import materialize, materialize_sized, settle
 from .params import Params
 
 SALES_EVENTS = ["purchase", "add_to_cart", "view_item", "begin_checkout"]
@@ -378,12 +378,12 @@ def product_funnel(events: DataFrame, p: Params) -> DataFrame:
     views = viewed.groupBy("week", *PRODUCT_KEYS).agg(F.count_distinct("user_pseudo_id").alias("views"))
     later = item_fact(scoped(events, p.start_recent, p), FUNNEL_EVENTS[1:], ["product_name"]).where(nonnull)
     ms = _funnel_metrics(with_views=False)
-    grain = materialize(event_grain(later, ["product_name"], ms), "product-steps")
+    grain = materialize_sized(event_grain(later, ["product_name"], ms), "product-steps")
     # Only products that were bought are ranked; orders without an id keep their product in the list.
     top = top_k(grain.where(F.col("event_name") == "purchase"), "product_name", F.count_distinct("_dkey"),
                 p.top_funnel_products, "orders")
     steps = rollup(grain, ["product_name"], ms)
-    out = topk_semi_join(views, top, "product_name").join(
+    out = settle(topk_semi_join(views, top, "product_name"), "top-views").join(
         steps, ["week", "product_name"], "left"
     )
     filled = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("add_to_cart", "begin_checkout", "purchases")]
