@@ -9,7 +9,7 @@ from weekly_impact.sources import files
 
 SF = "/root/testdata/sf0.001"
 KEY = "spark.sql.shuffle.partitions"
-WEEKLY = ["subcategory_funnel", "subcategory_weekly", "product_funnel", "category_funnel", "delivery_tier_weekly", "category_summary"]
+WEEKLY = ["subcategory_funnel", "subcategory_weekly", "product_funnel", "category_funnel", "delivery_tier_weekly", "category_summary", "category_weekly"]
 
 
 @pytest.fixture
