@@ -10,6 +10,7 @@ from weekly_impact.sources import files
 SF = "/root/testdata/sf0.001"
 KEY = "spark.sql.shuffle.partitions"
 WEEKLY = ["subcategory_funnel", "subcategory_weekly", "product_funnel", "category_funnel", "delivery_tier_weekly", "category_summary", "category_weekly"]
+SHARED = ["product_weekly", "units_per_tx", "change_impact_product"]
 
 
 @pytest.fixture
@@ -47,7 +48,7 @@ def test_small_inputs_stay_lazy(spark, written):
     assert written == []
 
 
-@pytest.mark.parametrize("name", WEEKLY)
+@pytest.mark.parametrize("name", [*WEEKLY, *SHARED])
 def test_large_inputs_get_their_partitions_and_the_same_rows(spark, large, written, monkeypatch, name):
     before = spark.conf.get(KEY)
     got = E.queries()[name](spark, SF).collect()

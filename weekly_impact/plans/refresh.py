@@ -24,7 +24,7 @@ from ..functions.dates import event_week
 from ..operators.impact import period_averages
 from ..operators.items import item_fact
 from ..operators.overlay import annotate_changes, sale_overlay
-from ..session import materialize, scratch_scope
+from ..session import materialize_sized, scratch_scope
 from ..sources.dimensions import changes_df, sale_periods_df
 from ..sources.events import shard_filter
 from ..sources.publish import Publication
@@ -57,8 +57,8 @@ def item_results(spark: SparkSession, fact: DataFrame, grain: DataFrame, p: Para
 def refresh_results(spark: SparkSession, events: DataFrame, p: Params) -> dict[str, DataFrame]:
     """The 14 result DataFrames, with the item fact materialized once."""
     start = min(p.start, p.start_recent)
-    fact = materialize(item_fact(events.where(shard_filter(start, p.end)), ITEM_EVENTS), "item-fact", ("event_name",))
-    grain = materialize(Q.segment_grain(fact, p), "segment-grain")
+    fact = materialize_sized(item_fact(events.where(shard_filter(start, p.end)), ITEM_EVENTS), "item-fact", ("event_name",))
+    grain = materialize_sized(Q.segment_grain(fact, p), "segment-grain")
     return {
         **item_results(spark, fact, grain, p),
         "funnel_weekly": Q.funnel_weekly(events, p),
