@@ -9,6 +9,8 @@ from weekly_impact.sources import files
 
 SF = "/root/testdata/sf0.001"
 KEY = "spark.sql.shuffle.partitions"
+TARGET = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+MAX_SPLIT = "spark.sql.files.maxPartitionBytes"
 WEEKLY = ["subcategory_funnel", "subcategory_weekly", "product_funnel", "category_funnel", "delivery_tier_weekly", "category_summary", "category_weekly"]
 SHARED = ["product_weekly", "units_per_tx", "change_impact_product"]
 
@@ -60,6 +62,42 @@ def test_large_inputs_get_their_partitions_and_the_same_rows(spark, large, writt
     assert got and got == want
 
 
+@pytest.mark.parametrize("name", ["subcategory_weekly"])
+def test_runtime_joins_partitions_up_to_one_share_only(spark, large, monkeypatch, name):
+    """A session with partitions enough for the input, which Spark's target of 64 MB would join again."""
+    seen, real = [], session.materialize
+    kept = {KEY: spark.conf.get(KEY), TARGET: spark.conf.get(TARGET)}
+
+    def noted(df, name="stage", partition_by=()):
+        seen.append([spark.conf.get(k) for k in (KEY, TARGET, MAX_SPLIT)])
+        return real(df, name, partition_by)
+
+    monkeypatch.setattr(session, "materialize", noted)
+    try:
+        spark.conf.set(KEY, "100")
+        spark.conf.set(TARGET, "64m")
+        E.queries()[name](spark, SF)
+        assert seen and all(x == ["100", str(4 << 10), str(16 << 20)] for x in seen)
+        assert spark.conf.get(KEY) == "100" and spark.conf.get(TARGET) == "64m"
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_smaller_settings_of_the_session_stay(spark, large):
+    kept = {k: spark.conf.get(k) for k in (TARGET, MAX_SPLIT)}
+    df = spark.read.parquet(f"{SF}/orders.parquet")
+    try:
+        for k in kept:
+            spark.conf.set(k, "2k")
+        with session.sized_shuffles(df) as more:
+            assert more and all(spark.conf.get(k) == "2048" for k in kept)
+        assert all(spark.conf.get(k) == "2k" for k in kept)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_partitions_come_back_after_a_failure(spark, large):
     before = spark.conf.get(KEY)
     df = spark.read.parquet(f"{SF}/orders.parquet")

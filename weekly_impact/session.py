@@ -125,7 +125,11 @@ def release(*tables: DataFrame) -> None:
 
 # Input bytes meant for one shuffle partition: rows of item events take some fifty times their Parquet bytes in a sort or hash map.
 PARTITION_BYTES = 8 << 20
+# Input bytes of one scan task: with over 200 shuffle partitions, a task holds its shuffled rows before it writes them.
+SPLIT_BYTES = 16 << 20
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+TARGET_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+MAX_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def partitions_for(df: DataFrame) -> int:
@@ -135,22 +139,35 @@ def partitions_for(df: DataFrame) -> int:
 
 @contextlib.contextmanager
 def sized_shuffles(df: DataFrame):
-    """What runs inside shuffles to as many partitions as the input of ``df`` asks for; yields whether these are more than the session's.
-
-    The runtime joins and splits partitions as ever, so a larger start costs
-    little where rows turn out few; with a fixed one, each task's rows, and
-    the memory of its sorts and hash maps, would grow with the input.
+    """What runs inside shuffles to as many partitions as the input of ``df`` asks for; yields whether the session's settings fall short.
+
+    The runtime joins partitions to its target size and splits skewed ones as
+    ever.  With a fixed number of partitions each task's rows, and the memory
+    of its sorts and hash maps, would grow with the input; with Spark's target
+    of 64 MB they would as well, up to eight partitions' worth, as soon as the
+    cores have more than that.  So the target is held at one partition's bytes
+    and scan tasks at theirs; smaller settings of the session stay.
     """
-    conf, n = df.sparkSession.conf, partitions_for(df)
-    before = conf.get(SHUFFLE_PARTITIONS)
-    if n <= int(before):
+    spark = df.sparkSession
+    conf, n = spark.conf, partitions_for(df)
+    in_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    before = {k: conf.get(k) for k in (SHUFFLE_PARTITIONS, TARGET_BYTES, MAX_SPLIT_BYTES)}
+    held = {
+        SHUFFLE_PARTITIONS: str(max(n, int(before[SHUFFLE_PARTITIONS]))),
+        TARGET_BYTES: str(min(PARTITION_BYTES, in_bytes(before[TARGET_BYTES]))),
+        MAX_SPLIT_BYTES: str(min(SPLIT_BYTES, in_bytes(before[MAX_SPLIT_BYTES]))),
+    }
+    # Up to a partition for each core, the runtime leaves every core its own.
+    if n <= min(int(before[SHUFFLE_PARTITIONS]), spark.sparkContext.defaultParallelism):
         yield False
         return
-    conf.set(SHUFFLE_PARTITIONS, str(n))
     try:
+        for k, v in held.items():
+            conf.set(k, v)
         yield True
     finally:
-        conf.set(SHUFFLE_PARTITIONS, before)
+        for k, v in before.items():
+            conf.set(k, v)
 
 
 def materialize_sized(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -160,7 +177,7 @@ def materialize_sized(df: DataFrame, name: str = "stage", partition_by: tuple[st
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
-    """``df`` itself; with an input too large for the session's shuffle partitions, ``df`` computed in enough of them and stored.
+    """``df`` itself; with an input too large for the session's settings, ``df`` computed in enough shuffle partitions and stored.
 
     For small results of large shuffles: weekly rows, not items or users.
     """
