@@ -62,7 +62,7 @@ def test_large_inputs_get_their_partitions_and_the_same_rows(spark, large, writt
     assert got and got == want
 
 
-@pytest.mark.parametrize("name", ["subcategory_weekly", "category_funnel", "delivery_tier_weekly"])
+@pytest.mark.parametrize("name", ["subcategory_weekly", "category_funnel", "delivery_tier_weekly", "category_summary"])
 def test_runtime_joins_partitions_up_to_one_share_only(spark, large, monkeypatch, name):
     """A session with partitions enough for the input, which Spark's target of 64 MB would join again."""
     seen, real = [], session.materialize
